@@ -58,7 +58,7 @@ def without_suffix(c: ColumnLike, suffix_pattern: str) -> Column:
 
 def comma_list(c: ColumnLike) -> Column:
     """array<string> -> 'a,b,c' with each element trimmed."""
-    return F.array_join(F.transform(as_column(c), F.trim), ",")
+    return F.array_join(F.transform(as_column(c), lambda x: F.trim(x)), ",")
 
 
 def normalized_category(c: ColumnLike, exact: tuple[str, ...], unknown_like: str = "%UNK%") -> Column:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from civiclake.functions.geometry import boundary_edges, edges_contain
 from civiclake.plans.scratch import written
 from civiclake.plans.skew import broadcast_limit, replicated
 
+# The hull functions travel to the workers by value, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CELLS_PER_BOUNDARY = 256
 SALTS = 32
 
@@ -103,6 +108,7 @@ def join_containing(
     boundary: str,
     keep: dict[str, str],
     how: str = "left",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Add the boundary columns ``{column: new_name}`` of every boundary strictly around a point.
 
@@ -125,7 +131,8 @@ def join_containing(
     )
     same = (F.col("__pcx") == F.col("__cx")) & (F.col("__pcy") == F.col("__cy"))
     within = F.col("__inside") | edges_contain(F.col("__edges"), px, py)
-    if _index_bytes(index) <= broadcast_limit(points.sparkSession):
+    limit = broadcast_limit(points.sparkSession) if broadcast_bytes is None else broadcast_bytes
+    if _index_bytes(index) <= limit:
         joined = located.join(F.broadcast(index), same & within, how)
     else:
         # points without coordinates get a salt of their own: no partner, but spread out too

@@ -61,9 +61,9 @@ def read_geojson(
         rows = rows.where(F.col("properties").isNotNull())
     elif layout == "separated":
         text = spark.read.option("lineSep", SEPARATED_FEATURE).text(path)
-        body = F.regexp_replace(F.rtrim("value"), r"(\]\s*[,}].*|,)\s*$", "")
-        body = F.when(F.trim("value").startswith('{"type":"FeatureCollection"'), None).otherwise(body)
-        parsed = F.from_json(F.concat(F.lit("{"), body), feature)
+        # a record reads on into the separator before the next feature or the end of the
+        # collection; the parser stops where the feature's own braces close
+        parsed = F.from_json(F.concat(F.lit("{"), "value"), feature)
         rows = text.select(parsed.alias("f")).where(F.col("f.properties").isNotNull()).select("f.*")
     elif layout == "document":
         collection = T.StructType().add("features", T.ArrayType(feature))
@@ -93,24 +93,30 @@ def concatenated(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def landed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """path, name, table_id, modified, bytes of every landed file; contents are not read."""
+TABLE_ID = r"^(\S{4}-\S{4})"  # fixed value: landed files start with their table's id
+
+
+def landed_files(spark: SparkSession, folder: str, table_id: str = TABLE_ID) -> DataFrame:
+    """path, name, table_id, modified, bytes of every landed file; contents are not read.
+
+    Files whose name does not match ``table_id`` are not landed data and left out.
+    """
     files = spark.read.format("binaryFile").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
         "path",
         name.alias("name"),
-        F.regexp_extract(name, r"^(\S{4}-\S{4})", 1).alias("table_id"),
+        F.regexp_extract(name, table_id, 1).alias("table_id"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("bytes"),
     ).where(F.col("table_id") != "")
 
 
-def landed_digests(spark: SparkSession, folder: str) -> DataFrame:
+def landed_digests(spark: SparkSession, folder: str, table_id: str = TABLE_ID) -> DataFrame:
     """``landed_files`` plus a digest of each file's content."""
     files = spark.read.format("binaryFile").load(folder)
     digests = files.select("path", F.sha2("content", 256).alias("digest"))
-    return landed_files(spark, folder).join(digests, "path")
+    return landed_files(spark, folder, table_id).join(digests, "path")
 
 
 def repeated_sizes(files: DataFrame) -> DataFrame:

@@ -7,11 +7,11 @@ a half-written state, and a failed job leaves the previous version in place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclake.operators.versions import upserted
-from civiclake.plans.scratch import fresh_path
+from civiclake.plans.scratch import fresh_path, written
 
 LAYERS = ("data_raw", "standardized", "clean", "feature", "dwh", "metadata")
 
@@ -118,17 +118,27 @@ def insert_if_absent(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
 
 
 def numbered(records: DataFrame, existing: DataFrame | None, order: list[str]) -> DataFrame:
-    """Give new check records ids that continue after the largest one in use.
+    """Give new records consecutive ids, in ``order``, after the largest one in use.
 
-    Check records are a handful per refresh, so numbering them in one task is fine.
+    The rows are cut into ordered slices by range; a row's number is its place in its slice
+    plus the sizes of the slices before it, so no task sees more than one slice.
     """
-    from pyspark.sql import Window
-
     start = F.lit(0)
     if existing is not None:
         start = F.coalesce(existing.agg(F.max("id")).scalar(), F.lit(0))
-    position = F.row_number().over(Window.orderBy(*order))
-    return records.select((position + start).cast("bigint").alias("id"), *records.columns)
+    slices = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = records.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id())
+    cut = written(cut, "numbered")
+    before = Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(F.col("__slice").alias("__of")).agg(F.count(F.lit(1)).alias("__size"))
+    # one row per slice
+    offsets = sizes.select("__of", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__at"))
+    place = F.row_number().over(Window.partitionBy("__slice").orderBy(*order))
+    joined = cut.withColumn("__place", place).join(
+        F.broadcast(offsets), F.col("__slice") == F.col("__of")
+    )
+    number = F.col("__place") + F.col("__at") + start
+    return joined.select(number.cast("bigint").alias("id"), *records.columns)
 
 
 def record_checks(records: DataFrame, name: str, order: list[str]) -> DataFrame:
