@@ -191,9 +191,10 @@ def _(t):
     "convex_hulls",
     """WITH pts AS (SELECT DISTINCT c_nationkey AS k, c_custkey * 37 % 1000 AS x,
                     c_custkey * 91 % 1000 AS y FROM customer),
-    edges AS (SELECT a.k, a.x AS ux, a.y AS uy, b.x AS vx, b.y AS vy
-      FROM pts a JOIN pts b ON a.k = b.k AND (a.x <> b.x OR a.y <> b.y)
-      JOIN pts c ON c.k = a.k GROUP BY ALL
+    pairs AS (SELECT a.k, a.x AS ux, a.y AS uy, b.x AS vx, b.y AS vy
+      FROM pts a JOIN pts b ON a.k = b.k AND (a.x <> b.x OR a.y <> b.y)),
+    edges AS (SELECT p.k, ux, uy, vx, vy FROM pairs p JOIN pts c ON c.k = p.k
+      GROUP BY p.k, ux, uy, vx, vy
       HAVING bool_and((vx-ux)*(c.y-uy)-(vy-uy)*(c.x-ux) > 0
         OR ((vx-ux)*(c.y-uy)-(vy-uy)*(c.x-ux) = 0
             AND c.x BETWEEN least(ux,vx) AND greatest(ux,vx)
