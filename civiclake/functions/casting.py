@@ -11,9 +11,17 @@ from pyspark.sql import functions as F
 from civiclake.functions.columns import ColumnLike, as_column
 
 
+NUMERIC = ("smallint", "int", "bigint", "float", "double", "decimal")
+
+
 def _cast(c: ColumnLike, type_name: str, lenient: bool) -> Column:
     c = as_column(c)
-    return c.try_cast(type_name) if lenient else c.cast(type_name)
+    if not lenient:
+        return c.cast(type_name)
+    if type_name.startswith(NUMERIC):
+        # a failing try_cast costs an exception; most words can be told from numbers at once
+        c = F.when(c.cast("string").rlike(r"^\s*[-+.0-9nNiI]"), c)
+    return c.try_cast(type_name)
 
 
 def text(c: ColumnLike) -> Column:
@@ -64,8 +72,9 @@ def numeric_to_bigint(c: ColumnLike, lenient: bool = False) -> Column:
 def money(c: ColumnLike, lenient: bool = False) -> Column:
     """'$1,200.50', '-$3' and '($3)' to an exact amount."""
     raw = F.trim(as_column(c).cast("string"))
-    digits = _cast(F.regexp_replace(raw, r"[$,()]", ""), "decimal(19,2)", lenient)
-    return F.when(raw.startswith("("), -digits).otherwise(digits)
+    sign = F.when(raw.startswith("("), "-").otherwise("")
+    digits = F.translate(raw, "$,()", "")
+    return _cast(F.concat(sign, digits), "decimal(19,2)", lenient)
 
 
 def boolean(c: ColumnLike, lenient: bool = False) -> Column:

@@ -127,32 +127,39 @@ def boundary_edges(boundary: ColumnLike) -> Column:
     return F.filter(edges, lambda e: (e.x1 != e.x2) | (e.y1 != e.y2))
 
 
-def edges_contain(edges: ColumnLike, x: ColumnLike, y: ColumnLike) -> Column:
-    """True for points strictly inside: an odd number of segments to the right, none underneath.
+def _turn(e: Column, x: Column, y: Column) -> Column:
+    """Positive when the point lies left of the directed segment, 0 on its line."""
+    return (e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1)
+
+
+def odd_crossings(edges: ColumnLike, x: ColumnLike, y: ColumnLike) -> Column:
+    """Whether an odd number of segments lies to the right of the point.
 
     A segment counts when its ends lie on different sides of the point's height, the lower end
     included and the upper one not, so a corner is never counted twice.
     """
     x, y = as_column(x), as_column(y)
 
-    def turn(e):  # > 0: the point lies left of the directed segment
-        return (e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1)
-
-    def is_right_of(e):
-        rises = (e.y1 <= y) & (e.y2 > y) & (turn(e) > 0)
-        falls = (e.y2 <= y) & (e.y1 > y) & (turn(e) < 0)
+    def is_right(e):
+        rises = (e.y1 <= y) & (e.y2 > y) & (_turn(e, x, y) > 0)
+        falls = (e.y2 <= y) & (e.y1 > y) & (_turn(e, x, y) < 0)
         return rises | falls
 
+    return F.size(F.filter(as_column(edges), is_right)) % 2 == 1
+
+
+def edges_contain(edges: ColumnLike, x: ColumnLike, y: ColumnLike) -> Column:
+    """True for points strictly inside: an odd number of segments to the right, none underneath."""
+    x, y = as_column(x), as_column(y)
+
     def is_under(e):
         return (
-            (turn(e) == 0)
+            (_turn(e, x, y) == 0)
             & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
             & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
         )
 
-    edges = as_column(edges)
-    odd = F.size(F.filter(edges, is_right_of)) % 2 == 1
-    return odd & ~F.exists(edges, is_under)
+    return odd_crossings(edges, x, y) & ~F.exists(as_column(edges), is_under)
 
 
 def contains(boundary: ColumnLike, x: ColumnLike, y: ColumnLike) -> Column:

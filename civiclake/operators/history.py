@@ -31,7 +31,7 @@ def with_previous(
     cold_rows, hot_rows = split_by_keys(df, keys, hot)
     limit = hot_row_limit(df.sparkSession) if hot_limit is None else hot_limit
     total = hot.agg(F.sum("key_rows")).first()[0]
-    slices = max(2, min(100_000, -(-4 * total // max(limit, 1))))
+    slices = max(2, min(100_000, -(-2 * total // max(limit, 1))))
     return _windowed_previous(cold_rows, keys, order, previous).unionByName(
         _sliced_previous(hot_rows, keys, order, previous, slices)
     )

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.functions.geometry import boundary_edges, edges_contain
+from civiclake.functions.geometry import boundary_edges, edges_contain, odd_crossings
 from civiclake.plans.scratch import written
 from civiclake.plans.skew import broadcast_limit, replicated
 
@@ -80,18 +80,23 @@ def boundary_index(
     rows = rows.withColumn(
         "__edges", F.filter("__edges", lambda e: F.greatest(e.x1, e.x2) >= left)
     )
+    centre_x, centre_y = (left + right) / 2, (low + high) / 2
     touched = F.exists("__edges", lambda e: F.least(e.x1, e.x2) <= right)
-    centre_inside = edges_contain(F.col("__edges"), (left + right) / 2, (low + high) / 2)
-    rows = rows.withColumns({"__touched": touched, "__centre": centre_inside})
-    rows = rows.where(F.col("__touched") | F.col("__centre"))
     none = F.slice("__edges", 1, 0)
-    index = rows.select(
+    # an array of no or one row per cell: decided once, without a filter that repeats the work
+    decided = F.when(
+        touched, F.array(F.struct(F.lit(False).alias("__inside"), F.col("__edges")))
+    ).when(
+        odd_crossings("__edges", centre_x, centre_y),
+        F.array(F.struct(F.lit(True).alias("__inside"), none.alias("__edges"))),
+    )
+    cells_of = rows.select(
         *keep,
         F.col("__cx").cast("bigint").alias("__cx"),
         F.col("__cy").cast("bigint").alias("__cy"),
-        (~F.col("__touched")).alias("__inside"),
-        F.when(F.col("__touched"), F.col("__edges")).otherwise(none).alias("__edges"),
+        decided.alias("__decided"),
     )
+    index = cells_of.select(*keep, "__cx", "__cy", F.inline("__decided"))
     return written(index, "boundary-index"), size
 
 
@@ -221,7 +226,8 @@ def convex_hull(points: DataFrame, keys: list[str], x: str, y: str, fan_in: int
         for key, rows in frame.groupby(keys, dropna=False, sort=False):
             corners = pd.DataFrame(_hull(rows[["x", "y"]].to_numpy()), columns=["x", "y"])
             for name, value in zip(keys, key):
-                corners.insert(0, name, value)
+                known = None if pd.isna(value) else value
+                corners[name] = pd.Series([known] * len(corners), dtype=object)
             parts.append(corners)
         out = pd.concat(parts) if parts else frame.iloc[:0]
         return out[[*keys, "x", "y"]]
@@ -238,7 +244,10 @@ def convex_hull(points: DataFrame, keys: list[str], x: str, y: str, fan_in: int
 
     def final(frame: pd.DataFrame) -> pd.DataFrame:
         corners = _hull(frame[["x", "y"]].to_numpy())
-        row = {k: [frame[k].iloc[0]] for k in keys}
+        first_row = {k: frame[k].iloc[0] for k in keys}
+        row = {
+            k: pd.Series([None if pd.isna(v) else v], dtype=object) for k, v in first_row.items()
+        }
         row["hull"] = [[{"x": float(a), "y": float(b)} for a, b in corners]]
         return pd.DataFrame(row)
 

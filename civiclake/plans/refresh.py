@@ -14,6 +14,7 @@ from civiclake.operators.quality import Expectation, validate
 from civiclake.operators.versions import (
     latest_versions,
     latest_versions_incremental,
+    merge_distinct_versions,
     new_versions,
 )
 from civiclake.plans import parcels
@@ -68,7 +69,8 @@ def update_raw(spark: SparkSession, spec: DatasetSpec, staged: DataFrame | None)
         return spark.table(name)
     source_cols, metadata = spec.source_cols(staged), list(spec.metadata_cols)
     if not spark.catalog.tableExists(name):
-        tables.create_like(spark, name, staged.select(*source_cols, *metadata))
+        empty = staged.select(*source_cols, *metadata).limit(0)
+        return tables.publish(merge_distinct_versions(empty, staged, source_cols, metadata), name)
     fresh = new_versions(spark.table(name), staged, source_cols, metadata)
     return tables.append(fresh, name)
 
@@ -104,7 +106,8 @@ def refresh(
     """
     tables.create_layers(spark)
     if check is not None:
-        prior = spark.table(CHECKS) if spark.catalog.tableExists(CHECKS) else check.limit(0)
+        unpulled = check.withColumn("data_pulled_this_check", F.lit(False))
+        prior = spark.table(CHECKS) if spark.catalog.tableExists(CHECKS) else unpulled.limit(0)
         state = checked_sources(check, prior)
         recorded = tables.record_checks(state, CHECKS, ["table_id", "time_of_check"])
         new = recorded.agg(F.bool_or("updated_data_available")).first()[0]

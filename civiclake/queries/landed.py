@@ -221,16 +221,22 @@ def _(t):
 def listing_pages(t):
     """One directory page per order with a parent link, a folder and a file."""
     c = F.col
-    row = '<tr><td valign="top"><img src="x.gif"></td><td><a href="%s">%s</a></td>'
-    row += '<td align="right">%s  </td><td align="right">%s</td><td>%s</td></tr>'
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")
     folder = F.concat(F.lit("TIGER"), F.year("o_orderdate").cast("string"), F.lit("/"))
-    name = F.format_string("tl_2022_%02d_tract.zip", c("o_custkey") % 90)
+    state = F.lpad((c("o_custkey") % 90).cast("string"), 2, "0")
+    name = F.concat(F.lit("tl_2022_"), state, F.lit("_tract.zip"))
+
+    def row(link, when, size, note):
+        opened = '<tr><td valign="top"><img src="x.gif"></td><td><a href="'
+        parts = [opened, link, '">', link, '</a></td><td align="right">', when]
+        parts += ['  </td><td align="right">', size, "</td><td>", note, "</td></tr>"]
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
     page = F.concat(
         F.lit("<html><body><h1>Index of &lt;x&gt;</h1><table>\n<tr><th>Name</th></tr>\n"),
-        F.format_string(row, F.lit("/"), F.lit("Parent Directory"), F.lit("&nbsp;"), F.lit("-"), F.lit("&nbsp;")),
-        F.format_string(row, folder, folder, day, F.lit("  - "), F.lit("&nbsp;")),
-        F.format_string(row, name, name, day, F.lit("1.2M"), F.lit("a &amp; b")),
+        row("Parent Directory", "&nbsp;", "-", "&nbsp;"),
+        row(folder, day, "  - ", "&nbsp;"),
+        row(name, day, "1.2M", "a &amp; b"),
         F.lit("</table></body></html>"),
     )
     url = F.concat(F.lit("https://files.example/"), c("o_orderkey").cast("string"), F.lit("/"))

@@ -20,6 +20,7 @@ from civiclake.operators.versions import (
 from civiclake.plans.names import with_standard_names
 from civiclake.plans.parcels import sale_features
 from civiclake.plans.refresh import refresh
+from civiclake.plans.scratch import written
 from civiclake.plans.spec import DatasetSpec, auto_spec, column_specs, standardize
 from civiclake.queries.base import Tables, query
 from civiclake.sources import files, tables
@@ -214,10 +215,11 @@ def _(t):
 def flagship(t: Tables) -> DataFrame:
     """Raw versions, standardized, latest per record, resale features, monthly statistics."""
     clean = latest_versions(standardized_orders(t), "document_num", tie_breakers=["sale_id"])
+    clean = written(clean, "clean")  # a stored table, as later steps read it more than once
     feats = sale_features(
         clean, "customer", "sale_date", "sale_price", "sale_id", {}, class_column=None
     )
-    stats = monthly_stats(feats, "sale_date", "sale_price")
+    stats = monthly_stats(clean, "sale_date", "sale_price")
     resales = feats.groupBy(F.date_format("sale_date", "yyyy-MM").alias("month")).agg(
         F.count("price_change_since_last_sale").alias("num_resales"),
         F.sum("price_change_since_last_sale").alias("total_change"),

@@ -111,7 +111,7 @@ def _(t):
     """Three keys for all rows: each is cut into ordered slices."""
     order = [*_LINE_ORDER.replace(", l_returnflag", "").split(", "), "l_partkey"]
     rows = t.lineitem.select("l_returnflag", *order)
-    out = H.with_changes(rows, ["l_returnflag"], order, ["l_quantity"], hot_limit=10_000)
+    out = H.with_changes(rows, ["l_returnflag"], order, ["l_quantity"], hot_limit=15_000)
     return out.select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity_change"
     )

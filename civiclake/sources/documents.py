@@ -209,31 +209,54 @@ def tag_rows(docs: DataFrame, doc: str) -> DataFrame:
     return rows.withColumn("tag_name", F.coalesce("tag_name", F.lit(NO_TAGS)))
 
 
+# fixed values: the entities directory pages use
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
+def _up_to(tag: str) -> str:
+    """Pattern for everything before a closing tag, without backtracking."""
+    return rf"[^<]*+(?:<(?!{tag}>)[^<]*+)*+"
+
+
 def _plain_text(cell: Column) -> Column:
-    bare = F.regexp_replace(cell, r"(?s)<[^>]*>", "")
-    for entity, char in {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&amp;": "&"}.items():
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return F.regexp_replace(bare, r"^[\s ]+|[\s ]+$", "")
+    """Text of a table cell; the costly steps run only where there is something to do."""
+    bare = F.regexp_replace(cell, r"<[^>]*>", "")
+    decoded = bare
+    for entity, char in ENTITIES.items():
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    text = F.when(F.contains(cell, F.lit("&")), decoded).otherwise(
+        F.when(F.contains(cell, F.lit("<")), bare).otherwise(cell)
+    )
+    return F.btrim(text, F.lit(" \t\r\n\u00a0"))
 
 
 def listing_rows(pages: DataFrame, html: str, url: str) -> DataFrame:
     """Directory-listing pages: one row per listed file or folder (the parent link is dropped)."""
     kept = [c for c in pages.columns if c not in (html, url)]
-    table = F.regexp_extract(F.col(html), r"(?is)<table\b.*?</table>", 0)
-    trs = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
-    rows = pages.select(*kept, F.col(url).alias("__url"), F.explode(trs).alias("__tr"))
-    cells = F.regexp_extract_all("__tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
-    rows = rows.withColumn("__c", F.transform(cells, _plain_text)).where(F.size("__c") > 0)
-    name = F.get("__c", 1)
-    base = F.regexp_replace(F.trim("__url"), r"/+$", "")
+    listed_on = F.lower(F.col(html)).contains("<table")
+    # from the first table on, up to its end
+    table = F.regexp_extract(F.col(html), rf"(?i)<table\b{_up_to('/table')}", 0)
+    trs = F.split(table, r"(?i)<tr\b[^>]*>")
+    rows = pages.where(listed_on).select(
+        *kept, F.col(url).alias("__url"), F.explode(trs).alias("__tr")
+    )
+    cells = F.regexp_extract_all("__tr", F.lit(rf"(?i)<td\b[^>]*>({_up_to('/td')})"), 1)
+    row = F.transform(F.slice(cells, 2, 4), _plain_text)
+    # no or one array per table row, so header rows vanish without a second look at the text
+    some = F.when(F.lower("__tr").contains("<td"), F.array(row))
+    rows = rows.select(*kept, "__url", F.explode(some).alias("__c"))
+    name = F.get("__c", 0)
+    base = F.rtrim(F.trim("__url"), F.lit("/"))
     listed = rows.select(
         *kept,
         name.alias("name"),
-        F.try_to_timestamp(F.get("__c", 2), F.lit("yyyy-MM-dd HH:mm")).alias("last_modified"),
-        F.get("__c", 3).alias("size"),
-        F.get("__c", 4).alias("description"),
+        F.try_to_timestamp(F.get("__c", 1), F.lit("yyyy-MM-dd HH:mm")).alias("last_modified"),
+        F.get("__c", 2).alias("size"),
+        F.get("__c", 3).alias("description"),
         name.endswith("/").alias("is_dir"),
-        F.regexp_replace(name, r"/$", "").alias("clean_name"),
+        F.when(name.endswith("/"), F.substring(name, F.lit(1), F.length(name) - 1))
+        .otherwise(name)
+        .alias("clean_name"),
         base.alias("__base"),
     )
     is_file = ~F.col("is_dir") & (F.col("clean_name") != "Parent Directory")

@@ -7,15 +7,22 @@ because the raw store keeps each version once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.operators.quality import Expectation
 from civiclake.plans.refresh import refresh
 from civiclake.plans.spec import DatasetSpec
 
-# table id, '_', time of the pull, extension
-PULL_TIME = r"^\S{4}-\S{4}_(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z)"
+# table id, '_', time of the pull, extension; file systems without ':' in names have '_' or '-'
+PULL_TIME = r"^\S{4}-\S{4}_(\d{4}-\d{2}-\d{2}T\d{2}[:_-]\d{2}[:_-]\d{2}(?:\.\d+)?Z)"
+
+
+def pull_time(file_name: str) -> Column:
+    """The time of the pull in a landed file's name as ISO text."""
+    found = F.regexp_extract(file_name, PULL_TIME, 1)
+    return F.regexp_replace(found, r"T(\d{2})[_-](\d{2})[_-](\d{2})", "T$1:$2:$3")
+
 
 
 def refresh_landed(
@@ -38,7 +45,7 @@ def refresh_landed(
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
         .withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-        .withColumn("__pulled", F.regexp_extract("__file", PULL_TIME, 1))
+        .withColumn("__pulled", pull_time("__file"))
         .drop("__file")
     )
     done = []
