@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from civiclake.functions.columns import ColumnLike, as_column, same_row
 from civiclake.functions.dates import month_label, month_start_of_label
 from civiclake.operators.quantiles import exact_quantiles
-from civiclake.plans.skew import hot_keys
+from civiclake.plans.skew import hot_keys, quantile_row_limit
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -77,11 +77,12 @@ def monthly_stats(
         F.round(F.avg("value")).cast("bigint").alias("mean_value"),
         F.min("value").alias("min_value"),
     ]
-    if hot_keys(rows, ["month"], hot_limit) is None:
+    limit = quantile_row_limit(df.sparkSession) if hot_limit is None else hot_limit
+    if hot_keys(rows, ["month"], limit) is None:
         median = F.percentile(F.col("value").cast("double"), 0.5).alias("median_value")
         return rows.groupBy("month").agg(*simple, median)
     base = rows.groupBy("month").agg(*simple)
-    medians = exact_quantiles(rows, ["month"], "value", [0.5], "__q", hot_limit)
+    medians = exact_quantiles(rows, ["month"], "value", [0.5], "__q", limit)
     medians = medians.select(F.col("month").alias("__month"), F.get("__q", 0).alias("median_value"))
     return base.join(medians, F.col("month").eqNullSafe(F.col("__month")), "left").drop("__month")
 

@@ -214,9 +214,9 @@ def _json_schema(a: dict[str, Any], c: Column) -> Column:
 
 
 def _z_score(df: DataFrame, a: dict[str, Any], c: Column) -> Column:
-    mean = df.agg(F.avg(a["column"])).scalar()
-    spread = df.agg(F.stddev_samp(a["column"])).scalar()
-    z = (c.cast("double") - mean) / spread
+    x = F.col(a["column"])
+    stats = df.agg(F.struct(F.avg(x).alias("mean"), F.stddev_samp(x).alias("spread"))).scalar()
+    z = (c.cast("double") - stats.getField("mean")) / stats.getField("spread")
     return (F.abs(z) if a.get("double_sided", True) else z) < a["threshold"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.plans.skew import hot_keys, hot_row_limit, split_by_keys
+from civiclake.plans.skew import hot_keys, quantile_row_limit, split_by_keys
 
 
 def exact_quantiles(
@@ -22,7 +22,7 @@ def exact_quantiles(
     groups of ordinary size; larger ones go through ``_selected``.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
-    limit = hot_row_limit(df.sparkSession) if hot_limit is None else hot_limit
+    limit = quantile_row_limit(df.sparkSession) if hot_limit is None else hot_limit
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     plain = F.percentile("__v", wanted).alias(name)
     if not keys:

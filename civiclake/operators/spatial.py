@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS_PER_BOUNDARY = 256
 SALTS = 32
+HELD_CORNERS = 100_000
 
 
 def _extent(edges):
@@ -236,6 +237,9 @@ def convex_hull(points: DataFrame, keys: list[str], x: str, y: str, fan_in: int
         held = None
         for batch in batches:
             held = reduced(batch if held is None else pd.concat([held, batch]))
+            if len(held) > HELD_CORNERS:  # very many keys: pass on what is there
+                yield held
+                held = None
         if held is not None:
             yield held
 

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.columns import nulls_first_desc, rank_struct
+from civiclake.plans.skew import broadcast_limit
 
 PROVENANCE = ["source_data_updated", "ingestion_check_time"]
+BYTES_PER_HASH = 32  # of a broadcast set of 8-byte hashes
 
 
 def distinct_pull(staged: DataFrame, source_cols: list[str], metadata_cols: list[str] = PROVENANCE):
@@ -61,11 +63,14 @@ def new_versions(
         .groupBy("__hash", *source_cols)
         .agg(F.min(F.struct(*[F.col(m) for m in metadata_cols])).alias("__kept"))
     )
-    known = existing.select(
-        F.xxhash64(*source_cols).alias("__known_hash"),
-        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(source_cols)]).alias("__known"),
-    )
+    stored = existing.withColumn("__known_hash", F.xxhash64(*source_cols))
+    if staged.count() * BYTES_PER_HASH <= broadcast_limit(existing.sparkSession):
+        # a pull of bounded size: its hashes are sent to the store, which then is not shuffled;
+        # only stored rows with one of those hashes are compared exactly
+        hashes = fresh.select(F.col("__hash").alias("__known_hash"))
+        stored = stored.join(F.broadcast(hashes), "__known_hash", "left_semi")
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(source_cols)])
+    known = stored.select("__known_hash", row.alias("__known"))
     same = (F.col("__hash") == F.col("__known_hash")) & (row == F.col("__known"))
     return fresh.join(known, same, "left_anti").select(
         *source_cols, *[F.col(f"__kept.{m}").alias(m) for m in metadata_cols]

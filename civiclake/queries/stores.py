@@ -209,7 +209,7 @@ def _(t):
            max(sale_price) AS max_value, round(avg(sale_price))::BIGINT AS mean_value,
            min(sale_price) AS min_value, quantile_cont(sale_price::DOUBLE, 0.5) AS median_value,
            count(price_change) AS num_resales, sum(price_change)::BIGINT AS total_change,
-           count_if(years >= 1.0 / 12)::BIGINT AS num_annualized
+           count(*) FILTER (years >= 1.0 / 12) AS num_annualized
     FROM feats GROUP BY 1""",
 )
 def flagship(t: Tables) -> DataFrame:

@@ -96,29 +96,27 @@ def concatenated(*frames: DataFrame) -> DataFrame:
 TABLE_ID = r"^(\S{4}-\S{4})"  # fixed value: landed files start with their table's id
 
 
-def landed_files(spark: SparkSession, folder: str, table_id: str = TABLE_ID) -> DataFrame:
-    """path, name, table_id, modified, bytes of every landed file; contents are not read.
+def landed_files(
+    spark: SparkSession, folder: str, table_id: str = TABLE_ID, digests: bool = False
+) -> DataFrame:
+    """path, name, table_id, modified, bytes of every landed file.
 
-    Files whose name does not match ``table_id`` are not landed data and left out.
+    Files whose name does not match ``table_id`` are not landed data and left out. Contents are
+    read only for ``digests``, which adds a digest of each file.
     """
-    files = spark.read.format("binaryFile").load(folder)
+    found = spark.read.format("binaryFile").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(
+    extra = [F.sha2("content", 256).alias("digest")] if digests else []
+    return found.select(
         "path",
         name.alias("name"),
         F.regexp_extract(name, table_id, 1).alias("table_id"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("bytes"),
+        *extra,
     ).where(F.col("table_id") != "")
 
 
-def landed_digests(spark: SparkSession, folder: str, table_id: str = TABLE_ID) -> DataFrame:
-    """``landed_files`` plus a digest of each file's content."""
-    files = spark.read.format("binaryFile").load(folder)
-    digests = files.select("path", F.sha2("content", 256).alias("digest"))
-    return landed_files(spark, folder, table_id).join(digests, "path")
-
-
 def repeated_sizes(files: DataFrame) -> DataFrame:
     """(table_id, bytes) that more than one file has: the only candidates for equal content."""
     counts = files.groupBy("table_id", "bytes").agg(F.count(F.lit(1)).alias("n_files"))

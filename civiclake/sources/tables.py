@@ -1,8 +1,12 @@
 """Layer tables in the catalog.
 
-A layer table is a view over the newest written folder of that table. Publishing writes a new
-folder and then points the view at it, so a table can be rebuilt from itself, readers never see
-a half-written state, and a failed job leaves the previous version in place.
+A layer table is a view over the folders written for that table. Publishing writes a new folder
+and then points the view at it, so a table can be rebuilt from itself, readers never see a
+half-written state, and a failed job leaves the previous version in place.
+
+Appends and merges write only what is new: an append adds a folder to the view; a merge keeps the
+replaced and added rows in a folder of their own, which the view puts in place of the rows of the
+base with the same key. Once those folders get many or large, the next change rewrites the table.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from pyspark.sql import functions as F
 from civiclake.operators.versions import upserted
 from civiclake.plans.scratch import fresh_path, written
 
+MOST_FOLDERS = 32
+LARGEST_DELTA = 0.2
 LAYERS = ("data_raw", "standardized", "clean", "feature", "dwh", "metadata")
 
 
@@ -42,26 +48,34 @@ def read(spark: SparkSession, name_or_select: str) -> DataFrame:
 
 def publish(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a full new version of a table and switch to it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name.replace(".", "/"))
+    path = fresh_path(df.sparkSession, name.replace(".", "/"))
     df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return _point_at(spark, name, [path], df)
+    return _point_at(df.sparkSession, name, df.columns, [path])
 
 
-def _point_at(spark: SparkSession, name: str, paths: list[str], like: DataFrame) -> DataFrame:
-    sources = " UNION ALL ".join(
-        f"SELECT {', '.join(f'`{c}`' for c in like.columns)} FROM parquet.`{p}`" for p in paths
-    )
-    comment = ";".join(paths)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('paths' = '{comment}') AS {sources}"
-    )
+def _point_at(
+    spark: SparkSession,
+    name: str,
+    columns: list[str],
+    base: list[str],
+    delta: str = "",
+    key: str = "",
+) -> DataFrame:
+    listed = ", ".join(f"`{c}`" for c in columns)
+    parts = [f"SELECT {listed} FROM parquet.`{p}`" for p in base]
+    if delta:
+        replaced = f"(SELECT `{key}` AS __key FROM parquet.`{delta}`)"
+        parts = [f"{p} LEFT ANTI JOIN {replaced} ON `{key}` = __key" for p in parts]
+        parts.append(f"SELECT {listed} FROM parquet.`{delta}`")
+    properties = f"'base' = '{';'.join(base)}', 'delta' = '{delta}', 'key' = '{key}'"
+    body = " UNION ALL ".join(parts)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS {body}")
     return spark.table(name)
 
 
-def _paths(spark: SparkSession, name: str) -> list[str]:
-    shown = spark.sql(f"SHOW TBLPROPERTIES {name} ('paths')").first()[1]
-    return shown.split(";")
+def _folders(spark: SparkSession, name: str) -> tuple[list[str], str, str]:
+    shown = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return shown["base"].split(";"), shown["delta"], shown["key"]
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -70,19 +84,17 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def append(df: DataFrame, name: str) -> DataFrame:
-    """Add rows to a table; what is stored already is not rewritten.
-
-    Each append is a folder of its own. After 32 of them the table is rewritten into one.
-    """
+    """Add rows to a table; what is stored already is not rewritten."""
     spark = df.sparkSession
     if not table_exists(spark, name):
         return publish(df, name)
-    paths = _paths(spark, name)
-    if len(paths) >= 32:
-        return publish(spark.table(name).unionByName(df), name)
+    table = spark.table(name)
+    base, delta, _ = _folders(spark, name)
+    if len(base) >= MOST_FOLDERS or delta:
+        return publish(table.unionByName(df), name)
     path = fresh_path(spark, name.replace(".", "/"))
-    df.select(*spark.table(name).columns).write.parquet(path)
-    return _point_at(spark, name, [*paths, path], spark.table(name))
+    df.select(*table.columns).write.parquet(path)
+    return _point_at(spark, name, table.columns, [*base, path])
 
 
 def replace_staging(df: DataFrame, dataset: str, **constants: object) -> DataFrame:
@@ -98,11 +110,26 @@ def create_like(spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
 
 
 def merge(delta: DataFrame, name: str, key: str) -> DataFrame:
-    """Upsert by key; the table takes on the columns of ``delta``."""
+    """Upsert by key; the table takes on the columns of ``delta``.
+
+    Only replaced and added rows are written, until they reach a fifth of the table.
+    """
     spark = delta.sparkSession
     if not table_exists(spark, name):
         return publish(delta, name)
-    return publish(upserted(spark.table(name), delta, key), name)
+    table = spark.table(name)
+    base, former, former_key = _folders(spark, name)
+    if set(table.columns) != set(delta.columns) or former_key not in ("", key):
+        return publish(upserted(table, delta, key), name)
+    changes = delta
+    if former:
+        changes = upserted(spark.read.parquet(former), delta, key)
+    path = fresh_path(spark, name.replace(".", "/"))
+    changes.write.parquet(path)
+    changed = spark.read.parquet(path).count()
+    if changed >= LARGEST_DELTA * spark.read.parquet(*base).count():
+        return publish(upserted(table, delta, key), name)
+    return _point_at(spark, name, delta.columns, base, path, key)
 
 
 def absent_rows(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -192,7 +192,7 @@ def test_landed_files(spark, tmp_path):
         "notes.txt": "same",
     }.items():
         (tmp_path / name.replace(":", "_")).write_text(text)
-    got = files.landed_digests(spark, str(tmp_path))
+    got = files.landed_files(spark, str(tmp_path), digests=True)
     assert got.count() == 4
     again = files.repeated_content(got, ["name"])
     assert [r.name[10:17] for r in again.collect()] == ["2024-02"]

@@ -144,3 +144,25 @@ def test_excluded_rows_and_surrogate_key(spark):
     df = spark.createDataFrame(data, "dist_num string, dist_label string, geometry struct<type:string,coordinates:string>")
     out = standardize(df, REGISTRY["chicago_police_district_boundaries"])
     assert rows(out, "dist_num", "dist_label") == [("01", "Y")]
+
+
+def test_small_merges_write_only_the_delta(spark):
+    tables.create_layers(spark, ("merges",))
+    base = spark.range(100).selectExpr("id", "'old' AS v")
+    tables.publish(base, "merges.t")
+    first = spark.sql("SELECT id, 'new' AS v FROM VALUES (1L), (200L) AS t(id)")
+    tables.merge(first, "merges.t", "id")
+    folders = tables._folders(spark, "merges.t")
+    assert len(folders[0]) == 1 and folders[1] and folders[2] == "id"
+    second = spark.sql("SELECT id, 'newer' AS v FROM VALUES (1L), (2L) AS t(id)")
+    got = tables.merge(second, "merges.t", "id")
+    assert tables._folders(spark, "merges.t")[0] == folders[0]
+    assert got.count() == 101 and got.select("id").distinct().count() == 101
+    assert rows(got.where("v <> 'old'")) == [(1, "newer"), (2, "newer"), (200, "new")]
+    large = spark.range(50).selectExpr("id", "'large' AS v")
+    got = tables.merge(large, "merges.t", "id")
+    assert tables._folders(spark, "merges.t")[1] == "" and got.where("v = 'large'").count() == 50
+    more = spark.range(1).selectExpr("id", "'x' AS v", "true AS w")
+    got = tables.merge(more, "merges.t", "id")
+    assert got.columns == ["id", "v", "w"] and got.count() == 101
+    assert tables.append(more.selectExpr("id + 999 AS id", "v", "w"), "merges.t").count() == 102
