@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,44 +31,64 @@ def _extent(edges):
     return F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys)
 
 
-def _cell_size(boxes: DataFrame, cells_per_boundary: int) -> float:
-    """Side of a square cell so that boundaries cover about that many cells on average."""
-    n, area, side = boxes.agg(
-        F.count(F.lit(1)),
-        F.sum((F.col("__x1") - F.col("__x0")) * (F.col("__y1") - F.col("__y0"))),
-        F.max(F.greatest(F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0"))),
-    ).first()
-    if not n or not side:
-        return 1.0
-    by_area = math.sqrt((area or 0.0) / (n * cells_per_boundary))
-    return max(by_area, side / 4096.0)  # a single long boundary must not explode into cells
+@dataclass(frozen=True)
+class Layer:
+    """Boundaries to look points up in: the column of the boundary, and ``{column: new_name}`` of
+    what a point gets from the boundary around it."""
+
+    boundaries: DataFrame
+    names: dict[str, str]
+    boundary: str = "geometry_parts"
+
+
+def _cell_sizes(boxes: DataFrame, layers: int, cells_per_boundary: int) -> list[float]:
+    """Per layer the side of a square cell so that boundaries cover about that many on average."""
+    width, height = F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0")
+    measured = boxes.groupBy("__layer").agg(
+        F.count(F.lit(1)), F.sum(width * height), F.max(F.greatest(width, height))
+    )
+    sizes = [1.0] * layers
+    for layer, n, area, side in measured.collect():  # one row per layer
+        if side:
+            # a single long boundary must not explode into cells
+            sizes[layer] = max(math.sqrt(area / (n * cells_per_boundary)), side / 4096.0)
+    return sizes
 
 
 def boundary_index(
-    boundaries: DataFrame,
-    boundary: str,
-    keep: list[str],
-    cells_per_boundary: int = CELLS_PER_BOUNDARY,
-) -> tuple[DataFrame, float]:
-    """One row per boundary and grid cell that it may cover, and the cell size.
+    layers: list[Layer], cells_per_boundary: int = CELLS_PER_BOUNDARY
+) -> tuple[DataFrame, list[float], list[int]]:
+    """One row per boundary and grid cell that it may cover; per layer cell size and index bytes.
 
     A row holds only the segments that matter inside its cell: those at the height of the cell
     and not wholly to its left. A cell that no segment touches is decided once: it is dropped
-    when outside, and marked ``__inside`` without segments when inside. The index is written
-    out: it is small, read twice, and costly to compute again for every join.
+    when outside, and marked ``__inside`` without segments when inside. All layers are indexed
+    together and written out: the index is small, read several times, and costly to recompute.
     """
-    edges = boundaries.select(*keep, boundary_edges(boundary).alias("__edges")).where(
-        F.size("__edges") > 0
-    )
+    boxes = None
+    for i, layer in enumerate(layers):
+        edges = layer.boundaries.select(
+            F.lit(i).alias("__layer"),
+            boundary_edges(layer.boundary).alias("__edges"),
+            *[F.col(c).alias(f"__b_{n}") for c, n in layer.names.items()],
+        )
+        boxes = edges if boxes is None else boxes.unionByName(edges, allowMissingColumns=True)
+    keep = ["__layer", *[c for c in boxes.columns if c.startswith("__b_")]]
     x0, x1, y0, y1 = _extent(F.col("__edges"))
-    boxes = edges.withColumns({"__x0": x0, "__x1": x1, "__y0": y0, "__y1": y1})
-    size = _cell_size(boxes, cells_per_boundary)
+    boxes = boxes.where(F.size("__edges") > 0).withColumns(
+        {"__x0": x0, "__x1": x1, "__y0": y0, "__y1": y1}
+    )
+    sizes = _cell_sizes(boxes, len(layers), cells_per_boundary)
+    boxes = boxes.withColumn(
+        "__size", F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("__layer") + 1)
+    )
+    size, slack = F.col("__size"), F.col("__size") * 1e-6
+    # slack: a point's cell is found by division, its edges by multiplication
 
     def cells(lo, hi):
         return F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
 
     rows = boxes.withColumn("__cy", F.explode(cells("__y0", "__y1")))
-    slack = size * 1e-6  # a point's cell is found by division, its edges by multiplication
     low, high = F.col("__cy") * size - slack, (F.col("__cy") + 1) * size + slack
     rows = rows.withColumn(
         "__edges",
@@ -97,26 +118,23 @@ def boundary_index(
         F.col("__cy").cast("bigint").alias("__cy"),
         decided.alias("__decided"),
     )
-    index = cells_of.select(*keep, "__cx", "__cy", F.inline("__decided"))
-    return written(index, "boundary-index"), size
-
-
-def _index_bytes(index: DataFrame) -> int:
-    rows, segments = index.agg(F.count(F.lit(1)), F.sum(F.size("__edges"))).first()
-    return 200 * (rows or 0) + 40 * (segments or 0)
+    index = written(
+        cells_of.select(*keep, "__cx", "__cy", F.inline("__decided")), "boundary-index"
+    )
+    weights = index.groupBy("__layer").agg(F.count(F.lit(1)), F.sum(F.size("__edges")))
+    bytes_of = {i: 200 * rows + 40 * segments for i, rows, segments in weights.collect()}
+    return index, sizes, [bytes_of.get(i, 0) for i in range(len(layers))]
 
 
-def join_containing(
+def join_layers(
     points: DataFrame,
-    boundaries: DataFrame,
+    layers: list[Layer],
     x: str,
     y: str,
-    boundary: str,
-    keep: dict[str, str],
     how: str = "left",
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Add the boundary columns ``{column: new_name}`` of every boundary strictly around a point.
+    """Add the boundary columns of every boundary strictly around a point, layer after layer.
 
     Equi-join on grid cells plus an exact test; a point is in one cell, so a (point, boundary)
     pair shows up once. With ``how='left'`` points outside everything keep NULLs.
@@ -125,9 +143,20 @@ def join_containing(
     not shuffled at all. Beyond it both sides are shuffled by cell and salt, so a cell with very
     many points is spread over ``SALTS`` tasks.
     """
-    index, size = boundary_index(boundaries, boundary, list(keep))
-    index = index.select(*[F.col(c).alias(f"__b_{n}") for c, n in keep.items()], "__cx", "__cy",
-                         "__inside", "__edges")
+    limit = broadcast_limit(points.sparkSession) if broadcast_bytes is None else broadcast_bytes
+    index, sizes, weights = boundary_index(layers)
+    out = points
+    for i, layer in enumerate(layers):
+        made = [f"__b_{n}" for n in layer.names.values()]
+        own = index.where(F.col("__layer") == i).select(*made, "__cx", "__cy", "__inside", "__edges")
+        joined = _join_index(out, own, x, y, sizes[i], how, weights[i] <= limit)
+        out = joined.select(
+            *out.columns, *[F.col(f"__b_{n}").alias(n) for n in layer.names.values()]
+        )
+    return out
+
+
+def _join_index(points, index, x, y, size, how, small):
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     located = points.withColumns(
         {
@@ -137,27 +166,34 @@ def join_containing(
     )
     same = (F.col("__pcx") == F.col("__cx")) & (F.col("__pcy") == F.col("__cy"))
     within = F.col("__inside") | edges_contain(F.col("__edges"), px, py)
-    limit = broadcast_limit(points.sparkSession) if broadcast_bytes is None else broadcast_bytes
-    if _index_bytes(index) <= limit:
-        joined = located.join(F.broadcast(index), same & within, how)
-    else:
-        # points without coordinates get a salt of their own: no partner, but spread out too
-        spread = F.xxhash64(*points.columns)
-        located = located.withColumn(
-            "__psalt",
-            F.when(F.col("__pcx").isNull() | F.col("__pcy").isNull(), F.lit(SALTS) + F.abs(spread % 1024))
-            .otherwise(F.pmod(spread, F.lit(SALTS)))
-            .cast("int"),
-        ).withColumns(
-            {c: F.coalesce(F.col(c), F.lit(0)) for c in ("__pcx", "__pcy")}
-        )
-        index = replicated(index, SALTS)
-        joined = located.join(
-            index.hint("merge"), same & (F.col("__psalt") == F.col("__salt")) & within, how
-        )
-    return joined.select(
-        *points.columns, *[F.col(f"__b_{n}").alias(n) for n in keep.values()]
+    if small:
+        return located.join(F.broadcast(index), same & within, how)
+    # points without coordinates get salts of their own: no partner, but spread out too
+    spread = F.xxhash64(*points.columns)
+    nowhere = F.col("__pcx").isNull() | F.col("__pcy").isNull()
+    salt = F.when(nowhere, F.lit(SALTS) + F.abs(spread % 1024)).otherwise(
+        F.pmod(spread, F.lit(SALTS))
     )
+    located = located.withColumn("__psalt", salt.cast("int")).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0)) for c in ("__pcx", "__pcy")}
+    )
+    salted_index = replicated(index, SALTS).hint("merge")
+    return located.join(salted_index, same & (F.col("__psalt") == F.col("__salt")) & within, how)
+
+
+def join_containing(
+    points: DataFrame,
+    boundaries: DataFrame,
+    x: str,
+    y: str,
+    boundary: str,
+    names: dict[str, str],
+    how: str = "left",
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """``join_layers`` with a single layer."""
+    layer = Layer(boundaries, names, boundary)
+    return join_layers(points, [layer], x, y, how, broadcast_bytes)
 
 
 def polygon_parts(df: DataFrame, boundary: str, part: str = "part", dissolve: bool = False):

@@ -64,10 +64,12 @@ def new_versions(
         .agg(F.min(F.struct(*[F.col(m) for m in metadata_cols])).alias("__kept"))
     )
     stored = existing.withColumn("__known_hash", F.xxhash64(*source_cols))
-    if staged.count() * BYTES_PER_HASH <= broadcast_limit(existing.sparkSession):
-        # a pull of bounded size: its hashes are sent to the store, which then is not shuffled;
-        # only stored rows with one of those hashes are compared exactly
-        hashes = fresh.select(F.col("__hash").alias("__known_hash"))
+    pulled = staged.count()
+    fits = pulled * BYTES_PER_HASH <= broadcast_limit(existing.sparkSession)
+    if fits and 4 * pulled <= existing.count():
+        # a small pull: its hashes are sent to the store, which then is not shuffled; only
+        # stored rows with one of those hashes are compared exactly
+        hashes = staged.select(F.xxhash64(*source_cols).alias("__known_hash")).distinct()
         stored = stored.join(F.broadcast(hashes), "__known_hash", "left_semi")
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(source_cols)])
     known = stored.select("__known_hash", row.alias("__known"))

@@ -11,7 +11,7 @@ from civiclake.functions.dates import years_between
 from civiclake.functions.geometry import feature_json, point
 from civiclake.functions.text import joined_skipping_nulls
 from civiclake.operators.history import latest_per, with_previous
-from civiclake.operators.spatial import join_containing, polygon_parts
+from civiclake.operators.spatial import Layer, join_layers, polygon_parts
 from civiclake.plans.classes import CLASS_DESCRIPTIONS
 
 SHORTEST_HOLDING = 1.0 / 12  # fixed value: gaps under a month give no annual figure
@@ -137,12 +137,12 @@ def parcel_locations_feature(
     located = owned.withColumns(
         {c: F.when(inside_city, F.col(c)) for c in ("__x", "__y")}
     )
-    for layer, column, name in (
-        (districts_clean, "dist_num", "cpd_district"),
-        (beats_clean, "beat_num", "cpd_beat"),
-        (areas_clean, "community", "chicago_community"),
-    ):
-        located = join_containing(located, layer, "__x", "__y", "geometry_parts", {column: name})
+    layers = [
+        Layer(districts_clean, {"dist_num": "cpd_district"}),
+        Layer(beats_clean, {"beat_num": "cpd_beat"}),
+        Layer(areas_clean, {"community": "chicago_community"}),
+    ]
+    located = join_layers(located, layers, "__x", "__y")
     return located.select(
         "pin",
         "town_nbhd",

@@ -72,14 +72,12 @@ def _(t):
 )
 def _(t):
     """Three left spatial joins in a row; points on shared borders are in no beat."""
-    rows = order_points(t)
-    for layer, column, name in (
-        (shapes.districts(t.region), "dist_num", "district"),
-        (shapes.beats(t.nation), "beat_num", "beat"),
-        (shapes.areas(t.nation), "community", "area"),
-    ):
-        rows = S.join_containing(rows, layer, "x", "y", "geometry_parts", {column: name})
-    return rows
+    layers = [
+        S.Layer(shapes.districts(t.region), {"dist_num": "district"}),
+        S.Layer(shapes.beats(t.nation), {"beat_num": "beat"}),
+        S.Layer(shapes.areas(t.nation), {"community": "area"}),
+    ]
+    return S.join_layers(order_points(t), layers, "x", "y")
 
 
 @query(
