@@ -34,6 +34,7 @@ class Expectation:
 
     kind: str
     args: dict[str, Any] = field(default_factory=dict)
+    meta: dict[str, Any] = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
@@ -60,13 +61,17 @@ def expect(kind: str, column: str | None = None, **args: Any) -> Expectation:
 def suite_from_json(text: str) -> list[Expectation]:
     """Read a suite document: {"expectations": [{"expectation_type", "kwargs"}]}."""
     return [
-        Expectation(e["expectation_type"].removeprefix("expect_"), e.get("kwargs", {}))
+        Expectation(
+            e["expectation_type"].removeprefix("expect_"), e.get("kwargs", {}), e.get("meta", {})
+        )
         for e in json.loads(text)["expectations"]
     ]
 
 
 def suite_to_json(suite: list[Expectation], name: str = "warning") -> str:
-    items = [{"expectation_type": f"expect_{e.kind}", "kwargs": e.args} for e in suite]
+    items = [
+        {"expectation_type": f"expect_{e.kind}", "kwargs": e.args, "meta": e.meta} for e in suite
+    ]
     return json.dumps({"expectation_suite_name": name, "expectations": items}, default=str)
 
 

@@ -21,7 +21,6 @@ from civiclake.plans import parcels
 from civiclake.plans.names import with_standard_names
 from civiclake.plans.spec import DatasetSpec, standardize
 from civiclake.sources import tables
-from civiclake.sources.files import with_constants
 
 CHECKS = "metadata.table_metadata"
 CHECK_FIELDS = ("data_pulled_this_check",)
@@ -56,10 +55,10 @@ def build_models(spark: SparkSession, models: dict[str, Model]) -> dict[str, Dat
 def stage(df: DataFrame, dataset: str, source_updated: str, checked: str | None = None):
     """Standard column names, provenance stamped on every row, written as the staging table."""
     checked = checked or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-    stamped = with_constants(
-        with_standard_names(df), source_data_updated=source_updated, ingestion_check_time=checked
+    named = with_standard_names(df)
+    return tables.replace_staging(
+        named, dataset, source_data_updated=source_updated, ingestion_check_time=checked
     )
-    return tables.publish(stamped, f"data_raw.temp_{dataset}")
 
 
 def update_raw(spark: SparkSession, spec: DatasetSpec, staged: DataFrame | None) -> DataFrame:

@@ -53,12 +53,6 @@ def split_by_keys(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataF
     return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi")
 
 
-def salted(df: DataFrame, salts: int, name: str = "__salt", spread_over: list[str] | None = None):
-    """Add a deterministic salt, so a retried task puts its rows where they were."""
-    cols = spread_over or df.columns
-    return df.withColumn(name, F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
-
-
 def replicated(df: DataFrame, salts: int, name: str = "__salt") -> DataFrame:
     """One copy per salt, for the small side of a salted join."""
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

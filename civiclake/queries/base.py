@@ -28,6 +28,8 @@ def query(name: str, sql: str | None = None):
 
     def add(f: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            # the benchmark tables hold wall-clock times; the SQL side reads them as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return f(Tables(spark, folder))
 
         run.__name__, run.__doc__ = name, f.__doc__

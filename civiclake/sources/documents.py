@@ -291,8 +291,3 @@ def geography_pattern(
 
 def chosen_files(listing: DataFrame, pattern: str) -> DataFrame:
     return listing.where(F.col("name").rlike(pattern))
-
-
-def nested_map(pairs: Column) -> Column:
-    """array<struct<key, value>> to a map."""
-    return F.map_from_entries(pairs)
