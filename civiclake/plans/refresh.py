@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiclake.operators.freshness import checked_sources
 from civiclake.operators.quality import Expectation, validate
@@ -24,6 +26,7 @@ from civiclake.sources import tables
 
 CHECKS = "metadata.table_metadata"
 CHECK_FIELDS = ("data_pulled_this_check",)
+ISO_TEXT = re.compile(r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}")
 
 
 class GateFailed(RuntimeError):
@@ -54,6 +57,8 @@ def build_models(spark: SparkSession, models: dict[str, Model]) -> dict[str, Dat
 
 def stage(df: DataFrame, dataset: str, source_updated: str, checked: str | None = None):
     """Standard column names, provenance stamped on every row, written as the staging table."""
+    if not ISO_TEXT.match(source_updated):
+        raise ValueError(f"not ISO text: {source_updated}")
     checked = checked or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     named = with_standard_names(df)
     return tables.replace_staging(
@@ -74,15 +79,35 @@ def update_raw(spark: SparkSession, spec: DatasetSpec, staged: DataFrame | None)
     return tables.append(fresh, name)
 
 
-def update_clean(spark: SparkSession, spec: DatasetSpec, standardized: DataFrame):
+def recent_versions(raw: DataFrame, spec: DatasetSpec, mark: datetime) -> DataFrame:
+    """Raw rows that may be newer than ``mark``, by their time of publication as landed.
+
+    The standardized time is computed, so a condition on it cannot skip files. The landed ISO
+    text can: time zones shift it by little more than a day, so rows two days before the mark
+    are certainly older. Each pull is a folder of its own with one publication time, hence
+    only the folders of recent pulls are read.
+    """
+    at = spec.updated_at
+    stamped = at in spec.metadata_cols and isinstance(raw.schema[at].dataType, T.StringType)
+    if not stamped:
+        return raw
+    day = (mark - timedelta(days=2)).strftime("%Y-%m-%d")
+    return raw.where((F.col(at) >= day) | F.col(at).isNull())
+
+
+def update_clean(spark: SparkSession, spec: DatasetSpec, raw: DataFrame, lenient: bool = False):
     """(clean table, rows inserted or replaced). The first time, or into an empty table, the
     latest version of every record is taken; later only of records changed since."""
     name = f"clean.{spec.name}_clean"
     key, updated = spec.record_id, spec.updated_at
-    if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
-        clean = tables.publish(latest_versions(standardized, key, updated), name)
+    mark = None
+    if spark.catalog.tableExists(name):
+        mark = spark.table(name).agg(F.max(updated)).first()[0]
+    if mark is None:
+        clean = tables.publish(latest_versions(standardize(raw, spec, lenient), key, updated), name)
         return clean, clean
-    delta = latest_versions_incremental(standardized, spark.table(name), key, updated)
+    recent = standardize(recent_versions(raw, spec, mark), spec, lenient)
+    delta = latest_versions_incremental(recent, spark.table(name), key, updated)
     delta = tables.publish(delta, f"clean.{spec.name}_delta")  # read twice: merge and report
     return tables.merge(delta, name, key), delta
 
@@ -120,9 +145,8 @@ def refresh(
             raise GateFailed(f"{spec.name}: staged data failed its suite")
     existed = spark.catalog.tableExists(f"data_raw.{spec.name}")
     raw = update_raw(spark, spec, staged)
-    standardized = standardize(raw, spec, lenient)
-    tables.publish_view(standardized, f"{spec.name}_standardized")
-    clean, delta = update_clean(spark, spec, standardized)
+    tables.publish_view(standardize(raw, spec, lenient), f"{spec.name}_standardized")
+    clean, delta = update_clean(spark, spec, raw, lenient)
     built = build_models(spark, models or {})
     if check is not None and staged is not None:
         ids = F.col("id").isin([r[0] for r in recorded.select("id").collect()])

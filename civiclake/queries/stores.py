@@ -320,6 +320,13 @@ def _(t):
     return tables.publish(first.withColumn("s_name", F.upper("s_name")), name)
 
 
+@query("table_stored_sorted", "SELECT * FROM orders WHERE o_custkey <= 50")
+def _(t):
+    """Stored in ranges of a key; a filter on it reads only the files that may hold it."""
+    stored = tables.publish(t.orders, _table(t, "orders"), sort_by=["o_custkey", "o_orderdate"])
+    return stored.where("o_custkey <= 50")
+
+
 @query("table_view", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
 def _(t):
     """A lazy view by name."""

@@ -47,9 +47,19 @@ def read(spark: SparkSession, name_or_select: str) -> DataFrame:
     return spark.sql(text) if " " in text else spark.table(text)
 
 
-def publish(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a full new version of a table and switch to it."""
+def publish(
+    df: DataFrame,
+    name: str,
+    partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
+) -> DataFrame:
+    """Write a full new version of a table and switch to it.
+
+    ``sort_by`` stores rows in ranges of these columns, so that filters on them skip files.
+    """
     path = fresh_path(df.sparkSession, name.replace(".", "/"))
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return _point_at(df.sparkSession, name, df.columns, [path])
 

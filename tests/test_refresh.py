@@ -1,9 +1,17 @@
+from datetime import datetime
+
 import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
 from civiclake.operators.quality import expect
-from civiclake.plans.refresh import PARCEL_MODELS, GateFailed, build_models, refresh
+from civiclake.plans.refresh import (
+    PARCEL_MODELS,
+    GateFailed,
+    build_models,
+    recent_versions,
+    refresh,
+)
 from civiclake.plans.registry import REGISTRY
 from civiclake.plans.spec import DatasetSpec, auto_columns, column_specs, standardize
 from civiclake.sources import tables
@@ -36,6 +44,19 @@ def test_two_refreshes(spark):
     assert again.delta.count() == 0 and again.raw.count() == 4
 
 
+def test_old_pulls_are_not_read_again(spark):
+    spec = DatasetSpec("towed_e", SPEC.key, SPEC.record_id, SPEC.columns)
+    for day in ("2024-10-01", "2024-11-01", "2024-12-01"):
+        last = refresh(spark, spec, pull(spark, ("1", "abc", day)), f"{day}T11:00:00Z")
+    assert rows(last.clean, "towed_to") == [("2024-12-01",)]
+    recent = recent_versions(last.raw, spec, datetime(2024, 12, 1, 17))
+    assert rows(recent, "towed_to") == [("2024-12-01",)]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(source_data_updated,2024-11-29)" in plan
+    with pytest.raises(ValueError, match="not ISO text"):
+        refresh(spark, spec, pull(spark, ("1", "abc", "x")), "12/01/2024")
+
+
 def test_report_and_gate(spark):
     spec = DatasetSpec("towed_b", SPEC.key, SPEC.record_id, SPEC.columns)
     suite = [expect("column_values_to_be_in_set", "plate", value_set=["abc"])]
