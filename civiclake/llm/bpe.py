@@ -4,7 +4,8 @@ Each piece of text between split points starts as its bytes. The leaves of a tre
 rank of every adjacent pair, inner nodes the smallest rank below. The root says which pair merges
 next, going left on ties gives the leftmost one, and a merge changes at most three leaves, each in
 logarithmic time, until no pair can merge. A piece of n bytes takes O(n log n) steps, so a
-megabyte without a blank is no special case.
+megabyte without a blank is no special case. Short pieces are merged many at a time: their trees
+are rows of one array, and each step finds every root's leftmost leaf and updates its path.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import hashlib
 import json
 from array import array
 
+import numpy as np
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -26,6 +28,13 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 REMEMBERED = 400_000
 REMEMBERED_LENGTH = 48
 
+#: Widths of the trees that are rows of one array; longer pieces have a tree of their own.
+WIDTHS = (4, 8, 16, 32, 64)
+
+#: Documents whose new pieces are merged together, and characters after which a group is full.
+GROUP_ROWS = 256
+GROUP_CHARACTERS = 1 << 20
+
 _NEVER = 1 << 40
 
 
@@ -94,6 +103,13 @@ class Codec(dict):
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merged[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+        keys = np.array([left << 32 | right for left, right in self.merged], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys = keys[order]
+        self.pair_ranks = np.array([rank for rank, _ in self.merged.values()], np.int64)[order]
+        self.made_by = np.zeros(len(model["merges"]), np.int64)
+        for rank, made in self.merged.values():
+            self.made_by[rank] = made
         self.special: dict[str, int] = {}
         for token in spec.get("added_tokens", []):
             if any(token.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")):
@@ -130,7 +146,86 @@ class Codec(dict):
                 tree.set(previous, merged.get((ids[previous], ids[left]), never)[0])
         return [n for n, here in zip(ids, alive) if here]
 
-    def __missing__(self, piece: str) -> bytes:
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of ids; a negative id is no neighbour."""
+        keys = left << 32 | (right & 0xFFFFFFFF)
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == keys) & (right >= 0) & (left >= 0), self.pair_ranks[at], _NEVER)
+
+    def merge_rows(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, which are left) of pieces of at most ``width`` bytes, a row each."""
+        rows = len(pieces)
+        raw = np.frombuffer(b"".join(piece.ljust(width, b"\0") for piece in pieces), np.uint8).reshape(rows, width)
+        inside = np.arange(width) < np.fromiter(map(len, pieces), np.int64, rows)[:, None]
+        span = width + 1  # one place behind the last, for neighbours that do not exist
+        ids = np.full((rows, span), -1, np.int64)
+        ids[:, :width] = np.where(inside, np.array(self.start, np.int64)[raw], -1)
+        alive = np.zeros((rows, span), bool)
+        alive[:, :width] = inside
+        after = np.tile(np.minimum(np.arange(1, span + 1), width), (rows, 1))
+        before = np.tile(np.r_[width, np.arange(width)], (rows, 1))
+        least = np.full((rows, 2 * width), _NEVER, np.int64)
+        least[:, width:] = self._ranks(ids[:, :width], ids[:, 1:])
+        level = width // 2
+        while level:
+            np.minimum(least[:, 2 * level : 4 * level : 2], least[:, 2 * level + 1 : 4 * level : 2], out=least[:, level : 2 * level])
+            level //= 2
+        flat_ids, flat_after, flat_before = ids.reshape(-1), after.reshape(-1), before.reshape(-1)
+        flat_alive, flat_least = alive.reshape(-1), least.reshape(-1)
+
+        def put(trees, leaves, ranks):
+            nodes = leaves + width
+            flat_least[trees + nodes] = ranks
+            for _ in range(width.bit_length() - 1):
+                nodes = nodes >> 1
+                both = trees + 2 * nodes
+                flat_least[trees + nodes] = np.minimum(flat_least[both], flat_least[both + 1])
+
+        active = np.flatnonzero(least[:, 1] < _NEVER)
+        while active.size:
+            trees, places = active * (2 * width), active * span
+            rank = flat_least[trees + 1]
+            nodes = np.ones_like(active)
+            for _ in range(width.bit_length() - 1):
+                nodes *= 2
+                nodes += flat_least[trees + nodes] != rank
+            left = nodes - width
+            gone = flat_after[places + left]
+            made = flat_ids[places + left] = self.made_by[rank]
+            flat_alive[places + gone] = False
+            following = flat_after[places + left] = flat_after[places + gone]
+            flat_before[places + following] = left
+            put(trees, gone, _NEVER)
+            put(trees, left, self._ranks(made, flat_ids[places + following]))
+            previous = flat_before[places + left]
+            has = previous < width
+            if has.any():
+                put(trees[has], previous[has], self._ranks(flat_ids[(places + previous)[has]], made[has]))
+            active = active[flat_least[trees + 1] < _NEVER]
+        return ids, alive
+
+    def remember(self, pieces: set[str]) -> None:
+        """Merges the short ones among pieces not seen before, many at a time."""
+        new = [piece for piece in pieces if piece not in self and len(piece) <= REMEMBERED_LENGTH]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = [piece for piece in pieces if len(piece) <= REMEMBERED_LENGTH]
+        encoded = [piece.encode("utf-8") for piece in new]
+        low = 0
+        for width in WIDTHS:
+            own = [n for n, piece in enumerate(encoded) if low < len(piece) <= width]
+            low = width
+            for at in range(0, len(own), 16384):
+                part = own[at : at + 16384]
+                ids, alive = self.merge_rows([encoded[n] for n in part], width)
+                packed = ids[alive].astype("<u4").tobytes()
+                ends = (4 * alive.sum(1).cumsum()).tolist()
+                for n, first, past in zip(part, [0, *ends], ends):
+                    self[new[n]] = packed[first:past]
+
+    def __missing__(self, piece: str | tuple[str]) -> bytes:
+        if isinstance(piece, tuple):
+            return _packed([self.special[piece[0]]])
         packed = _packed(self.merge(piece.encode("utf-8")))
         if len(piece) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
@@ -138,17 +233,31 @@ class Codec(dict):
             self[piece] = packed
         return packed
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; the strings of added tokens are those tokens."""
-        if self.cut is None:
-            return b"".join(map(self.__getitem__, self.pieces(text)))
+    def split(self, text: str) -> list[str | tuple[str]]:
+        """Pieces of ordinary text; an added token's string stands for that token and is in a tuple."""
+        if self.cut is None or not self.cut.search(text):
+            return self.pieces(text)
         parts, at = [], 0
         for found in self.cut.finditer(text):
-            parts += map(self.__getitem__, self.pieces(text[at : found.start()]))
-            parts.append(_packed([self.special[found.group()]]))
+            parts += self.pieces(text[at : found.start()])
+            parts.append((found.group(),))
             at = found.end()
-        parts += map(self.__getitem__, self.pieces(text[at:] if at else text))
-        return b"".join(parts)
+        return parts + self.pieces(text[at:])
+
+    def pack(self, pieces: list[str | tuple[str]]) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.__getitem__, pieces))
+
+    def encode(self, text: str) -> bytes:
+        return self.pack(self.split(text))
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(text) for text in texts]
+        distinct: set[str | tuple[str]] = set()
+        for pieces in split:
+            distinct.update(pieces)
+        self.remember({piece for piece in distinct if isinstance(piece, str)})
+        return [self.pack(pieces) for pieces in split]
 
     def decode(self, packed: bytes) -> str:
         ids = array("I", packed)
@@ -193,10 +302,22 @@ def encode_decode(
 
     def run(rows):
         own = codec(shared.value)
-        for key, text in rows:
-            packed = own.encode(text or "")
-            plain = own.decode(packed).encode("utf-8")
-            out = (key, len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(plain).hexdigest())
-            yield (*out, array("I", packed).tolist()) if with_ids else out
+        for group in _groups(rows):
+            for (key, _), packed in zip(group, own.encode_many([text or "" for _, text in group]), strict=True):
+                plain = own.decode(packed).encode("utf-8")
+                out = (key, len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(plain).hexdigest())
+                yield (*out, np.frombuffer(packed, "<u4").tolist()) if with_ids else out
 
     return map_rows(documents.select(id_column, text_column), run, schema + ", ids array<bigint>" * with_ids)
+
+
+def _groups(rows):
+    group, size = [], 0
+    for row in rows:
+        group.append(row)
+        size += len(row[1] or "")
+        if len(group) == GROUP_ROWS or size >= GROUP_CHARACTERS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
