@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, licenses
+from civiclake.llm import bpe, licenses, simhash
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -29,3 +29,8 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=3, max_bits=3)
