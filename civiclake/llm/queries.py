@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, licenses, simhash
+from civiclake.llm import bpe, licenses, simhash, toxicity
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -34,3 +34,9 @@ def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=3, max_bits=3)
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
