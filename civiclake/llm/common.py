@@ -71,9 +71,12 @@ def _packed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the input's size, from file sizes; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def table_bytes(df: DataFrame, column: str = "text") -> int:
+    """Bytes of the input: Catalyst's estimate from file sizes, or the column's length if it has none."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < 1 << 60:
+        return estimate
+    return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
 def ascii_lower(column: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, licenses, simhash, toxicity
+from civiclake.llm import bpe, decontaminate, licenses, simhash, toxicity
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -40,3 +40,9 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = table(spark, folder, "benchmark")
+    return decontaminate.find_contamination(table(spark, folder, "documents"), benchmark, 10).drop("spans")
