@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, decontaminate, licenses, simhash, toxicity
+from civiclake.llm import bpe, chat, decontaminate, licenses, simhash, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -46,3 +46,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")
     return decontaminate.find_contamination(table(spark, folder, "documents"), benchmark, 10).drop("spans")
+
+
+@query
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(table(spark, folder, "pages"))
+
+
+@query
+def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
