@@ -36,8 +36,8 @@ MODEL_TOKENS = 20_000
 PREFIXES = (4, 5, 6, 8)
 
 #: Weight of the prior, z-score, size of the log-odds and count a token needs, cost of other tokens.
-PRIOR_TOKENS = 20_000.0
-LEAST_Z = 4.0
+PRIOR_TOKENS = 2_000.0
+LEAST_Z = 3.0
 LEAST_ODDS = 3.0
 LEAST_COUNT = 5
 OTHER_TOKEN = -0.05
@@ -221,6 +221,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
         .collect()
     )
     model = Model(scores={bytes(r.token): r.score for r in chosen})
+    if not chosen:
+        return model
     _calibrate(model, documents, train)
     return model
 
