@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, chat, decontaminate, licenses, simhash, toxicity, urls
+from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, simhash, suffix_dedup, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -56,3 +56,13 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton_dedup.remove_repeats(table(spark, folder, "documents"))
