@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, simhash, suffix_dedup, toxicity, urls
+from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, neighbours, simhash, suffix_dedup, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -66,3 +66,8 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return automaton_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), k=20, query_divisor=20)
