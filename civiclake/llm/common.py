@@ -64,6 +64,18 @@ def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def map_batches(df: DataFrame, function, added: str = "") -> DataFrame:
+    """``function(batch)`` gets record batches of whole rows and returns them changed, filtered or with added columns."""
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                yield function(batch.slice(at, 1024))
+
+    return df.mapInArrow(run, ", ".join([*fields, *([added] if added else [])]))
+
+
 def _packed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, field.type) for values, field in zip(zip(*rows, strict=True), schema, strict=True)],

@@ -15,14 +15,16 @@ never larger than the words of one shard.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import alnum_words, map_rows, table_bytes
+from civiclake.llm.common import alnum_words, map_batches, map_rows, table_bytes
 
 #: Words of a phrase; shorter items are one phrase.
 PHRASE_WORDS = 10
@@ -289,3 +291,40 @@ def _shards(rows):
             shard, size = [], 0
     if shard:
         yield shard
+
+
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """A text without the characters from each span's first to its last word."""
+    if not spans:
+        return text
+    raw = text.encode("utf-8", "surrogatepass")
+    places = [found.span() for found in _WORD.finditer(raw)]
+    kept, at = [], 0
+    for first, past in spans:
+        kept.append(raw[at : places[first][0]])
+        at = places[past - 1][1]
+    return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def cut_contamination(
+    documents: DataFrame, benchmark: DataFrame, phrase_words: int = PHRASE_WORDS, item_column: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The documents, with all their columns, and ``text`` without its hit spans; null stays null.
+
+    Blocks of a large benchmark cut one after another, each what the ones before have left.
+    """
+    at = documents.columns.index("text")
+    for items in _blocks(benchmark, item_column, item_text):
+        shared = documents.sparkSession.sparkContext.broadcast(Phrases.of(items, phrase_words))
+
+        def cut(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            texts = batch.column(at).to_pylist()
+            hits = search_shard([alnum_words(text) for text in texts], shared.value)
+            texts = [text and without_spans(text, spans) for text, (spans, _) in zip(texts, hits)]
+            return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+        documents = map_batches(documents, cut)
+    return documents

@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, neighbours, simhash, suffix_dedup, toxicity, urls
+from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, neighbours, oracles, simhash, suffix_dedup, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_decontamination": oracles.DECONTAMINATION,
+    "op6_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op9_url_filter": oracles.URL_FILTER,
+}
 
 
 def query(function):

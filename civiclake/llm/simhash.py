@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import map_rows
+from civiclake.llm.common import map_batches, map_rows
 from civiclake.llm.components import smallest_reachable
 from civiclake.plans.scratch import written
 
@@ -201,6 +201,16 @@ def near_links(distinct: DataFrame, budget: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
+def component_ids(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component_id) for distinct ``fp`` with the smallest id that has each, ``first_id``."""
+    roots = smallest_reachable(near_links(distinct, max_bits))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rooted.join(smallest, "root").select("fp", "component_id")
+
+
 def near_duplicates(
     documents: DataFrame,
     shingle_words: int = 3,
@@ -217,15 +227,35 @@ def near_duplicates(
     Other columns are not read; an empty table gives an empty table.
     """
     docs = written(fingerprints(documents, shingle_words, id_column, text_column), "fingerprints")
-    distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = smallest_reachable(near_links(distinct, max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = rooted.join(smallest, "root").select("fp", "component_id")
+    known = component_ids(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), max_bits)
     return docs.join(known, "fp").select(
         F.col("doc_id").alias(id_column),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_first(
+    documents: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row of each component, with all its columns: the smallest id's, rows without id coming last.
+
+    Of rows that repeat an id in one component one stays. The rows are written once with their
+    fingerprints and numbers; only the numbers that stay are joined back.
+    """
+    at = documents.columns.index(text_column)
+
+    def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.array([fingerprint(t.as_py(), shingle_words) for t in batch.column(at)], np.uint64).view(np.int64)
+        return batch.append_column("__fp", pa.array(values, pa.int64()))
+
+    rows = map_batches(documents, marked, "__fp bigint").withColumn("__row", F.monotonically_increasing_id())
+    rows = written(rows, "fingerprinted")
+    slim = rows.select(F.col(id_column).alias("id"), F.col("__fp").alias("fp"), F.col("__row").alias("row"))
+    # per fingerprint its smallest id's row, then per component; a group of copies is aggregated before it moves
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    best = slim.groupBy("fp").agg(F.min(order).alias("best"))
+    roots = smallest_reachable(near_links(best, max_bits)).withColumnRenamed("node", "fp")
+    rooted = best.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*documents.columns)

@@ -21,10 +21,11 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import alnum_words, map_rows
+from civiclake.llm.common import alnum_words, map_batches, map_rows
 
 #: Labelled training documents that are used at most, by the order of a hash of their id.
 TRAINING_ROWS = 50_000
@@ -107,6 +108,10 @@ class Model:
                 best = max(best, -log_p - math.log(r * (r + 1)))
         return max(best, 0.0)
 
+    def judge(self, words: list[bytes]) -> float:
+        """The probability that a document of these words is toxic."""
+        return self.probability(self.statistic(self.segments(words), len(words)))
+
     def probability(self, statistic: float) -> float:
         x = self.slope * math.log1p(statistic) + self.offset
         return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
@@ -300,8 +305,7 @@ def score(documents: DataFrame, model: Model, with_spans: bool = False, threshol
         own: Model = shared.value
         for key, text in rows:
             words = alnum_words(text)
-            found = own.segments(words)
-            value = own.probability(own.statistic(found, len(words)))
+            value = own.judge(words)
             out = (key, value, int(value >= threshold))
             if with_spans:
                 limit = math.log(own.k * max(len(words), 1) / 0.05)
@@ -317,3 +321,15 @@ def score(documents: DataFrame, model: Model, with_spans: bool = False, threshol
     scored = map_rows(documents.select("doc_id", "text"), run, schema)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
+def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """The rows, with all their columns, that score below ``threshold``; needs a text column only."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own: Model = shared.value
+        return batch.filter(pa.array([own.judge(alnum_words(t.as_py())) < threshold for t in batch.column(at)], pa.bool_()))
+
+    return map_batches(documents, clean)
