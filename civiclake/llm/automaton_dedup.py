@@ -96,8 +96,8 @@ class SuffixAutomaton:
                 found[place] = True
 
 
-def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each passage, which of its windows a passage of a smaller id has."""
+def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) -> np.ndarray:
+    """For the windows of all passages in turn, whether a passage of a smaller id has them."""
     found = [np.zeros(len(passage) - window + 1, bool) for passage in passages]
     order = np.argsort(ids, kind="stable").tolist()
     words = {n: passages[n].tolist() for n in order}
@@ -116,7 +116,7 @@ def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) ->
         for later in same_id[at:]:
             for n in later:
                 automaton.matched(words[n], window, found[n])
-    return found
+    return np.concatenate(found)
 
 
 class _Numbers(dict):

@@ -261,8 +261,17 @@ def _candidates(chunk: Chunk, window: int, buckets: int, replies: list[dict]):
     unit = chunk.values.itemsize
     digest = xxhash.xxh64_intdigest
 
-    def add(bucket: int, first: int, windows: int, key: int) -> None:
-        contents, least, counts, members = out.setdefault(bucket, ({}, [], [], []))
+    ids = chunk.ids[chunk.owner]
+    whole = chosen & ~apart
+    where = (chunk.key[whole] % np.uint64(buckets)).astype(np.int64).tolist()
+    rows = list(zip(where, chunk.first[whole].tolist(), chunk.count[whole].tolist(), ids[whole].tolist()))
+    for first, windows, key in zip(chunk.first[apart].tolist(), chunk.count[apart].tolist(), ids[apart].tolist()):
+        for start in range(first, first + windows):
+            rows.append(((digest(raw[start * unit : (start + window) * unit]) >> 16) % buckets, start, 1, key))
+    for bucket, first, windows, key in rows:
+        if bucket not in out:
+            out[bucket] = ({}, [], [], [])
+        contents, least, counts, members = out[bucket]
         content = raw[first * unit : (first + windows + window - 1) * unit]
         entry = contents.setdefault(content, len(least))
         if entry == len(least):
@@ -271,15 +280,6 @@ def _candidates(chunk: Chunk, window: int, buckets: int, replies: list[dict]):
         elif key < least[entry]:
             least[entry] = key
         members.append((entry, first, windows, key))
-
-    ids = chunk.ids[chunk.owner]
-    whole = chosen & ~apart
-    where = (chunk.key[whole] % np.uint64(buckets)).astype(np.int64)
-    for bucket, first, windows, key in zip(where.tolist(), chunk.first[whole].tolist(), chunk.count[whole].tolist(), ids[whole].tolist()):
-        add(bucket, first, windows, key)
-    for first, windows, key in zip(chunk.first[apart].tolist(), chunk.count[apart].tolist(), ids[apart].tolist()):
-        for start in range(first, first + windows):
-            add((digest(raw[start * unit : (start + window) * unit]) >> 16) % buckets, start, 1, key)
     return out
 
 
@@ -301,8 +301,24 @@ def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     return told.mapInArrow(run, "bucket bigint, chunk bigint, passages binary")
 
 
+def runs(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each pair of a begin and a count."""
+    return np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+
+
+def _passage_keys(text: np.ndarray, begins: np.ndarray, sizes: np.ndarray, kind: Kind) -> np.ndarray:
+    """The least gram hash of each passage of ``text``, which is the key of all its windows."""
+    hashes = np.r_[kind.gram_hashes(text), np.uint64(0)]
+    ends = begins + sizes - kind.gram + 1
+    return np.minimum.reduceat(hashes, np.stack([begins, ends], 1).reshape(-1))[::2]
+
+
 def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFrame:
-    """(chunk, bucket, earlier): for each sent passage, a bit per window that an earlier document has."""
+    """(chunk, bucket, earlier): for each sent passage, a bit per window that an earlier document has.
+
+    Equal passages are one, of the smallest id. The kernel gets those that share their key with
+    another one; the windows of a passage that is alone in its key are in no other.
+    """
     unit = np.dtype(unit_type).itemsize
 
     def run(group: pa.Table) -> pa.Table:
@@ -321,15 +337,23 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
                 elif key < least[entry]:
                     least[entry] = key
                 entries.append(entry)
-            sent.append((entries, ids, counts))
-        earlier = kernel([np.frombuffer(content, unit_type) for content in distinct], np.array(least, np.int64), kind.window)
+            sent.append((np.array(entries, np.int64), ids, np.array(counts, np.int64)))
+        smallest = np.array(least, np.int64)
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // unit
+        text = np.frombuffer(b"".join(distinct), unit_type)
+        begins = np.cumsum(sizes) - sizes
+        windows = sizes - kind.window + 1
+        window_begins = np.cumsum(windows) - windows
+        _, key_of, holders = np.unique(_passage_keys(text, begins, sizes, kind), return_inverse=True, return_counts=True)
+        several = np.flatnonzero(holders[key_of] > 1)
+        earlier = np.zeros(int(windows.sum()), bool)
+        if several.size:
+            found = kernel([text[b : b + n] for b, n in zip(begins[several], sizes[several])], smallest[several], kind.window)
+            earlier[runs(window_begins[several], windows[several])] = found
         out = []
         for entries, ids, counts in sent:
-            bits = [
-                earlier[entry] if key == least[entry] else np.ones(windows, bool)  # a copy is earlier as a whole
-                for entry, key, windows in zip(entries, ids.tolist(), counts)
-            ]
-            out.append(np.packbits(np.concatenate(bits)).tobytes())
+            copies = np.repeat(ids != smallest[entries], counts)  # a copy is earlier as a whole
+            out.append(np.packbits(earlier[runs(window_begins[entries], counts)] | copies).tobytes())
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "earlier": pa.array(out, pa.binary())})
 
     return passages.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, earlier binary")
@@ -340,17 +364,16 @@ def covered_units(chunk: Chunk, window: int, buckets: int, replies: list[dict],
     steps = np.zeros(len(chunk.values) + 1, np.int64)
     told = {a["bucket"]: a["earlier"] for a in answers}
     for bucket, (_, least, counts, members) in _candidates(chunk, window, buckets, replies).items():
-        bits = np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=sum(counts)).astype(bool)
-        begin = np.r_[0, np.cumsum(counts)].tolist()
-        some = np.logical_or.reduceat(bits, begin[:-1]).tolist()
-        for entry, first, windows, key in members:
-            if key > least[entry]:
-                steps[first] += 1
-                steps[first + windows + window - 1] -= 1
-            elif some[entry]:
-                starts = first + np.flatnonzero(bits[begin[entry] : begin[entry + 1]])
-                steps[starts] += 1
-                steps[starts + window] -= 1
+        counts = np.array(counts, np.int64)
+        bits = np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=int(counts.sum())).astype(bool)
+        entry, first, windows, key = np.array(members, np.int64).T
+        later = key > np.array(least, np.int64)[entry]  # the chunk itself has an earlier copy
+        np.add.at(steps, first[later], 1)
+        np.add.at(steps, first[later] + windows[later] + window - 1, -1)
+        entry, first, windows = entry[~later], first[~later], windows[~later]
+        starts = runs(first, windows)[bits[runs((np.cumsum(counts) - counts)[entry], windows)]]
+        np.add.at(steps, starts, 1)
+        np.add.at(steps, starts + window, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -368,7 +391,7 @@ def without_repeats(
     """The carried columns of every document and what ``finish(chunk, covered)`` makes of it.
 
     ``kernel(passages, ids, window)`` gets distinct passages and the smallest id that has each, and
-    returns for each an array that says which of its windows a passage of a smaller id has.
+    says for all their windows, one after another, whether a passage of a smaller id has them.
     """
     buckets = max(1, table_bytes(documents, text_column) // BUCKET_BYTES)
     chunks = chunked(documents, id_column, text_column, carried)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from civiclake.llm.passages import Chunk, Kind, mixed, without_repeats
+from civiclake.llm.passages import Chunk, Kind, mixed, runs, without_repeats
 
 WINDOW_BYTES = 50
 GRAM_BYTES = 24
@@ -60,26 +60,42 @@ def first_bytes(text: np.ndarray, positions: np.ndarray, count: int) -> list[np.
 
 
 def _ranked(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank of each) by several keys, equal ones of one rank."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        ordered = key[order]
-        new[1:] |= ordered[1:] != ordered[:-1]
+    """(order, rank of each) by several small numbers, equal ones of one rank.
+
+    As many keys as fit are one 63-bit number, and what is sorted so far goes on as a rank.
+    """
+    whole, width = keys[0].astype(np.uint64), _bits(keys[0])
+    for key in keys[1:]:
+        more = _bits(key)
+        if width + more > 63:
+            whole = _dense(whole)[1].astype(np.uint64)
+            width = _bits(whole)
+        whole, width = whole << np.uint64(more) | key.astype(np.uint64), width + more
+    return _dense(whole)
+
+
+def _bits(values: np.ndarray) -> int:
+    return max(int(values.max()).bit_length(), 1) if len(values) else 1
+
+
+def _dense(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(values)
+    ordered = values[order]
     ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new)
+    ranks[order] = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]])[: len(order)]
     return order, ranks
 
 
-def cover_ranks(text: np.ndarray, size: int, deepest: int) -> np.ndarray:
+def cover_ranks(words: np.ndarray, size: int, deepest: int) -> np.ndarray:
     """Ranks of suffixes at cover positions of the first ``size`` bytes, by doubling; 0 elsewhere.
 
-    Suffixes that agree in ``deepest`` bytes, beyond the end of any passage, share a rank.
+    ``words`` has for each position the rank of the 8 bytes there. Suffixes that agree in
+    ``deepest`` bytes, beyond the end of any passage, share a rank.
     """
     positions = np.concatenate([np.arange(c, size, PERIOD) for c in COVER])
     positions.sort()
-    _, ranks = _ranked(first_bytes(text, positions, PERIOD))
-    at = np.zeros(len(text), np.int32)
+    _, ranks = _ranked([words[positions + at] for at in range(0, PERIOD, 8)])
+    at = np.zeros(len(words), np.int64)
     depth = PERIOD
     while len(ranks) and depth < deepest and ranks.max() < len(ranks) - 1:
         at[positions] = ranks + 1
@@ -141,8 +157,8 @@ def blocks(heads: np.ndarray):
         yield order[at : at + taken]
 
 
-def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each passage, which of its windows a passage of a smaller id has."""
+def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) -> np.ndarray:
+    """For the windows of all passages in turn, whether a passage of a smaller id has them."""
     lengths = np.fromiter(map(len, passages), np.int64, len(passages))
     size = int((lengths + 1).sum())
     text = np.full(size + 2 * PERIOD + window + 16, END, np.uint8)
@@ -152,14 +168,16 @@ def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) ->
     counts = lengths - window + 1
     total = int(counts.sum())
     window_of = np.repeat(np.arange(len(passages)), counts)
-    starts = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + begins[window_of]
-    ranks = cover_ranks(text, size, int(lengths.max()) + 1)
+    starts = runs(begins, counts)
+    words = _dense(first_bytes(text, np.arange(len(text) - 7), 8)[0])[1]
+    ranks = cover_ranks(words, size, int(lengths.max()) + 1)
+    number = np.zeros(size, np.int64)
+    number[starts] = np.arange(total)
     earlier = np.zeros(total, bool)
     rest = window - PERIOD
     for block in blocks(text[starts].astype(np.int64) << 8 | text[starts + 1]):
         positions = starts[block]
-        keys = first_bytes(text, positions, PERIOD)
-        order, tie = _ranked(keys)
+        order, tie = _ranked([words[positions + at] for at in range(0, PERIOD, 8)])
         ordered_tie = tie[order]
         many = np.r_[ordered_tie[1:] == ordered_tie[:-1], False]
         many[1:] |= many[:-1].copy()
@@ -174,11 +192,11 @@ def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) ->
         for tail in tails:
             differs[1:] |= tail[1:] != tail[:-1]
         group = np.flatnonzero(differs)
-        back = np.searchsorted(starts, order_positions)
+        back = number[order_positions]
         owner = ids[window_of[back]]
         least = np.repeat(np.minimum.reduceat(owner, group), np.diff(np.r_[group, len(owner)]))
         earlier[back] = owner > least
-    return np.split(earlier, np.cumsum(counts)[:-1])
+    return earlier
 
 
 def _units(texts):
