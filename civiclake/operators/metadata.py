@@ -131,5 +131,8 @@ def check_records(docs: DataFrame, doc: str = "metadata_json", table_name: str |
 
 
 def stamped(rows: DataFrame, check: DataFrame, columns: list[str]) -> DataFrame:
-    """Attach the one-row check record's columns to every metadata row."""
-    return rows.crossJoin(F.broadcast(check.select(*columns).limit(1)))
+    """Attach the one-row check record's columns to every metadata row; several records raise."""
+    several = F.raise_error(F.lit("more than one check record to stamp rows with"))
+    one = check.agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in columns]).where("__n > 0")
+    picked = one.select(*[F.when(F.col("__n") == 1, F.col(c)).otherwise(several).alias(c) for c in columns])
+    return rows.crossJoin(F.broadcast(picked))

@@ -51,7 +51,8 @@ class Expectation:
 
     @property
     def mostly(self) -> float:
-        return float(self.args.get("mostly") or 1.0)
+        given = self.args.get("mostly")
+        return 1.0 if given is None else float(given)
 
 
 def expect(kind: str, column: str | None = None, **args: Any) -> Expectation:

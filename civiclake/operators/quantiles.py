@@ -99,4 +99,7 @@ def _selected(rows, keys, probabilities, name, limit):
         (1 - part) * F.col("__lo") + part * F.col("__hi")
     )
     ordered = F.sort_array(F.collect_list(F.struct("__pos", between.alias("q"))))
-    return picked.groupBy(*keys).agg(F.transform(ordered, lambda s: s.q).alias(name))
+    found = picked.groupBy(*keys).agg(F.transform(ordered, lambda s: s.q).alias(name))
+    # a group of NULLs alone has no bracket, and NULL quantiles like a small one
+    bare = stats.where("__n = 0").select(*keys, F.lit(None).cast("array<double>").alias(name))
+    return found.unionByName(bare)

@@ -157,7 +157,8 @@ def join_layers(
 
 
 def _join_index(points, index, x, y, size, how, small):
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    # NaN orders above all numbers and would count as inside; it is no coordinate
+    px, py = (F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in (x, y))
     located = points.withColumns(
         {
             "__pcx": F.floor(px / size).cast("bigint"),

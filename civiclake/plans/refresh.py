@@ -130,6 +130,8 @@ def refresh(
     """
     tables.create_layers(spark)
     if check is not None:
+        if check.select("table_id").distinct().count() > 1:
+            raise ValueError(f"{spec.name}: check records of more than one source table")
         unpulled = check.withColumn("data_pulled_this_check", F.lit(False))
         prior = spark.table(CHECKS) if spark.catalog.tableExists(CHECKS) else unpulled.limit(0)
         state = checked_sources(check, prior)
@@ -149,7 +151,8 @@ def refresh(
     clean, delta = update_clean(spark, spec, raw, lenient)
     built = build_models(spark, models or {})
     if check is not None and staged is not None:
-        ids = F.col("id").isin([r[0] for r in recorded.select("id").collect()])
+        first, last = recorded.agg(F.min("id"), F.max("id")).first()  # ids of one check are consecutive
+        ids = F.col("id").between(first, last)
         marked = tables.with_field_set(
             spark.table(CHECKS), ids, {"data_pulled_this_check": True}, CHECK_FIELDS
         )

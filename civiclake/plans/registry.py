@@ -424,7 +424,7 @@ _add(
     "nearest_neighbor_3_pin10",
     smallint="num_bus_stop_in_half_mile num_school_in_half_mile nearest_railroad_id",
     double="num_foreclosure_per_1000_pin_past_5_years airport_dnl_total",
-    patterns={r".*_dist_ft": "double", r".*_data_year": "smallint"},
+    patterns={r".*_dist_ft": "double", r"(?!num_foreclosure_).*_data_year": "smallint"},
 )
 _add(
     "cook_county_parcel_sales",

@@ -145,11 +145,13 @@ def table_rows(docs: DataFrame, doc: str, columns: list[str] | None = None) -> D
     """Array-of-arrays documents: the first inner array names the columns, the others are rows.
 
     Values are matched by name, so documents may order their columns differently. ``columns``
-    defaults to the header of one document.
+    defaults to those of all documents, by their first place in a header, then by name.
     """
     parsed = docs.withColumn("__rows", F.from_json(doc, "array<array<string>>"))
     if columns is None:
-        columns = parsed.where(F.size("__rows") > 0).select(F.get("__rows", 0)).first()[0]
+        heads = parsed.where(F.size("__rows") > 0).select(F.posexplode(F.get("__rows", 0)).alias("at", "name"))
+        places = heads.groupBy("name").agg(F.min("at").alias("at"))  # one row per column name
+        columns = [r.name for r in places.where("name IS NOT NULL").orderBy("at", "name").collect()]
     kept = [c for c in docs.columns if c != doc]
     body = F.slice("__rows", 2, F.greatest(F.size("__rows") - 1, F.lit(0)))
     rows = parsed.select(*kept, F.get("__rows", 0).alias("__head"), F.explode(body).alias("__row"))

@@ -18,9 +18,15 @@ def with_constants(df: DataFrame, **constants: object) -> DataFrame:
     )
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
+#: How landed CSV is read, whoever reads it: a header row, doubled quotes, malformed values raise.
+CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "escape": '"'}
+
+
+def infer_csv_schema(
+    spark: SparkSession, path: str, sampling_ratio: float = 1.0, **options: object
+) -> T.StructType:
     """Look at a first pull once; keep the result and read later pulls with it."""
-    reader = spark.read.option("header", True).option("inferSchema", True)
+    reader = spark.read.options(**CSV_OPTIONS).options(**options).option("inferSchema", True)
     return reader.option("samplingRatio", sampling_ratio).csv(path).schema
 
 
@@ -28,10 +34,7 @@ def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object
 ) -> DataFrame:
     """CSV with a header row. Without a schema all columns are text, so nothing is read twice."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    reader = reader.option("escape", '"')
-    for name, value in options.items():
-        reader = reader.option(name, value)
+    reader = spark.read.options(**CSV_OPTIONS).options(**options)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
@@ -57,14 +60,17 @@ def read_geojson(
     """
     feature = _feature_schema(properties)
     if layout == "lines":
-        rows = spark.read.schema(feature).json(path)
-        rows = rows.where(F.col("properties").isNotNull())
+        rows = spark.read.schema(feature).option("mode", "FAILFAST").json(path)
     elif layout == "separated":
         text = spark.read.option("lineSep", SEPARATED_FEATURE).text(path)
         # a record reads on into the separator before the next feature or the end of the
         # collection; the parser stops where the feature's own braces close
-        parsed = F.from_json(F.concat(F.lit("{"), "value"), feature)
-        rows = text.select(parsed.alias("f")).where(F.col("f.properties").isNotNull()).select("f.*")
+        opening = F.col("value").rlike(r'"features"\s*:\s*\[\s*$')
+        other = F.col("value").rlike(r'"type"\s*:\s*"Feature"')
+        unknown = F.raise_error(F.lit("a feature opens with other text: read it as layout document"))
+        value = F.when(other, unknown.cast("string")).otherwise(F.concat(F.lit("{"), "value"))
+        parsed = F.from_json(value, feature, {"mode": "FAILFAST"})
+        rows = text.where(~opening | other).where(F.trim("value") != "").select(parsed.alias("f")).select("f.*")
     elif layout == "document":
         collection = T.StructType().add("features", T.ArrayType(feature))
         documents = spark.read.schema(collection).option("multiLine", True).json(path)

@@ -11,6 +11,8 @@ base with the same key. Once those folders get many or large, the next change re
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,11 +97,18 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def append(df: DataFrame, name: str) -> DataFrame:
-    """Add rows to a table; what is stored already is not rewritten."""
+    """Add rows to a table; what is stored already is not rewritten.
+
+    The rows must have the table's columns, in any order, with the same types.
+    """
     spark = df.sparkSession
     if not table_exists(spark, name):
         return publish(df, name)
     table = spark.table(name)
+    own, new = ({f.name: f.dataType for f in d.schema.fields} for d in (table, df))
+    if own != new:
+        differing = sorted(c for c in own.keys() | new.keys() if own.get(c) != new.get(c))
+        raise ValueError(f"rows for {name} differ from the table in {differing}")
     base, delta, _ = _folders(spark, name)
     if len(base) >= MOST_FOLDERS or delta:
         return publish(table.unionByName(df), name)
@@ -119,7 +128,7 @@ def create_like(spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
 
 
 def merge(delta: DataFrame, name: str, key: str) -> DataFrame:
-    """Upsert by key; the table takes on the columns of ``delta``.
+    """Upsert by key; the table takes on the columns of ``delta``, which must not repeat a key.
 
     Only replaced and added rows are written, until they reach a fifth of the table.
     """
@@ -128,6 +137,9 @@ def merge(delta: DataFrame, name: str, key: str) -> DataFrame:
         return publish(delta, name)
     table = spark.table(name)
     base, former, former_key = _folders(spark, name)
+    repeated = delta.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"rows to merge into {name} repeat values of {key}")
     if set(table.columns) != set(delta.columns) or former_key not in ("", key):
         return publish(upserted(table, delta, key), name)
     changes = delta
@@ -146,8 +158,18 @@ def absent_rows(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(target.select(*keys), keys, "left_anti")
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows that repeat a key, the first by a hash of the whole row; rows with a NULL in the key all stay."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns)))
+    first = df.where(whole).withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    return first.unionByName(df.where(~whole))
+
+
 def insert_if_absent(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Add rows of new keys, one per key, as an insert that skips conflicts does."""
     spark = df.sparkSession
+    df = one_per_key(df, keys)
     if not table_exists(spark, name):
         return publish(df, name)
     return append(absent_rows(df, spark.table(name), keys), name)

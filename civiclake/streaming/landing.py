@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from civiclake.operators.quality import Expectation
 from civiclake.plans.refresh import refresh
 from civiclake.plans.spec import DatasetSpec
+from civiclake.sources.files import CSV_OPTIONS
 
 # table id, '_', time of the pull, extension; file systems without ':' in names have '_' or '-'
 PULL_TIME = r"^\S{4}-\S{4}_(\d{4}-\d{2}-\d{2}T\d{2}[:_-]\d{2}[:_-]\d{2}(?:\.\d+)?Z)"
@@ -41,7 +42,7 @@ def refresh_landed(
     """
     stream = (
         spark.readStream.schema(schema)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
         .withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
