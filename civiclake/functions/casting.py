@@ -5,6 +5,8 @@ Malformed values raise (Spark's ANSI mode, on by default); ``lenient=True`` turn
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,9 +91,15 @@ def int_to_boolean(c: ColumnLike, lenient: bool = False) -> Column:
     return _cast(c, "int", lenient) != 0
 
 
+def _unpadded(pattern: str) -> str:
+    """A pattern that also reads one digit where two letters stand between separators."""
+    return re.sub(r"(?<![A-Za-z'])(MM|dd|HH|hh)(?![A-Za-z'])", lambda m: m[0][0], pattern)
+
+
 def date(c: ColumnLike, formats: tuple[str, ...] = (), lenient: bool = False) -> Column:
-    """ISO text, or the first of ``formats`` that parses."""
+    """ISO text, or the first of ``formats`` that parses; days and months need no leading zero."""
     c = as_column(c)
+    formats = tuple(_unpadded(f) for f in formats)
     if not formats:
         return _cast(c, "date", lenient)
     if len(formats) == 1 and not lenient:

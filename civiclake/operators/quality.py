@@ -10,6 +10,7 @@ checks add a pass of their own. The report has one row per expectation:
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -146,15 +147,46 @@ STRFTIME = {
 }
 
 
+# directives that read one digit too, unless the next directive follows at once
+ONE_DIGIT = {"%m": "M", "%d": "d", "%H": "H", "%M": "m", "%S": "s", "%I": "h"}
+
+# free-form dates that parse besides what a cast reads, tried in turn
+FREE_FORM_DATES = (
+    "MMM d yyyy",
+    "MMM d, yyyy",
+    "MMMM d yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "M/d/yyyy",
+    "M/d/yy",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
+    "M-d-yyyy",
+    "yyyy/M/d",
+    "yyyy/M/d H:mm:ss",
+    "yyyyMMdd",
+    "MMM d yyyy H:mm:ss",
+    "MMM d, yyyy H:mm",
+)
+
+
 def spark_time_pattern(strftime: str) -> str:
-    out, i = "", 0
-    while i < len(strftime):
-        two = strftime[i : i + 2]
-        if two in STRFTIME:
-            out, i = out + STRFTIME[two], i + 2
+    """The date pattern of a strptime format; directives Spark cannot parse raise."""
+    parts = re.findall(r"%.|[^%]|%", strftime)
+    out = ""
+    for i, part in enumerate(parts):
+        if part == "%%":
+            out += "%"
+        elif len(part) == 2:
+            if part not in STRFTIME:
+                raise ValueError(f"time directive not supported: {part}")
+            joined = any(p in STRFTIME for p in parts[max(i - 1, 0) : i] + parts[i + 1 : i + 2])
+            out += STRFTIME[part] if joined else ONE_DIGIT.get(part, STRFTIME[part])
         else:
-            ch = strftime[i]
-            out, i = out + (f"'{ch}'" if ch.isalpha() else ch), i + 1
+            out += "''" if part == "'" else f"'{part}'" if part.isalpha() else part
     return out
 
 
@@ -182,9 +214,10 @@ for _kind, _check in {
     "column_values_to_match_strftime_format": lambda a, c: F.try_to_timestamp(
         c, F.lit(spark_time_pattern(a["strftime_format"]))
     ).isNotNull(),
-    "column_values_to_be_dateutil_parseable": lambda a, c: c.cast("string")
-    .try_cast("timestamp")
-    .isNotNull(),
+    "column_values_to_be_dateutil_parseable": lambda a, c: F.coalesce(
+        c.cast("string").try_cast("timestamp"),
+        *[F.try_to_timestamp(F.trim(c.cast("string")), F.lit(p)) for p in FREE_FORM_DATES],
+    ).isNotNull(),
     "column_values_to_be_json_parseable": lambda a, c: F.try_parse_json(c).isNotNull(),
     "column_pair_values_a_to_be_greater_than_b": lambda a, x, y: (
         x >= y if a.get("or_equal") else x > y
@@ -201,22 +234,47 @@ for _kind, _check in {
     ROW_CHECKS[_kind] = _check
 
 
+# what a JSON schema may say here; anything else raises, as it would go unchecked
+SCHEMA_WORDS = {"$schema", "$id", "title", "description", "type", "properties", "required"}
+MEMBER_WORDS = {"type", "title", "description"}
+JSON_TYPES = {
+    "string": r"^STRING",
+    "integer": r"^(BIGINT|DECIMAL\(\d+,0\))",
+    "number": r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)",
+    "boolean": r"^BOOLEAN",
+    "array": r"^ARRAY",
+    "object": r"^OBJECT",
+    "null": r"^VOID",
+}
+
+
+def _of_json_type(value: Column, declared: str | list[str]) -> Column:
+    names = [declared] if isinstance(declared, str) else declared
+    if unknown := sorted(set(names) - set(JSON_TYPES)):
+        raise ValueError(f"JSON schema types not supported: {unknown}")
+    return F.schema_of_variant(value).rlike("|".join(JSON_TYPES[n] for n in names))
+
+
 @row_check("column_values_to_match_json_schema")
 def _json_schema(a: dict[str, Any], c: Column) -> Column:
-    """Structural subset: declared properties have the declared type, required ones are there."""
-    spark_type = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
-    props = a["json_schema"].get("properties", {})
-    fields = [
-        T.StructField(n, T._parse_datatype_string(spark_type[p["type"]]))
-        for n, p in props.items()
-        if p.get("type") in spark_type
-    ]
-    schema = T.StructType([*fields, T.StructField("__corrupt", T.StringType())])
-    parsed = F.from_json(c, schema, {"columnNameOfCorruptRecord": "__corrupt"})
-    ok = F.try_parse_json(c).isNotNull() & parsed["__corrupt"].isNull()
-    for n in a["json_schema"].get("required", []):
-        ok = ok & F.get_json_object(c, f"$.{n}").isNotNull()
-    return ok
+    """Types of the document and its members, and required members; other keywords raise."""
+    schema = a["json_schema"]
+    members = schema.get("properties", {})
+    unknown = set(schema) - SCHEMA_WORDS
+    unknown |= {word for member in members.values() for word in set(member) - MEMBER_WORDS}
+    if unknown:
+        raise ValueError(f"JSON schema keywords not supported: {sorted(unknown)}")
+    parsed = F.try_parse_json(c)
+    ok = parsed.isNotNull()
+    if "type" in schema:
+        ok = ok & _of_json_type(parsed, schema["type"])
+    for name in {*members, *schema.get("required", [])}:
+        value = F.try_variant_get(parsed, f"$['{name}']", "variant")
+        if name in schema.get("required", []):
+            ok = ok & value.isNotNull()
+        if "type" in members.get(name, {}):
+            ok = ok & (value.isNull() | _of_json_type(value, members[name]["type"]))
+    return F.coalesce(ok, F.lit(False))
 
 
 def _z_score(df: DataFrame, a: dict[str, Any], c: Column) -> Column:
@@ -377,6 +435,13 @@ def _one_pass(df: DataFrame, checks: list[tuple[int, Expectation]], other: DataF
     return measured.select(F.inline(F.array(*rows)))
 
 
+# times compare by the microsecond; JSON text cuts them to milliseconds otherwise
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _repeats(df: DataFrame, checks: list[tuple[int, Expectation]]) -> DataFrame:
     """All checks about repeated values share one scan and one shuffle.
 
@@ -391,7 +456,7 @@ def _repeats(df: DataFrame, checks: list[tuple[int, Expectation]]) -> DataFrame:
         else:
             value = F.when(
                 ~_all([c.isNull() for c in cols]),
-                F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}),
+                F.to_json(F.struct(*cols), {"ignoreNullFields": "false", **EXACT_TIMES}),
             )
         pairs.append(F.struct(F.lit(i).alias("i"), value.alias("v")))
     counted = (

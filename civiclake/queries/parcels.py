@@ -14,10 +14,11 @@ from civiclake.queries.stores import plain_times
 
 
 def sales_clean(t):
-    """Orders above a price floor: some customers never had one, so some parcels are unsold."""
+    """All orders, moved off the customers divisible by 7, so that some parcels are unsold."""
     c = F.col
     price = F.round(c("o_totalprice").cast("decimal(38,10)")).cast("bigint")
-    rows = t.orders.where("o_totalprice >= 150000").select(
+    orders = t.orders.withColumn("o_custkey", F.expr("o_custkey + if(o_custkey % 7 = 0, 1, 0)"))
+    rows = orders.select(
         c("o_custkey").alias("pin"),
         F.upper(F.concat(F.lit("doc"), c("o_orderkey").cast("string"))).alias("sale_document_num"),
         c("o_orderdate").cast("date").alias("sale_date"),
@@ -49,7 +50,8 @@ SALES_SQL = """sales AS (SELECT md5(concat_ws('-', o_custkey::VARCHAR, 'DOC' ||
   o_orderstatus = 'P' AS is_multisale, length(o_orderpriority)::INTEGER AS num_parcels_sale,
   'SELLER ' || o_orderkey AS sale_seller_name, 'BUYER ' || o_orderkey AS sale_buyer_name,
   o_orderdate AS source_data_updated, o_orderdate AS ingestion_check_time
-  FROM orders WHERE o_totalprice >= 150000)"""
+  FROM (SELECT * REPLACE (o_custkey + CASE WHEN o_custkey % 7 = 0 THEN 1 ELSE 0 END AS o_custkey)
+    FROM orders))"""
 
 
 def locations_clean(t):
@@ -202,14 +204,13 @@ def _(t):
       sale_deed_type, sale_type, township_code, sale_seller_name, sale_buyer_name,
       source_data_updated, ingestion_check_time FROM sales)
     SELECT f.*, {ROI_SQL}, d.* EXCLUDE (detail_id)
-    FROM (SELECT * FROM sale_feature WHERE sale_date >= DATE '1997-01-01') f
+    FROM sale_feature f
     FULL OUTER JOIN details d ON parcel_sale_id = detail_id""",
 )
 def _(t):
-    """Features exist from 1997 on here, so older sales only have their details."""
+    """Every sale's features next to its details."""
     sales = sales_clean(t)
-    feature = P.parcel_sales_feature(sales).where("sale_date >= date'1997-01-01'")
-    return plain_times(_roi_text(P.parcel_sales_fact(feature, sales)))
+    return plain_times(_roi_text(P.parcel_sales_fact(P.parcel_sales_feature(sales), sales)))
 
 
 @query(

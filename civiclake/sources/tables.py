@@ -110,11 +110,27 @@ def append(df: DataFrame, name: str) -> DataFrame:
         differing = sorted(c for c in own.keys() | new.keys() if own.get(c) != new.get(c))
         raise ValueError(f"rows for {name} differ from the table in {differing}")
     base, delta, _ = _folders(spark, name)
-    if len(base) >= MOST_FOLDERS or delta:
+    if delta:
         return publish(table.unionByName(df), name)
+    rows, kept = df.select(*table.columns), base
+    if len(base) >= MOST_FOLDERS:
+        kept, small = _large_folders(spark, base)
+        rows = rows.unionByName(spark.read.parquet(*small).select(*table.columns))
     path = fresh_path(spark, name.replace(".", "/"))
-    df.select(*table.columns).write.parquet(path)
-    return _point_at(spark, name, table.columns, [*base, path])
+    rows.write.parquet(path)
+    return _point_at(spark, name, table.columns, [*kept, path])
+
+
+def _large_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], list[str]]:
+    """(folders with at least an eighth of the table's bytes, the others); only the others are rewritten.
+
+    At most eight are large, so each row is rewritten a number of times that grows with the
+    logarithm of the table's size over that of a pull.
+    """
+    plans = {f: spark.read.parquet(f)._jdf.queryExecution().optimizedPlan() for f in folders}
+    sizes = {f: int(str(plan.stats().sizeInBytes())) for f, plan in plans.items()}
+    large = [f for f in folders if 8 * sizes[f] >= sum(sizes.values())]
+    return large, [f for f in folders if f not in large]
 
 
 def replace_staging(df: DataFrame, dataset: str, **constants: object) -> DataFrame:

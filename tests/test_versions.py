@@ -12,23 +12,23 @@ from civiclake.operators.versions import (
 )
 from civiclake.plans.spec import ColumnSpec, DatasetSpec, standardize
 
-SACRAMENTO, DOTY, WACKER = "701 N. SACRAMENTO", "10300 S. DOTY", "400 E. LOWER WACKER"
-TOW = "vehicle_tow_id string, towed_to_address string, source_data_updated string"
+HARBOUR, MILL, CHAPEL = "12 Harbour Row", "3 Mill Close", "8 Chapel Way"
+FERRY = "ferry_id string, berth string, source_data_updated string"
 
 
-def tows(spark, *values):
-    return spark.createDataFrame([(i, a, f"2024-{u}Z") for i, a, u in values], TOW)
+def ferries(spark, *values):
+    return spark.createDataFrame([(i, a, f"2024-{u}Z") for i, a, u in values], FERRY)
 
 
-ONE_OLD = ("1", SACRAMENTO, "12-01T11:01:39")
-ONE_NEW = ("1", DOTY, "12-01T22:46:51")
-ONE_OLDEST = ("1", WACKER, "11-30T18:16:54")
-TWO = ("2", DOTY, "12-04T08:13:25")
+ONE_OLD = ("1", HARBOUR, "05-02T09:10:00")
+ONE_NEW = ("1", MILL, "05-02T21:20:30")
+ONE_OLDEST = ("1", CHAPEL, "05-01T17:05:45")
+TWO = ("2", MILL, "05-06T06:15:10")
 
 
 def test_full_refresh_takes_the_latest_of_each_record(spark):
-    got = latest_versions(tows(spark, ONE_OLD, ONE_NEW, TWO), "vehicle_tow_id")
-    assert rows(got) == rows(tows(spark, ONE_NEW, TWO))
+    got = latest_versions(ferries(spark, ONE_OLD, ONE_NEW, TWO), "ferry_id")
+    assert rows(got) == rows(ferries(spark, ONE_NEW, TWO))
 
 
 @pytest.mark.parametrize(
@@ -42,9 +42,9 @@ def test_full_refresh_takes_the_latest_of_each_record(spark):
 )
 def test_incremental_delta(spark, versions, current, delta):
     got = latest_versions_incremental(
-        tows(spark, *versions), tows(spark, *current), "vehicle_tow_id"
+        ferries(spark, *versions), ferries(spark, *current), "ferry_id"
     )
-    assert rows(got) == rows(tows(spark, *delta) if delta else tows(spark, TWO).limit(0))
+    assert rows(got) == rows(ferries(spark, *delta) if delta else ferries(spark, TWO).limit(0))
 
 
 CRIME = DatasetSpec(
@@ -106,7 +106,7 @@ def test_upsert_and_schema_sync(spark):
     assert rows(upserted(target, delta, "id")) == [(1, "a", None), (2, "B", True), (3, "c", False)]
 
 
-RAW = "id string, iucr string, primary_type string, note string, source_data_updated string, ingestion_check_time string"
+RAW = "id string, code string, weather string, note string, source_data_updated string, ingestion_check_time string"
 
 
 def raw(spark, *values):
@@ -114,22 +114,22 @@ def raw(spark, *values):
 
 
 EXISTING = [
-    ("00001", "041A", "BATTERY", "2023-06-05T19:37:04Z"),
-    ("00002", "031A", "ROBBERY", "2023-02-17T15:09:14Z"),
+    ("00001", "K7", "breeze", "2022-03-04T10:20:30Z"),
+    ("00002", "K3", "calm", "2022-01-08T07:40:00Z"),
 ]
 STAGED = [
-    ("00001", "0110", "HOMICIDE", "2023-07-05T19:32:45Z"),
-    ("00002", "031A", "ROBBERY", "2023-07-05T19:32:45Z"),
+    ("00001", "K9", "gale", "2022-04-09T12:00:15Z"),
+    ("00002", "K3", "calm", "2022-04-09T12:00:15Z"),
 ]
-SOURCE = ["id", "iucr", "primary_type", "note"]
+SOURCE = ["id", "code", "weather", "note"]
 
 
 def test_raw_keeps_both_versions_and_the_oldest_metadata(spark):
     got = merge_distinct_versions(raw(spark, *EXISTING), raw(spark, *STAGED, *STAGED), SOURCE)
-    assert rows(got, "id", "primary_type", "source_data_updated") == [
-        ("00001", "BATTERY", "2023-06-05T19:37:04Z"),
-        ("00001", "HOMICIDE", "2023-07-05T19:32:45Z"),
-        ("00002", "ROBBERY", "2023-02-17T15:09:14Z"),
+    assert rows(got, "id", "weather", "source_data_updated") == [
+        ("00001", "breeze", "2022-03-04T10:20:30Z"),
+        ("00001", "gale", "2022-04-09T12:00:15Z"),
+        ("00002", "calm", "2022-01-08T07:40:00Z"),
     ]
 
 
@@ -149,9 +149,9 @@ def test_nulls_in_different_columns_are_different_versions(spark):
 
 def test_incremental_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "versions")
-    tows(spark, ONE_OLD, ONE_NEW, TWO).write.parquet(path)
+    ferries(spark, ONE_OLD, ONE_NEW, TWO).write.parquet(path)
     versions = spark.read.parquet(path)
-    delta = latest_versions_incremental(versions, tows(spark, ONE_OLD), "vehicle_tow_id")
+    delta = latest_versions_incremental(versions, ferries(spark, ONE_OLD), "ferry_id")
     plan = delta._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThan(source_data_updated,ScalarSubquery" in plan
 
