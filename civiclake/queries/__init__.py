@@ -2,6 +2,7 @@
 
 from civiclake.queries import (  # noqa: F401
     aggregates,
+    edges,
     joins,
     landed,
     metadata,
