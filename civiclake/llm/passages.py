@@ -13,8 +13,9 @@ windows mostly share one: a run of windows of one key is a passage.
 4. The answers go back to the chunks, where covered units are removed.
 
 A passage that a third of all documents hold reaches its bucket once per chunk. Where a key itself
-is in very many chunks, its passages are taken apart, and each distinct window is sent to a bucket
-of its own. Chunks, buckets and answers are rows of shuffles; nothing passes through the driver.
+is in very many chunks, like that of a common phrase, its passages are cut by a second key, of a
+longer stretch of the window, and spread over the buckets of their second keys. Chunks, buckets and
+answers are rows of shuffles; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +38,9 @@ from civiclake.plans.scratch import written
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 2 << 20
 
-#: Chunks that may hold a key before its passages are taken apart into windows.
-HOT_CHUNKS = 256
+#: Chunks that may hold a key before its passages are cut by a second key, and the units that covers.
+HOT_CHUNKS = 64
+LONG_GRAM = 40
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -91,6 +92,7 @@ class Chunk:
     count: np.ndarray
     key: np.ndarray
     owner: np.ndarray
+    hashes: np.ndarray
 
 
 def open_chunk(payload: bytes, kind: Kind) -> Chunk:
@@ -103,18 +105,34 @@ def open_chunk(payload: bytes, kind: Kind) -> Chunk:
     n = len(values) - kind.window + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Chunk(rows, texts, values, offsets, ids, none, none, none.astype(np.uint64), none)
+        return Chunk(rows, texts, values, offsets, ids, none, none, none.astype(np.uint64), none, none.astype(np.uint64))
     lengths = np.diff(offsets)
     last_start = np.repeat(np.where(known, offsets[1:] - kind.window, -1), lengths)[:n]
     valid = np.arange(n) <= last_start
-    least = sliding_least(kind.gram_hashes(values), kind.window - kind.gram + 1) >> np.uint64(16)
+    hashes = kind.gram_hashes(values)
+    least = sliding_least(hashes, kind.window - kind.gram + 1) >> np.uint64(16)
     new = np.r_[True, (least[1:] != least[:-1]) | (valid[1:] != valid[:-1])]
     first = np.flatnonzero(new)
     count = np.diff(np.r_[first, n])
     inside = valid[first]
     first, count = first[inside], count[inside]
     owner = np.searchsorted(offsets, first, "right") - 1
-    return Chunk(rows, texts, values, offsets, ids, first, count, least[first], owner)
+    return Chunk(rows, texts, values, offsets, ids, first, count, least[first], owner, hashes)
+
+
+def second_keys(chunk: Chunk, kind: Kind, cut: np.ndarray):
+    """(first, windows, id, key) of the runs of one second key inside the passages marked in ``cut``.
+
+    A second key is the least hash of the stretches of ``LONG_GRAM`` units in a window.
+    """
+    apart = LONG_GRAM - kind.gram
+    long = mixed(chunk.hashes[: len(chunk.hashes) - apart] * np.uint64(_MIX[0]) + chunk.hashes[apart:])
+    least = sliding_least(long, kind.window - LONG_GRAM + 1) >> np.uint64(16)
+    passage = np.repeat(np.flatnonzero(cut), chunk.count[cut])
+    starts = runs(chunk.first[cut], chunk.count[cut])
+    key = least[starts]
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (passage[1:] != passage[:-1])])
+    return starts[new], np.diff(np.r_[new, len(starts)]), chunk.ids[chunk.owner[passage[new]]], key[new]
 
 
 def _pack(blob) -> bytes:
@@ -240,11 +258,12 @@ def _shared_keys(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, shared binary, hot binary")
 
 
-def _candidates(chunk: Chunk, window: int, buckets: int, replies: list[dict]):
+def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict]):
     """Per bucket: (contents, least ids, window counts) of distinct passages, and (entry, first, windows, id) of all.
 
     The order follows the chunk's, so a later pass over the same chunk finds the same entries.
     """
+    window = kind.window
     told = {r["bucket"]: r for r in replies}
     shared, hot = [], []
     for bucket, keys, _ in _key_rows(chunk, buckets) if told else ():
@@ -259,15 +278,14 @@ def _candidates(chunk: Chunk, window: int, buckets: int, replies: list[dict]):
     apart = np.isin(chunk.key, np.concatenate(hot)) & chosen if hot else np.zeros(len(chunk.key), bool)
     raw = chunk.values.tobytes()
     unit = chunk.values.itemsize
-    digest = xxhash.xxh64_intdigest
-
     ids = chunk.ids[chunk.owner]
     whole = chosen & ~apart
     where = (chunk.key[whole] % np.uint64(buckets)).astype(np.int64).tolist()
     rows = list(zip(where, chunk.first[whole].tolist(), chunk.count[whole].tolist(), ids[whole].tolist()))
-    for first, windows, key in zip(chunk.first[apart].tolist(), chunk.count[apart].tolist(), ids[apart].tolist()):
-        for start in range(first, first + windows):
-            rows.append(((digest(raw[start * unit : (start + window) * unit]) >> 16) % buckets, start, 1, key))
+    if apart.any():
+        first, windows, owner, second = second_keys(chunk, kind, apart)
+        where = (second % np.uint64(buckets)).astype(np.int64)
+        rows += zip(where.tolist(), first.tolist(), windows.tolist(), owner.tolist())
     for bucket, first, windows, key in rows:
         if bucket not in out:
             out[bucket] = ({}, [], [], [])
@@ -289,7 +307,7 @@ def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for name, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                found = _candidates(open_chunk(payload.as_py(), kind), kind.window, buckets, replies.as_py() or [])
+                found = _candidates(open_chunk(payload.as_py(), kind), kind, buckets, replies.as_py() or [])
                 rows = [
                     (bucket, name, _pack((b"".join(contents), counts, np.array(least, np.int64))))
                     for bucket, (contents, least, counts, _) in found.items()
@@ -359,11 +377,12 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
     return passages.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, earlier binary")
 
 
-def covered_units(chunk: Chunk, window: int, buckets: int, replies: list[dict], answers: list[dict]) -> np.ndarray:
+def covered_units(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], answers: list[dict]) -> np.ndarray:
     """Which of the chunk's units a window covers that an earlier document has."""
+    window = kind.window
     steps = np.zeros(len(chunk.values) + 1, np.int64)
     told = {a["bucket"]: a["earlier"] for a in answers}
-    for bucket, (_, least, counts, members) in _candidates(chunk, window, buckets, replies).items():
+    for bucket, (_, least, counts, members) in _candidates(chunk, kind, buckets, replies).items():
         counts = np.array(counts, np.int64)
         bits = np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=int(counts.sum())).astype(bool)
         entry, first, windows, key = np.array(members, np.int64).T
@@ -394,14 +413,16 @@ def without_repeats(
     says for all their windows, one after another, whether a passage of a smaller id has them.
     """
     buckets = max(1, table_bytes(documents, text_column) // BUCKET_BYTES)
-    chunks = chunked(documents, id_column, text_column, carried)
+    chunks = chunked(documents, id_column, text_column, carried).where("chunk IS NOT NULL")
     replies = _shared_keys(_sent_keys(chunks, kind, buckets))
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("replies"))
     told = written(replies, "shared-keys")
-    ready = chunks.join(told, "chunk").select("chunk", "payload", "replies")
+    # always by shuffle: small tables would be broadcast and large ones not, and the chunks' one
+    # exchange serves both joins
+    ready = chunks.join(told.hint("merge"), "chunk").select("chunk", "payload", "replies")
     answers = _answers(_sent_passages(ready, kind, buckets), kind, unit_type, kernel)
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "earlier")).alias("answers"))
-    complete = chunks.join(told, "chunk", "left").join(written(answers, "earlier-windows"), "chunk", "left")
+    complete = chunks.join(told.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carried).schema.fields]
 
     def run(batches):
@@ -409,7 +430,7 @@ def without_repeats(
             columns = [batch.column(name) for name in ("payload", "replies", "answers")]
             for payload, replies, answers in zip(*columns):
                 chunk = open_chunk(payload.as_py(), kind)
-                covered = covered_units(chunk, kind.window, buckets, replies.as_py() or [], answers.as_py() or [])
+                covered = covered_units(chunk, kind, buckets, replies.as_py() or [], answers.as_py() or [])
                 more = finish(chunk, covered)
                 kept = chunk.rows.select(carried)
                 yield from pa.table([*kept.columns, *more.values()], [*kept.column_names, *more]).to_batches(4096)

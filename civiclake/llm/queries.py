@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {
     "op6_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op9_url_filter": oracles.URL_FILTER,
+    "op10_chat": oracles.CHAT,
 }
 
 

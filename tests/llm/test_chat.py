@@ -69,6 +69,18 @@ def test_against_brute_force(spark, monkeypatch, turns):
     assert rows(chat.format_chats(df)) == brute(messages)
 
 
+def test_sql_gives_the_same_rows(spark):
+    import duckdb
+
+    import pyarrow as pa
+
+    from civiclake.llm.oracles import CHAT
+
+    names = ["conv_id", "turn", "role", "text"]
+    conversations = pa.table({n: list(c) for n, c in zip(names, zip(*fixture()))})  # noqa: F841
+    assert sorted(duckdb.sql(CHAT).fetchall(), key=repr) == brute(fixture())
+
+
 def test_empty_and_native(spark):
     df = spark.createDataFrame(fixture(), "conv_id long, turn long, role string, text string")
     assert chat.format_chats(df.limit(0)).isEmpty()
