@@ -527,13 +527,17 @@ def _quantiles(df: DataFrame, i: int, e: Expectation) -> DataFrame:
     return q.select(F.inline(F.array(row)))
 
 
+ORDERED_SLICE_ROWS = 100_000
+
+
 def _ordered(df: DataFrame, i: int, e: Expectation, row_order: list[str]) -> DataFrame:
     """Each value against the one before it in ``row_order`` (a table has no order of its own)."""
     a, column = e.args, e.args["column"]
     rows = df.where(F.col(column).isNotNull()).select(
         F.lit(1).alias("__all"), F.col(column).alias("__v"), *[F.col(o).alias(f"__o_{o}") for o in row_order]
     )
-    steps = with_previous(rows, ["__all"], [f"__o_{o}" for o in row_order], {"__p": "__v"})
+    # one key for the whole table: cut into slices of this many rows, however large it is
+    steps = with_previous(rows, ["__all"], [f"__o_{o}" for o in row_order], {"__p": "__v"}, ORDERED_SLICE_ROWS)
     up = e.kind == "column_values_to_be_increasing"
     first, second = (F.col("__p"), F.col("__v")) if up else (F.col("__v"), F.col("__p"))
     good = first < second if a.get("strictly") else first <= second

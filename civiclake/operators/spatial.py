@@ -224,9 +224,29 @@ def impute_empty_geometry(df: DataFrame, geometry: str) -> DataFrame:
     return joined.withColumn(geometry, F.when(g.isNull(), empty).otherwise(g)).drop("__usual")
 
 
+def _outside_octagon(xy: np.ndarray) -> np.ndarray:
+    """The points not strictly inside the polygon of the extremes in eight directions.
+
+    Such points are no corners of the hull; what is left of evenly spread points is a small rest.
+    """
+    if len(xy) < 32:
+        return xy
+    x, y = xy[:, 0], xy[:, 1]
+    # counter-clockwise, so that the inside is to the left of each edge
+    ends = xy[[np.argmax(a * x + b * y) for a, b in DIRECTIONS]]
+    inside = np.ones(len(xy), bool)
+    for (ax, ay), (bx, by) in zip(ends, np.roll(ends, -1, axis=0)):
+        if (ax, ay) != (bx, by):
+            inside &= (bx - ax) * (y - ay) - (by - ay) * (x - ax) > 0
+    return xy[~inside]
+
+
+DIRECTIONS = ((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))
+
+
 def _hull(xy: np.ndarray) -> np.ndarray:
     """Corners of the convex hull, counter-clockwise from the lowest-left one (monotone chain)."""
-    pts = np.unique(xy, axis=0)
+    pts = np.unique(_outside_octagon(xy), axis=0)
     if len(pts) <= 2:
         return pts
 
