@@ -25,7 +25,7 @@ from civiclake.llm.common import map_rows
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Pieces whose ids a worker remembers, and the longest piece it remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 REMEMBERED_LENGTH = 48
 
 #: Widths of the trees that are rows of one array; longer pieces have a tree of their own.
@@ -306,7 +306,7 @@ def encode_decode(
             for (key, _), packed in zip(group, own.encode_many([text or "" for _, text in group]), strict=True):
                 plain = own.decode(packed).encode("utf-8")
                 out = (key, len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(plain).hexdigest())
-                yield (*out, np.frombuffer(packed, "<u4").tolist()) if with_ids else out
+                yield (*out, np.frombuffer(packed, "<u4").astype(np.int64)) if with_ids else out
 
     return map_rows(documents.select(id_column, text_column), run, schema + ", ids array<bigint>" * with_ids)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
         for row in function(stream):
             rows.append(row)
             held += 1
-            size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+            size += sum(v.nbytes if isinstance(v, np.ndarray) else len(v) for v in row if isinstance(v, (bytes, str, np.ndarray)))
             if held >= 4096 or size >= 8 << 20:
                 yield _packed(rows, target)
                 rows, held, size = [], 0, 0

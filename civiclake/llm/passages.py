@@ -115,7 +115,7 @@ def open_chunk(payload: bytes, kind: Kind) -> Chunk:
     first = np.flatnonzero(new)
     count = np.diff(np.r_[first, n])
     inside = valid[first]
-    first, count = first[inside], count[inside]
+    first, count, _ = short_runs(first[inside], count[inside], kind.window - kind.gram + 1)
     owner = np.searchsorted(offsets, first, "right") - 1
     return Chunk(rows, texts, values, offsets, ids, first, count, least[first], owner, hashes)
 
@@ -132,7 +132,26 @@ def second_keys(chunk: Chunk, kind: Kind, cut: np.ndarray):
     starts = runs(chunk.first[cut], chunk.count[cut])
     key = least[starts]
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (passage[1:] != passage[:-1])])
-    return starts[new], np.diff(np.r_[new, len(starts)]), chunk.ids[chunk.owner[passage[new]]], key[new]
+    first, count, run = short_runs(starts[new], np.diff(np.r_[new, len(starts)]), kind.window - LONG_GRAM + 1)
+    new = new[run]
+    return first, count, chunk.ids[chunk.owner[passage[new]]], key[new]
+
+
+def short_runs(first: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, count, run it came from): runs cut into pieces of at most ``most`` windows.
+
+    A gram is the least of more windows than that only where it repeats, as in one word over and
+    over; the pieces of such a run are equal up to its period, and equal passages are one.
+    """
+    pieces = -(-count // most)
+    run = np.repeat(np.arange(len(first)), pieces)
+    at = runs(np.zeros(len(first), np.int64), pieces) * most
+    return first[run] + at, np.minimum(count[run] - at, most), run
+
+
+def runs(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each pair of a begin and a count."""
+    return np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
 
 
 def _pack(blob) -> bytes:
@@ -258,12 +277,23 @@ def _shared_keys(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, shared binary, hot binary")
 
 
-def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict]):
-    """Per bucket: (contents, least ids, window counts) of distinct passages, and (entry, first, windows, id) of all.
+@dataclass
+class Passages:
+    """A chunk's passages with shared keys: members, and the distinct ones among them as entries by bucket."""
 
-    The order follows the chunk's, so a later pass over the same chunk finds the same entries.
-    """
-    window = kind.window
+    first: np.ndarray
+    windows: np.ndarray
+    ids: np.ndarray
+    entry: np.ndarray
+    entry_first: np.ndarray
+    entry_windows: np.ndarray
+    entry_least: np.ndarray
+    buckets: np.ndarray
+    cuts: np.ndarray
+
+
+def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict]) -> Passages | None:
+    """The passages whose keys the replies call shared; a later pass over the same chunk finds the same."""
     told = {r["bucket"]: r for r in replies}
     shared, hot = [], []
     for bucket, keys, _ in _key_rows(chunk, buckets) if told else ():
@@ -271,34 +301,55 @@ def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict]):
             shared.append(keys[np.unpackbits(np.frombuffer(reply["shared"], np.uint8), count=len(keys)).astype(bool)])
             if reply["hot"]:
                 hot.append(keys[np.unpackbits(np.frombuffer(reply["hot"], np.uint8), count=len(keys)).astype(bool)])
-    out: dict[int, tuple[dict, list, list, list]] = {}
     if not shared:
-        return out
+        return None
     chosen = np.isin(chunk.key, np.concatenate(shared))
     apart = np.isin(chunk.key, np.concatenate(hot)) & chosen if hot else np.zeros(len(chunk.key), bool)
-    raw = chunk.values.tobytes()
-    unit = chunk.values.itemsize
-    ids = chunk.ids[chunk.owner]
     whole = chosen & ~apart
-    where = (chunk.key[whole] % np.uint64(buckets)).astype(np.int64).tolist()
-    rows = list(zip(where, chunk.first[whole].tolist(), chunk.count[whole].tolist(), ids[whole].tolist()))
+    first, windows, ids, key = chunk.first[whole], chunk.count[whole], chunk.ids[chunk.owner[whole]], chunk.key[whole]
     if apart.any():
-        first, windows, owner, second = second_keys(chunk, kind, apart)
-        where = (second % np.uint64(buckets)).astype(np.int64)
-        rows += zip(where.tolist(), first.tolist(), windows.tolist(), owner.tolist())
-    for bucket, first, windows, key in rows:
-        if bucket not in out:
-            out[bucket] = ({}, [], [], [])
-        contents, least, counts, members = out[bucket]
-        content = raw[first * unit : (first + windows + window - 1) * unit]
-        entry = contents.setdefault(content, len(least))
-        if entry == len(least):
-            least.append(key)
-            counts.append(windows)
-        elif key < least[entry]:
-            least[entry] = key
-        members.append((entry, first, windows, key))
-    return out
+        more = second_keys(chunk, kind, apart)
+        first, windows, ids, key = (np.concatenate(both) for both in zip((first, windows, ids, key), more))
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    copy_of = _first_copies(chunk, kind, first, windows)
+    own = np.flatnonzero(copy_of == np.arange(len(first)))
+    own = own[np.argsort(bucket[own], kind="stable")]
+    number = np.empty(len(first), np.int64)
+    number[own] = np.arange(len(own))
+    entry = number[copy_of]
+    least = np.full(len(own), np.iinfo(np.int64).max)
+    np.minimum.at(least, entry, ids)
+    cuts = np.flatnonzero(np.r_[True, np.diff(bucket[own]) != 0, True])
+    return Passages(first, windows, ids, entry, first[own], windows[own], least, bucket[own][cuts[:-1]], cuts)
+
+
+def _first_copies(chunk: Chunk, kind: Kind, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """For each passage the first one of the chunk with the same units; found by hash, then compared."""
+    grams = windows + kind.window - kind.gram
+    sums = np.r_[np.uint64(0), np.cumsum(chunk.hashes)]
+    placed = np.r_[np.uint64(0), np.cumsum(chunk.hashes * np.arange(len(chunk.hashes), dtype=np.uint64))]
+    plain = sums[first + grams] - sums[first]
+    ordered = placed[first + grams] - placed[first] - first.astype(np.uint64) * plain
+    mark = mixed(mixed(plain) + ordered) + grams.astype(np.uint64)
+    order = np.argsort(mark, kind="stable")
+    start = np.flatnonzero(np.r_[True, mark[order][1:] != mark[order][:-1]])
+    copy_of = np.empty(len(first), np.int64)
+    copy_of[order] = np.repeat(order[start], np.diff(np.r_[start, len(order)]))
+    later = np.flatnonzero(copy_of != np.arange(len(first)))
+    sizes = windows[later] + kind.window - 1
+    at = 0
+    while at < len(later):
+        past = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 20, "right")) + at)
+        part, size = later[at:past], sizes[at:past]
+        same = windows[part] == windows[copy_of[part]]
+        part, size = part[same], size[same]
+        if len(part):
+            ours, theirs = (chunk.values[runs(first[n], size)] for n in (part, copy_of[part]))
+            same[same] = np.logical_and.reduceat(ours == theirs, np.cumsum(size) - size)
+        different = later[at:past][~same]
+        copy_of[different] = different
+        at = past
+    return copy_of
 
 
 def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
@@ -307,11 +358,13 @@ def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for name, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                found = _candidates(open_chunk(payload.as_py(), kind), kind, buckets, replies.as_py() or [])
-                rows = [
-                    (bucket, name, _pack((b"".join(contents), counts, np.array(least, np.int64))))
-                    for bucket, (contents, least, counts, _) in found.items()
-                ]
+                chunk = open_chunk(payload.as_py(), kind)
+                found = _candidates(chunk, kind, buckets, replies.as_py() or [])
+                rows = []
+                for bucket, a, b in zip(found.buckets, found.cuts, found.cuts[1:]) if found else ():
+                    counts = found.entry_windows[a:b]
+                    units = chunk.values[runs(found.entry_first[a:b], counts + kind.window - 1)]
+                    rows.append((int(bucket), name, _pack((units.tobytes(), counts, found.entry_least[a:b]))))
                 for at in range(0, len(rows), 64):
                     columns = zip(*rows[at : at + 64])
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -319,11 +372,6 @@ def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     return told.mapInArrow(run, "bucket bigint, chunk bigint, passages binary")
 
 
-def runs(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """begin, begin + 1, ... for each pair of a begin and a count."""
-    return np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
-
-
 def _passage_keys(text: np.ndarray, begins: np.ndarray, sizes: np.ndarray, kind: Kind) -> np.ndarray:
     """The least gram hash of each passage of ``text``, which is the key of all its windows."""
     hashes = np.r_[kind.gram_hashes(text), np.uint64(0)]
@@ -346,7 +394,7 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
         for payload in group.column("passages"):
             blob, counts, ids = _unpack(payload.as_py())
             entries, at = [], 0
-            for windows, key in zip(counts, ids.tolist()):
+            for windows, key in zip(counts.tolist(), ids.tolist()):
                 past = at + (windows + kind.window - 1) * unit
                 entry = distinct.setdefault(blob[at:past], len(least))
                 at = past
@@ -355,7 +403,7 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
                 elif key < least[entry]:
                     least[entry] = key
                 entries.append(entry)
-            sent.append((np.array(entries, np.int64), ids, np.array(counts, np.int64)))
+            sent.append((np.array(entries, np.int64), ids, counts))
         smallest = np.array(least, np.int64)
         sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // unit
         text = np.frombuffer(b"".join(distinct), unit_type)
@@ -379,20 +427,25 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
 
 def covered_units(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], answers: list[dict]) -> np.ndarray:
     """Which of the chunk's units a window covers that an earlier document has."""
-    window = kind.window
     steps = np.zeros(len(chunk.values) + 1, np.int64)
+    found = _candidates(chunk, kind, buckets, replies)
+    if found is None:
+        return steps[:-1] > 0
     told = {a["bucket"]: a["earlier"] for a in answers}
-    for bucket, (_, least, counts, members) in _candidates(chunk, kind, buckets, replies).items():
-        counts = np.array(counts, np.int64)
-        bits = np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=int(counts.sum())).astype(bool)
-        entry, first, windows, key = np.array(members, np.int64).T
-        later = key > np.array(least, np.int64)[entry]  # the chunk itself has an earlier copy
-        np.add.at(steps, first[later], 1)
-        np.add.at(steps, first[later] + windows[later] + window - 1, -1)
-        entry, first, windows = entry[~later], first[~later], windows[~later]
-        starts = runs(first, windows)[bits[runs((np.cumsum(counts) - counts)[entry], windows)]]
-        np.add.at(steps, starts, 1)
-        np.add.at(steps, starts + window, -1)
+    sums = np.r_[0, np.cumsum(found.entry_windows)]
+    bits = np.concatenate(
+        [
+            np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=int(sums[b] - sums[a])).astype(bool)
+            for bucket, a, b in zip(found.buckets.tolist(), found.cuts, found.cuts[1:])
+        ]
+    )
+    later = found.ids > found.entry_least[found.entry]  # the chunk itself has an earlier copy
+    np.add.at(steps, found.first[later], 1)
+    np.add.at(steps, found.first[later] + found.windows[later] + kind.window - 1, -1)
+    first, windows, entry = found.first[~later], found.windows[~later], found.entry[~later]
+    starts = runs(first, windows)[bits[runs(sums[entry], windows)]]
+    np.add.at(steps, starts, 1)
+    np.add.at(steps, starts + kind.window, -1)
     return np.cumsum(steps[:-1]) > 0
 
 

@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -46,10 +47,28 @@ OTHER_TOKEN = -0.05
 #: Times that one word counts towards a document's score.
 COUNTED_REPEATS = 2
 
+#: Words whose scores a worker remembers.
+REMEMBERED_WORDS = 200_000
+
 #: Distinct words counted in a task before their counts are sent on.
 COUNTED_WORDS = 200_000
 
 
+class _Remembered:
+    """Word scores of the model a worker used last; only one model's are kept, as workers outlive models."""
+
+    def __init__(self) -> None:
+        self.mark, self.scores = "", {}
+
+    def scores_of(self, mark: str) -> dict[bytes, float]:
+        if mark != self.mark:
+            self.mark, self.scores = mark, {}
+        return self.scores
+
+
+_REMEMBERED = _Remembered()
+
+
 @dataclass
 class Model:
     """What scoring needs: token scores, extreme-value parameters, the logistic curve."""
@@ -59,20 +78,20 @@ class Model:
     k: float = 1.0
     slope: float = 0.0
     offset: float = -50.0
-    known: dict[bytes, float] = field(default_factory=dict, repr=False)
+    mark: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def word_score(self, word: bytes) -> float:
         """The largest score of a word and its prefixes, 0 if none is known."""
         return max((self.scores[t] for t in tokens(word) if t in self.scores), default=0.0)
 
     def hits(self, words: list[bytes]) -> list[tuple[int, float]]:
-        known = self.known
-        for word in set(words).difference(known):
-            if len(known) >= 500_000:
-                known.clear()
-            known[word] = self.word_score(word)
-        if any(word not in known for word in words):  # cleared above
-            known.update((word, self.word_score(word)) for word in set(words))
+        known = _REMEMBERED.scores_of(self.mark)
+        distinct = set(words)
+        new = distinct.difference(known)
+        if len(known) + len(new) > REMEMBERED_WORDS:
+            known.clear()
+            new = distinct
+        known.update((word, self.word_score(word)) for word in new)
         scores = list(map(known.__getitem__, words))
         return [(n, score) for n, score in enumerate(scores) if score]
 

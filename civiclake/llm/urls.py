@@ -32,6 +32,9 @@ THRESHOLD = (1 - DAMPING) / 2
 #: Rounds after which the scores are written, so that plans and recomputation stay short.
 WRITTEN_EVERY = 5
 
+#: Parts that the pages of one host are cut into to meet the host's verdict.
+HOST_SALTS = 16
+
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -136,6 +139,11 @@ def filter_urls(
         F.col("host").alias("blocked_host")
     )
     verdict = F.coalesce("action", F.when(F.col("blocked_host").isNull(), "allow").otherwise("block"))
-    return judged.join(blocked, F.col("host") == F.col("blocked_host"), "left").select(
+    # one host may have a third of all pages: its pages are spread over salts, and its verdict copied to each
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(HOST_SALTS - 1).cast("bigint")))
+    blocked = blocked.select("blocked_host", salts.alias("blocked_salt"))
+    salted = judged.withColumn("salt", F.pmod(F.xxhash64(id_column, "path"), F.lit(HOST_SALTS)))
+    same = (F.col("host") == F.col("blocked_host")) & (F.col("salt") == F.col("blocked_salt"))
+    return salted.join(blocked, same, "left").select(
         id_column, "host", "path", "rule", verdict.alias("verdict")
     )
