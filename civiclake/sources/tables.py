@@ -115,21 +115,23 @@ def append(df: DataFrame, name: str) -> DataFrame:
     rows, kept = df.select(*table.columns), base
     if len(base) >= MOST_FOLDERS:
         kept, small = _large_folders(spark, base)
-        rows = rows.unionByName(spark.read.parquet(*small).select(*table.columns))
+        rows = rows.unionByName(spark.read.schema(df.schema).parquet(*small).select(*table.columns))
     path = fresh_path(spark, name.replace(".", "/"))
     rows.write.parquet(path)
     return _point_at(spark, name, table.columns, [*kept, path])
 
 
 def _large_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], list[str]]:
-    """(folders with at least an eighth of the table's bytes, the others); only the others are rewritten.
+    """(the largest folders, the others); only the others are rewritten.
 
-    At most eight are large, so each row is rewritten a number of times that grows with the
-    logarithm of the table's size over that of a pull.
+    Large is a folder with an eighth of the table's bytes, up to a quarter of the folders, so each
+    row is rewritten a number of times that grows with the logarithm of the table's size over that
+    of a pull.
     """
     plans = {f: spark.read.parquet(f)._jdf.queryExecution().optimizedPlan() for f in folders}
     sizes = {f: int(str(plan.stats().sizeInBytes())) for f, plan in plans.items()}
-    large = [f for f in folders if 8 * sizes[f] >= sum(sizes.values())]
+    by_size = sorted(folders, key=sizes.__getitem__, reverse=True)[: MOST_FOLDERS // 4]
+    large = [f for f in by_size if 8 * sizes[f] >= sum(sizes.values())]
     return large, [f for f in folders if f not in large]
 
 
