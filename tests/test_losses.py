@@ -96,3 +96,18 @@ def test_unpadded_dates(spark):
     df = spark.createDataFrame([("1/5/2020",), ("01/05/2020",)], "d string")
     days = {str(r[0]) for r in df.select(casting.date("d", ("MM/dd/yyyy",))).collect()}
     assert days == {"2020-01-05"}
+
+
+def test_landed_files_of_several_times_and_strays(spark, tmp_path):
+    from civiclake.plans.spec import DatasetSpec, column_specs
+    from civiclake.streaming import landing
+
+    spec = DatasetSpec("ferries_landed", ("n", "pier"), "ferry_id", column_specs(bigint="n", varchar__4="pier"))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, text in (("abcd-1234_2024-01-02T00_00_00Z.csv", '1,a,"say ""hi"", ok"'), ("abcd-1234_2024-01-01T00-00-00Z.csv", "1,a,old"), ("stray.csv", "9,a,x")):
+        (folder / name).write_text("N,Pier,Note\n" + text + "\n")
+    assert landing.refresh_landed(spark, spec, str(folder), "N string, Pier string, Note string", str(tmp_path / "state")) == 1
+    assert spark.table("data_raw.ferries_landed").count() == 2
+    assert [r.note for r in spark.table("clean.ferries_landed_clean").collect()] == ['SAY "HI", OK']
+    assert [r.path.endswith("stray.csv") for r in spark.table(landing.SET_ASIDE).collect()] == [True]
