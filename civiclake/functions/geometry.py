@@ -7,8 +7,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiclake.functions.columns import ColumnLike, as_column
 
@@ -108,6 +109,27 @@ def checked_kind(g: ColumnLike, kind: str, flag_only: bool = False) -> Column:
     return F.when(fits, g).otherwise(bad.cast(LANDED_TYPE))
 
 
+#: Longitude and latitude as satellites give them; what a column without a declared system is in.
+DEFAULT_SRID = 4326
+
+
+def with_srid(df: DataFrame, srid: int, *columns: str) -> DataFrame:
+    """Declare the reference system of geometry columns; it travels with the column as metadata."""
+    for c in columns:
+        df = df.withMetadata(c, {**df.schema[c].metadata, "srid": srid})
+    return df
+
+
+def srid_of(df: DataFrame, column: str) -> int:
+    return df.schema[column].metadata.get("srid", DEFAULT_SRID)
+
+
+def geometry_columns(df: DataFrame) -> list[str]:
+    """Columns that hold landed geometries or boundaries."""
+    kinds = {T._parse_datatype_string(t).simpleString() for t in (LANDED_TYPE, BOUNDARY_TYPE)}
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() in kinds]
+
+
 def ring_edges(ring: Column) -> Column:
     """Consecutive corners as segments; an unclosed ring is closed."""
     following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring), F.lit(1))), F.slice(ring, 1, 1))

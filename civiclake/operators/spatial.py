@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.functions.geometry import boundary_edges, edges_contain, odd_crossings
+from civiclake.functions.geometry import boundary_edges, edges_contain, odd_crossings, srid_of
 from civiclake.plans.scratch import written
 from civiclake.plans.skew import broadcast_limit, replicated
 
@@ -133,9 +133,13 @@ def join_layers(
     y: str,
     how: str = "left",
     broadcast_bytes: int | None = None,
+    points_srid: int | None = None,
 ) -> DataFrame:
     """Add the boundary columns of every boundary strictly around a point, layer after layer.
 
+    Layers in another reference system than the points (``points_srid``, else what ``x`` declares)
+    raise.
+
     Equi-join on grid cells plus an exact test; a point is in one cell, so a (point, boundary)
     pair shows up once. With ``how='left'`` points outside everything keep NULLs.
 
@@ -143,6 +147,10 @@ def join_layers(
     not shuffled at all. Beyond it both sides are shuffled by cell and salt, so a cell with very
     many points is spread over ``SALTS`` tasks.
     """
+    own = srid_of(points, x) if points_srid is None else points_srid
+    for layer in layers:
+        if (other := srid_of(layer.boundaries, layer.boundary)) != own:
+            raise ValueError(f"points are in SRID {own}, boundaries {layer.boundary} in {other}")
     limit = broadcast_limit(points.sparkSession) if broadcast_bytes is None else broadcast_bytes
     index, sizes, weights = boundary_index(layers)
     out = points

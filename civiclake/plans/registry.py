@@ -17,7 +17,7 @@ def _add(name: str, key: str, record_id: str | None = None, **options) -> None:
     groups by rule."""
     spec_options = {
         k: options.pop(k)
-        for k in ("derived", "excluded", "patterns", "always_keyed")
+        for k in ("derived", "excluded", "patterns", "always_keyed", "srid")
         if k in options
     }
     keys = tuple(key.split())
@@ -354,12 +354,14 @@ _add(
     bigint="vintage_year aland>area_land awater>area_water",
     double="ansicode intptlon>longitude intptlat>latitude",
     geometry__POLYGON="geometry",
+    srid=4269,
 )
 _add(
     "cook_county_linear_water_2024",
     "linearid",
     bigint="vintage_year",
     geometry__LINESTRING="geometry",
+    srid=4269,
 )
 _add(
     "cook_county_multifam_parcel_improvements",
@@ -450,6 +452,7 @@ _add(
     "linearid",
     bigint="vintage_year",
     geometry__LINESTRING="geometry",
+    srid=4269,
 )
 _CASE_DATES = "received_date incident_begin_date incident_end_date felony_review_date"
 _add(
@@ -513,7 +516,12 @@ _add(
 _AREA = "vintage_year aland>area_land awater>area_water"
 _CENTRE = "intptlon>longitude intptlat>latitude"
 _add(
-    "illinois_census_tracts_2022", "geoid", bigint=_AREA, double=_CENTRE, geometry="geometry"
+    "illinois_census_tracts_2022",
+    "geoid",
+    bigint=_AREA,
+    double=_CENTRE,
+    geometry="geometry",
+    srid=4269,
 )
 _add(
     "nyc_parcel_sales",
@@ -532,13 +540,22 @@ _add(
     bigint=_AREA,
     double=f"csafp cbsafp metdivfp {_CENTRE}",
     geometry="geometry",
+    srid=4269,
+)
+_add(
+    "united_states_counties_2024",
+    "geoid",
+    bigint=_AREA,
+    double=_CENTRE,
+    geometry="geometry",
+    srid=4269,
 )
-_add("united_states_counties_2024", "geoid", bigint=_AREA, double=_CENTRE, geometry="geometry")
 _add(
     "united_states_rails_2022",
     "linearid",
     bigint="vintage_year",
     geometry__LINESTRING="geometry",
+    srid=4269,
 )
 
 # Kept as distinct versions only, not standardized

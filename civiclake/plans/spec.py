@@ -100,7 +100,7 @@ class DatasetSpec:
     Columns not mentioned in ``columns`` follow the first of ``patterns`` (regex to rule) that
     matches their whole name, else the rule for their landed type (``auto_columns``).
     ``derived`` columns are computed from the cleaned ones; rows whose column is one of the
-    ``excluded`` words are left out.
+    ``excluded`` words are left out. ``srid`` is the reference system of its geometries.
     """
 
     name: str
@@ -114,6 +114,7 @@ class DatasetSpec:
     excluded: dict[str, tuple[str, ...]] = field(default_factory=dict)
     patterns: dict[str, str] = field(default_factory=dict)
     complete: bool = False
+    srid: int = G.DEFAULT_SRID
 
     @property
     def made_key(self) -> bool:
@@ -214,6 +215,6 @@ def standardize(df: DataFrame, spec: DatasetSpec, lenient: bool = False) -> Data
         out = out.where(~F.col(column).isin(*words))
     if spec.made_key:
         out = out.select(X.surrogate_key(list(spec.key)).alias(spec.record_id), "*")
-    return out
+    return G.with_srid(out, spec.srid, *G.geometry_columns(out))
 
 

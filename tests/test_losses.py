@@ -111,3 +111,25 @@ def test_landed_files_of_several_times_and_strays(spark, tmp_path):
     assert spark.table("data_raw.ferries_landed").count() == 2
     assert [r.note for r in spark.table("clean.ferries_landed_clean").collect()] == ['SAY "HI", OK']
     assert [r.path.endswith("stray.csv") for r in spark.table(landing.SET_ASIDE).collect()] == [True]
+
+
+def test_reference_systems_are_carried_and_compared(spark):
+    from civiclake.functions import geometry as G
+    from civiclake.operators.spatial import join_containing
+    from civiclake.plans.registry import REGISTRY
+    from civiclake.plans.spec import DatasetSpec, column_specs, standardize
+
+    assert sorted({s.srid for s in REGISTRY.values()}) == [4269, 4326]
+    square = '[[[0,0],[0,9],[9,9],[9,0],[0,0]]]'
+    landed = spark.createDataFrame([("a", ("Polygon", square))], "Name string, geometry struct<type:string,coordinates:string>")
+    spec = DatasetSpec(
+        "plots", ("name",), "name", column_specs(text="Name>name", geometry__POLYGON="geometry"),
+        derived={"geometry_parts": lambda: G.boundary_from_geojson("geometry")}, srid=4269,
+    )
+    plots = standardize(landed, spec)
+    assert G.srid_of(plots, "geometry") == G.srid_of(plots, "geometry_parts") == 4269
+    points = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+    with pytest.raises(ValueError, match="SRID"):
+        join_containing(points, plots, "x", "y", "geometry_parts", {"name": "plot"})
+    same = join_containing(G.with_srid(points, 4269, "x"), plots, "x", "y", "geometry_parts", {"name": "plot"})
+    assert [r.plot for r in same.collect()] == ["A"]
