@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.plans.skew import hot_keys, quantile_row_limit, split_by_keys
+from civiclake.plans.skew import hot_keys, joined_with_few, quantile_row_limit, split_by_keys
 
 
 def exact_quantiles(
@@ -29,17 +29,17 @@ def exact_quantiles(
         if rows.count() <= limit:
             return rows.agg(plain)
         one = rows.withColumn("__all", F.lit(1))
-        return _selected(one, ["__all"], probabilities, name, limit).drop("__all")
+        return _selected(one, ["__all"], probabilities, name, limit, 1).drop("__all")
     hot = hot_keys(rows, keys, limit)
     if hot is None:
         return rows.groupBy(*keys).agg(plain)
     cold_rows, hot_rows = split_by_keys(rows, keys, hot)
     return cold_rows.groupBy(*keys).agg(plain).unionByName(
-        _selected(hot_rows, keys, probabilities, name, limit)
+        _selected(hot_rows, keys, probabilities, name, limit, hot.count())
     )
 
 
-def _selected(rows, keys, probabilities, name, limit):
+def _selected(rows, keys, probabilities, name, limit, groups):
     """Bracket each wanted rank with a mergeable sketch, then count exactly inside the bracket.
 
     A sketch of accuracy A is off by at most 1/A of the rows, so two sketched quantiles 2/A
@@ -74,8 +74,7 @@ def _selected(rows, keys, probabilities, name, limit):
     same = F.col("__v") <= F.col("__b.high")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
-    # hot keys are few (bounded by total rows / limit), so their brackets are too
-    near = rows.join(F.broadcast(brackets), same)
+    near = joined_with_few(rows, brackets, same, "inner", groups * len(probabilities))
     counted = (
         near.withColumn("__at", F.when(F.col("__v") >= F.col("__b.low"), F.col("__v")))
         .groupBy(*keys, F.col("__b.pos").alias("__pos"), F.col("__b.rank").alias("__rank"), "__at")

@@ -13,6 +13,8 @@ QUANTILE_ROWS_CONF = "civiclake.quantileBufferRows"
 QUANTILE_ROWS_DEFAULT = 1_000_000
 BROADCAST_BYTES_CONF = "civiclake.maxBroadcastBytes"
 BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
+BYTES_PER_MARK = 200  # of a broadcast row of keys or brackets
+SPREAD = 32
 
 
 def hot_row_limit(spark: SparkSession) -> int:
@@ -46,11 +48,25 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFr
 
 def split_by_keys(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of the hot keys), NULL counting as a key value."""
-    marks = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    marks = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
     same: Column = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
     )
-    return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi")
+    count = hot.count()
+    cold_rows, hot_rows = (joined_with_few(df, marks, same, how, count) for how in ("left_anti", "left_semi"))
+    return cold_rows, hot_rows
+
+
+def joined_with_few(df: DataFrame, few: DataFrame, same: Column, how: str, count: int) -> DataFrame:
+    """Join with a side of ``count`` rows: broadcast while that is small, else copied to salts.
+
+    The rows of ``df`` are then spread over the salts, so a key with very many rows is not one task's.
+    """
+    if count * BYTES_PER_MARK <= broadcast_limit(df.sparkSession):
+        return df.join(F.broadcast(few), same, how)
+    spread = df.withColumn("__spread", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
+    here = F.col("__spread") == F.col("__copy")
+    return spread.join(replicated(few, SPREAD, "__copy"), same & here, how).drop("__spread", "__copy")
 
 
 def replicated(df: DataFrame, salts: int, name: str = "__salt") -> DataFrame:

@@ -18,6 +18,16 @@ def test_groups_of_nulls_keep_their_row(spark):
     assert rows(small) == rows(large) == [("x", None), ("y", [149.5])]
 
 
+def test_hot_keys_beyond_the_broadcast_limit(spark):
+    df = spark.createDataFrame([(n % 7, float(n)) for n in range(2000)], "k long, v double")
+    expected = rows(exact_quantiles(df, ["k"], "v", [0.25, 0.5], "q"))
+    spark.conf.set("civiclake.maxBroadcastBytes", "1")
+    try:
+        assert rows(exact_quantiles(df, ["k"], "v", [0.25, 0.5], "q", 50)) == expected
+    finally:
+        spark.conf.unset("civiclake.maxBroadcastBytes")
+
+
 def test_appends_must_fit_and_do_not_rewrite_large_folders(spark, monkeypatch):
     tables.create_layers(spark)
     monkeypatch.setattr(tables, "MOST_FOLDERS", 4)
