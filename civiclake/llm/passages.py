@@ -35,7 +35,7 @@ from civiclake.llm.common import table_bytes
 from civiclake.plans.scratch import written
 
 #: Text bytes of a chunk, and input bytes for each bucket of keys.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 2 << 20
 
 #: Chunks that may hold a key before its passages are cut by a second key, and the units that covers.

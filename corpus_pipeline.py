@@ -30,8 +30,12 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings that an earlier document has."""
     names = docs.columns
-    kept = suffix_dedup.remove_repeats(docs, carried=[c for c in names if c != "text"], with_text=True)
-    return _with_text(kept.withColumnRenamed("kept_text", "text"), names)
+    # carried under names of their own, which no result column has
+    hidden = {c: f"__carried_{n}" for n, c in enumerate(names) if c != "text"}
+    plain = docs.select("text", *[F.col(c).alias(h) for c, h in hidden.items()])
+    kept = suffix_dedup.remove_repeats(plain, hidden["doc_id"], carried=list(hidden.values()), with_text=True)
+    back = [F.col(h).alias(c) for c, h in hidden.items()]
+    return _with_text(kept.select(F.col("kept_text").alias("text"), *back), names)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

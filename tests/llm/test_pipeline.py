@@ -73,7 +73,7 @@ def test_whole_run_against_brute_force(spark):
 
 
 def write_tables(spark, folder, documents):
-    frame = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long, score int, fp int")
+    frame = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long, score int, fp int").selectExpr("*", "1 AS n_bytes", "'k' AS kept_text", "2 AS spans", "3 AS predicted")
     frame.write.parquet(f"{folder}/documents.parquet")
     labels = [(key, 1, int("awful" in (text or ""))) for key, text, *_ in documents if key is not None]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -94,7 +94,7 @@ def test_odd_rows_and_extra_columns(spark, tmp_path, rows):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "fp"], name
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "fp", "n_bytes", "kept_text", "spans", "predicted"], name
         path = f"{tmp_path}/{name}"
         docs.write.parquet(path)
         docs = spark.read.parquet(path)
