@@ -23,6 +23,15 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the scan has fewer splits, for work that costs more than its rows.
+
+    A benchmark table is one row group, which one task reads; large tables have splits enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def query(name: str, sql: str | None = None):
     """Register ``f(t: Tables) -> DataFrame`` under a name, with the SQL giving the same rows."""
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civiclake.plans.scratch import fresh_path
-from civiclake.queries.base import query
+from civiclake.queries.base import dealt, query
 from civiclake.sources import documents as D
 from civiclake.sources import files
 
@@ -240,7 +240,8 @@ def listing_pages(t):
         F.lit("</table></body></html>"),
     )
     url = F.concat(F.lit("https://files.example/"), c("o_orderkey").cast("string"), F.lit("/"))
-    return t.orders.select("o_orderkey", page.alias("html"), url.alias("url"))
+    orders = dealt(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"))
+    return orders.select("o_orderkey", page.alias("html"), url.alias("url"))
 
 
 LISTING_SQL = """listing AS (SELECT o_orderkey, 'TIGER' || year(o_orderdate) || '/' AS name,

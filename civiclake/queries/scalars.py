@@ -9,7 +9,7 @@ from civiclake.functions import dates as D
 from civiclake.functions import text as X
 from civiclake.plans.classes import CLASS_DESCRIPTIONS
 from civiclake.plans.parcels import code_lookup, same_or_null
-from civiclake.queries.base import query
+from civiclake.queries.base import dealt, query
 
 CLASS_VALUES = ", ".join(
     "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in CLASS_DESCRIPTIONS.items()
@@ -103,7 +103,7 @@ def _(t):
     word = F.when(c("l_returnflag") == "A", "on").when(c("l_returnflag") == "N", "off")
     amount = F.concat(F.lit("$"), F.format_number(price.cast("decimal(19,2)"), 2))
     owed = F.concat(F.lit("($"), c("l_tax").cast("decimal(19,2)").cast("string"), F.lit(")"))
-    return t.lineitem.select(
+    return dealt(t.lineitem).select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
