@@ -113,7 +113,7 @@ def checked_kind(g: ColumnLike, kind: str, flag_only: bool = False) -> Column:
 DEFAULT_SRID = 4326
 
 
-def with_srid(df: DataFrame, srid: int, *columns: str) -> DataFrame:
+def with_declared_srid(df: DataFrame, srid: int, *columns: str) -> DataFrame:
     """Declare the reference system of geometry columns; it travels with the column as metadata."""
     for c in columns:
         df = df.withMetadata(c, {**df.schema[c].metadata, "srid": srid})

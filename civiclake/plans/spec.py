@@ -215,6 +215,6 @@ def standardize(df: DataFrame, spec: DatasetSpec, lenient: bool = False) -> Data
         out = out.where(~F.col(column).isin(*words))
     if spec.made_key:
         out = out.select(X.surrogate_key(list(spec.key)).alias(spec.record_id), "*")
-    return G.with_srid(out, spec.srid, *G.geometry_columns(out))
+    return G.with_declared_srid(out, spec.srid, *G.geometry_columns(out))
 
 

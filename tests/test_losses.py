@@ -141,5 +141,5 @@ def test_reference_systems_are_carried_and_compared(spark):
     points = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
     with pytest.raises(ValueError, match="SRID"):
         join_containing(points, plots, "x", "y", "geometry_parts", {"name": "plot"})
-    same = join_containing(G.with_srid(points, 4269, "x"), plots, "x", "y", "geometry_parts", {"name": "plot"})
+    same = join_containing(G.with_declared_srid(points, 4269, "x"), plots, "x", "y", "geometry_parts", {"name": "plot"})
     assert [r.plot for r in same.collect()] == ["A"]
