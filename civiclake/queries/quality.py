@@ -345,10 +345,13 @@ def _(t):
     '{"min_value":' || count(*) || ',"max_value":' || count(*) || '}' AS kwargs FROM orders
     UNION ALL SELECT NULL, 'expect_table_columns_to_match_set', '{"column_set":["o_orderkey",'
       || '"o_custkey","o_orderstatus","o_totalprice","o_orderdate","o_orderpriority"]}'
-    UNION ALL SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderpriority']),
+    UNION ALL SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate',
+      'o_orderpriority']),
       'expect_column_values_to_not_be_null', '{"mostly":1.0}'
     UNION ALL SELECT 'o_orderkey', 'expect_column_values_to_be_between',
       '{"min_value":' || min(o_orderkey) || ',"max_value":' || max(o_orderkey) || '}' FROM orders
+    UNION ALL SELECT 'o_totalprice', 'expect_column_values_to_be_between',
+      '{"min_value":' || min(o_totalprice) || ',"max_value":' || max(o_totalprice) || '}' FROM orders
     UNION ALL SELECT 'o_custkey', 'expect_column_values_to_be_between',
       '{"min_value":' || min(o_custkey) || ',"max_value":' || max(o_custkey) || '}' FROM orders
     UNION ALL SELECT 'o_orderstatus', 'expect_column_value_lengths_to_be_between',
@@ -363,6 +366,5 @@ def _(t):
       '{"regex":"^\\\\S","mostly":1.0}'""",
 )
 def _(t):
-    """Expectations derived from a table."""
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return Q.profile(t.orders, columns)
+    """Expectations derived from a table, from all its columns."""
+    return Q.profile(t.orders, t.orders.columns)
