@@ -44,8 +44,10 @@ LEAST_ODDS = 3.0
 LEAST_COUNT = 5
 OTHER_TOKEN = -0.05
 
-#: Times that one word counts towards a document's score.
+#: Times that one word counts in ``REPEAT_WINDOW`` words. Positive words that near to each other are of
+#: one segment unless clean words stand between, so a word that does not count has counted in its passage.
 COUNTED_REPEATS = 2
+REPEAT_WINDOW = int(LEAST_ODDS / -OTHER_TOKEN)
 
 #: Words whose scores a worker remembers.
 REMEMBERED_WORDS = 200_000
@@ -95,19 +97,42 @@ class Model:
         scores = list(map(known.__getitem__, words))
         return [(n, score) for n, score in enumerate(scores) if score]
 
-    def first_hits(self, words: list[bytes]) -> list[tuple[int, float]]:
-        """Hits where a word counts twice at most: what repeats on is no new evidence about the document."""
-        seen: Counter = Counter()
+    def counted_hits(self, words: list[bytes]) -> list[tuple[int, float]]:
+        """Hits where a word counts twice in a window at most: what repeats on there is no new evidence."""
+        counted: dict[bytes, list[int]] = {}
         kept = []
         for n, score in self.hits(words):
-            seen[words[n]] += 1
-            if seen[words[n]] <= COUNTED_REPEATS:
+            places = counted.setdefault(words[n], [])
+            if len(places) < COUNTED_REPEATS or n - places[-COUNTED_REPEATS] >= REPEAT_WINDOW:
+                places.append(n)
                 kept.append((n, score))
         return kept
 
     def segments(self, words: list[bytes], repeats: bool = False) -> list[tuple[int, int, float]]:
         """All maximal-scoring segments (first word, past-last word, score) of a text."""
-        return maximal_segments(self.hits(words) if repeats else self.first_hits(words), OTHER_TOKEN)
+        return maximal_segments(self.hits(words) if repeats else self.counted_hits(words), OTHER_TOKEN)
+
+    def passages(
+        self, words: list[bytes], segments: list[tuple[int, int, float]], limit: float
+    ) -> list[tuple[int, int, float]]:
+        """The significant ones of ``segments``, carried on to the ends of their passages over all occurrences."""
+        significant = [s for s in segments if self.rate * s[2] > limit]
+        if not significant:
+            return []
+        every = self.segments(words, repeats=True)
+        found, at = [], 0
+        for first, past, score in significant:
+            while at < len(every) and every[at][1] <= first:
+                at += 1
+            while at < len(every) and every[at][0] < past:
+                first, past = min(first, every[at][0]), max(past, every[at][1])
+                at += 1
+            if found and first < found[-1][1]:
+                found[-1] = (found[-1][0], max(past, found[-1][1]), max(score, found[-1][2]))
+            else:
+                found.append((first, past, score))
+            at = max(at - 1, 0)
+        return found
 
     def statistic(self, segments: list[tuple[int, int, float]], words: int) -> float:
         """-log of the smallest sum-statistic p-value over the r best segments."""
@@ -129,7 +154,12 @@ class Model:
 
     def judge(self, words: list[bytes]) -> float:
         """The probability that a document of these words is toxic."""
-        return self.probability(self.statistic(self.segments(words), len(words)))
+        return self.judged(words)[0]
+
+    def judged(self, words: list[bytes]) -> tuple[float, list[tuple[int, int, float]]]:
+        """That probability and the segments it comes from."""
+        segments = self.segments(words)
+        return self.probability(self.statistic(segments, len(words))), segments
 
     def probability(self, statistic: float) -> float:
         x = self.slope * math.log1p(statistic) + self.offset
@@ -261,7 +291,7 @@ def _calibrate(model: Model, documents: DataFrame, train: dict[int, int]) -> Non
             if key in label_of:
                 words = alnum_words(text)
                 found = sorted((s for _, _, s in own.segments(words)), reverse=True)[:64]
-                yield label_of[key], len(words), found, [s for _, s in own.first_hits(words)][:256]
+                yield label_of[key], len(words), found, [s for _, s in own.counted_hits(words)][:256]
 
     schema = "toxic int, words bigint, found array<double>, scores array<double>"
     rows = map_rows(documents.select("doc_id", "text"), run, schema).limit(4 * len(train)).collect()
@@ -316,7 +346,8 @@ def score(documents: DataFrame, model: Model, with_spans: bool = False, threshol
 
     A text without words scores like one without toxic segments, so null and empty texts score
     lowest. Repeated rows and null ids pass through (a null id is not held out); only doc_id and
-    text are read. Spans are word positions of maximal segments with an expected count below 0.05.
+    text are read. Spans are word positions of those segments the score comes from that have an
+    expected count below 0.05, together with the words around that only repeat.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -324,12 +355,11 @@ def score(documents: DataFrame, model: Model, with_spans: bool = False, threshol
         own: Model = shared.value
         for key, text in rows:
             words = alnum_words(text)
-            value = own.judge(words)
+            value, segments = own.judged(words)
             out = (key, value, int(value >= threshold))
             if with_spans:
                 limit = math.log(own.k * max(len(words), 1) / 0.05)
-                every = own.segments(words, repeats=True)
-                yield *out, [{"first": a, "past": b, "score": s} for a, b, s in every if own.rate * s > limit]
+                yield *out, [{"first": a, "past": b, "score": s} for a, b, s in own.passages(words, segments, limit)]
             else:
                 yield out
 

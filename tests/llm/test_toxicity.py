@@ -87,3 +87,19 @@ def test_without_labels_or_rows(spark):
         model = T.fit(df, none)
         assert T.score(df, model).where("predicted = 1").isEmpty()
     assert T.score(df.limit(0), T.fit(df.limit(0), labels)).isEmpty()
+
+
+def test_dense_passage_after_isolated_mentions(spark):
+    bad = [f"bad{n}" for n in range(6)]
+    model = T.Model(scores={w.encode(): 4.0 for w in bad}, rate=1.0, k=0.1, slope=4.0, offset=-6.0)
+    apart = " ".join(word + " plain" * 200 for word in bad * 2)
+    dense = " ".join(bad)
+    made = [(0, apart), (1, f"{apart} {dense}"), (2, f"{apart} {dense} {'plain ' * 500}"), (3, dense)]
+    made += [(4, "plain " * 3000 + "bad0 " * 20), (5, f"{dense} bad0 bad1 bad0 bad1")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    got = {r.doc_id: r for r in T.score(df, model, with_spans=True).collect()}
+    assert {n: r.predicted for n, r in got.items()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 1}
+    at = 12 * 201
+    spans = {n: [(s["first"], s["past"]) for s in r.spans] for n, r in got.items()}
+    assert spans == {0: [], 1: [(at, at + 6)], 2: [(at, at + 6)], 3: [(0, 6)], 4: [], 5: [(0, 10)]}
+    assert sorted(r.doc_id for r in T.keep_clean(df, model).collect()) == [0, 4]
