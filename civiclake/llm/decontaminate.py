@@ -213,12 +213,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, item_column: str, item_text: str):
-    """The items in blocks of bounded size; one block unless the benchmark is large."""
+    """(items, whether it is the last block), blocks of bounded size; one unless the benchmark is large."""
     count = table_bytes(benchmark, item_text) // BLOCK_BYTES + 1
     items = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(item_text).alias("text"))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
     for n in range(count):
-        yield [(r.item, r.text) for r in items.where(block == n).collect()]
+        yield [(r.item, r.text) for r in items.where(block == n).collect()], n == count - 1
 
 
 def find_contamination(
@@ -248,17 +248,16 @@ def find_contamination(
         F.array().cast(span).alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = list(_blocks(benchmark, item_column, item_text))
-    for n, items in enumerate(blocks):
+    for items, last in _blocks(benchmark, item_column, item_text):
         phrases = documents.sparkSession.sparkContext.broadcast(Phrases.of(items, phrase_words))
-        if n < len(blocks) - 1:
+        if not last:
             schema = f"id {id_type}, text string, spans {span}, items array<string>"
         else:
             schema = (
                 f"{id_column} {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
                 f"contaminated boolean, spans {span}"
             )
-        state = map_rows(state, _pass(phrases, last=n == len(blocks) - 1), schema)
+        state = map_rows(state, _pass(phrases, last), schema)
     return state
 
 
@@ -314,17 +313,28 @@ def cut_contamination(
 ) -> DataFrame:
     """The documents, with all their columns, and ``text`` without its hit spans; null stays null.
 
-    Blocks of a large benchmark cut one after another, each what the ones before have left.
+    Blocks of a large benchmark all search the uncut text; their spans travel in a column and are cut
+    together by the last one.
     """
     at = documents.columns.index("text")
-    for items in _blocks(benchmark, item_column, item_text):
+    hidden = "__spans"
+    while hidden in [c.lower() for c in documents.columns]:
+        hidden += "_"
+    state = documents.withColumn(hidden, F.array().cast("array<struct<first: bigint, past: bigint>>"))
+    for items, last in _blocks(benchmark, item_column, item_text):
         shared = documents.sparkSession.sparkContext.broadcast(Phrases.of(items, phrase_words))
 
-        def cut(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+        def search(batch: pa.RecordBatch, shared=shared, last=last) -> pa.RecordBatch:
             texts = batch.column(at).to_pylist()
             hits = search_shard([alnum_words(text) for text in texts], shared.value)
-            texts = [text and without_spans(text, spans) for text, (spans, _) in zip(texts, hits)]
-            return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-
-        documents = map_batches(documents, cut)
-    return documents
+            before = batch.column(len(batch.schema) - 1).to_pylist()
+            spans = [merged([*((s["first"], s["past"]) for s in old), *new]) for old, (new, _) in zip(before, hits, strict=True)]
+            if last:
+                texts = [text and without_spans(text, own) for text, own in zip(texts, spans, strict=True)]
+                return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            rows = [[{"first": first, "past": past} for first, past in own] for own in spans]
+            field = batch.schema.field(len(batch.schema) - 1)
+            return batch.set_column(len(batch.schema) - 1, field, pa.array(rows, field.type))
+
+        state = map_batches(state, search)
+    return state.drop(hidden)

@@ -79,3 +79,29 @@ def test_index_by_hand():
     for phrase, low, high in zip(phrases, *index.search(lines)):
         places = [i for i in range(500) if values[i : i + len(phrase)].tolist() == phrase]
         assert sorted(index.locate(np.arange(low, high)).tolist()) == places
+
+
+def test_cut_in_blocks_like_in_one(spark, monkeypatch):
+    items, documents = [], []
+    for n in range(8):
+        w = [f"d{n}w{k}" for k in range(1, 23)]
+        items += [(3 * n, " ".join(w[:15])), (3 * n + 1, " ".join(w[5:]))]
+        seam = [f"s{n}x{k}" for k in range(10)]
+        items.append((3 * n + 2, " ".join(seam)))
+        documents.append((1000 + n, f"before {' '.join(w)} after"))
+        documents.append((2000 + n, " ".join([*seam[:5], *w[:15], *seam[5:]])))
+    more_documents, more_items = cases()
+    df = spark.createDataFrame(documents + more_documents, "doc_id long, text string").selectExpr("*", "1 AS __spans")
+    benchmark = spark.createDataFrame(items + [(1000, text) for _, text in more_items], "item_id long, text string")
+    one = sorted(D.cut_contamination(df, benchmark).collect(), key=repr)
+    found = sorted(D.find_contamination(df, benchmark).collect(), key=repr)
+    sizes, phrases_of = [], D.Phrases.of
+    monkeypatch.setattr(D, "table_bytes", lambda *_: 2 * D.BLOCK_BYTES)
+    monkeypatch.setattr(D.Phrases, "of", lambda block, words: sizes.append(len(block)) or phrases_of(block, words))
+    three = D.cut_contamination(df, benchmark)
+    assert len(sizes) == 3 and all(sizes)
+    assert three.columns == df.columns and sorted(three.collect(), key=repr) == one
+    assert sorted(D.find_contamination(df, benchmark).collect(), key=repr) == found
+    text = {r.doc_id: r.text for r in one}
+    assert all(text[1000 + n] == "before  after" for n in range(8))
+    assert all(words_of(text[2000 + n]) == [f"s{n}x{k}".encode() for k in range(10)] for n in range(8))
