@@ -13,9 +13,10 @@ windows mostly share one: a run of windows of one key is a passage.
 4. The answers go back to the chunks, where covered units are removed.
 
 A passage that a third of all documents hold reaches its bucket once per chunk. Where a key itself
-is in very many chunks, like that of a common phrase, its passages are cut by a second key, of a
-longer stretch of the window, and spread over the buckets of their second keys. Chunks, buckets and
-answers are rows of shuffles; nothing passes through the driver.
+is in very many chunks, like that of a common phrase, the hashes of its whole windows go through
+step 2 as well: only windows that other documents may have travel, each to the bucket of its own hash,
+where only equal ones meet. Chunks, buckets and answers are rows of shuffles; nothing passes through
+the driver.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,8 @@ from civiclake.plans.scratch import written
 CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 2 << 20
 
-#: Chunks that may hold a key before its passages are cut by a second key, and the units that covers.
+#: Chunks that may hold a key before its windows go by the hash of all their units.
 HOT_CHUNKS = 64
-LONG_GRAM = 40
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -120,21 +121,13 @@ def open_chunk(payload: bytes, kind: Kind) -> Chunk:
     return Chunk(rows, texts, values, offsets, ids, first, count, least[first], owner, hashes)
 
 
-def second_keys(chunk: Chunk, kind: Kind, cut: np.ndarray):
-    """(first, windows, id, key) of the runs of one second key inside the passages marked in ``cut``.
-
-    A second key is the least hash of the stretches of ``LONG_GRAM`` units in a window.
-    """
-    apart = LONG_GRAM - kind.gram
-    long = mixed(chunk.hashes[: len(chunk.hashes) - apart] * np.uint64(_MIX[0]) + chunk.hashes[apart:])
-    least = sliding_least(long, kind.window - LONG_GRAM + 1) >> np.uint64(16)
-    passage = np.repeat(np.flatnonzero(cut), chunk.count[cut])
+def window_keys(chunk: Chunk, kind: Kind, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, id, key) of the windows inside the passages marked in ``cut``; the key hashes all units of a window."""
     starts = runs(chunk.first[cut], chunk.count[cut])
-    key = least[starts]
-    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (passage[1:] != passage[:-1])])
-    first, count, run = short_runs(starts[new], np.diff(np.r_[new, len(starts)]), kind.window - LONG_GRAM + 1)
-    new = new[run]
-    return first, count, chunk.ids[chunk.owner[passage[new]]], key[new]
+    key = np.zeros(len(starts), np.uint64)
+    for at in [*range(0, kind.window - kind.gram, kind.gram), kind.window - kind.gram]:
+        key = mixed(key * np.uint64(_MIX[0]) + chunk.hashes[starts + at])
+    return starts, np.repeat(chunk.ids[chunk.owner[cut]], chunk.count[cut]), key >> np.uint64(16)
 
 
 def short_runs(first: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,13 +199,12 @@ def chunked(documents: DataFrame, id_column: str, text_column: str, carried: lis
     return written(narrow.mapInArrow(run, "chunk bigint, payload binary"), "chunks")
 
 
-def _key_rows(chunk: Chunk, buckets: int):
+def _key_rows(key: np.ndarray, ids: np.ndarray, buckets: int):
     """For each bucket, its distinct keys in order and whether several documents of the chunk have them."""
-    if not len(chunk.key):
+    if not len(key):
         return
-    ids = chunk.ids[chunk.owner]
-    order = np.lexsort((ids, chunk.key))
-    key, ids = chunk.key[order], ids[order]
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     end = np.r_[start[1:], len(key)] - 1
     distinct, several = key[start], ids[start] != ids[end]
@@ -225,14 +217,21 @@ def _key_rows(chunk: Chunk, buckets: int):
 
 
 def _sent_keys(chunks: DataFrame, kind: Kind, buckets: int) -> DataFrame:
+    """(bucket, chunk, keys, several): keys of passages or, where ``chunks`` has replies, of the windows of hot ones."""
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("several", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            for name, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+            replies = batch.column(2).to_pylist() if batch.num_columns > 2 else repeat(None)
+            for name, payload, told in zip(batch.column(0).to_pylist(), batch.column(1), replies):
+                chunk = open_chunk(payload.as_py(), kind)
+                key, ids = chunk.key, chunk.ids[chunk.owner]
+                if told is not None:
+                    (hot,) = _marked(key, ids, buckets, told, "hot")
+                    _, ids, key = window_keys(chunk, kind, hot)
                 rows = [
                     (bucket, name, keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(several).tobytes())
-                    for bucket, keys, several in _key_rows(open_chunk(payload.as_py(), kind), buckets)
+                    for bucket, keys, several in _key_rows(key, ids, buckets)
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -292,24 +291,30 @@ class Passages:
     cuts: np.ndarray
 
 
-def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict]) -> Passages | None:
-    """The passages whose keys the replies call shared; a later pass over the same chunk finds the same."""
+def _marked(key: np.ndarray, ids: np.ndarray, buckets: int, replies: list[dict], *names: str) -> list[np.ndarray]:
+    """For each of the names, which keys the replies mark so."""
     told = {r["bucket"]: r for r in replies}
-    shared, hot = [], []
-    for bucket, keys, _ in _key_rows(chunk, buckets) if told else ():
-        if (reply := told.get(bucket)) is not None:
-            shared.append(keys[np.unpackbits(np.frombuffer(reply["shared"], np.uint8), count=len(keys)).astype(bool)])
-            if reply["hot"]:
-                hot.append(keys[np.unpackbits(np.frombuffer(reply["hot"], np.uint8), count=len(keys)).astype(bool)])
-    if not shared:
-        return None
-    chosen = np.isin(chunk.key, np.concatenate(shared))
-    apart = np.isin(chunk.key, np.concatenate(hot)) & chosen if hot else np.zeros(len(chunk.key), bool)
-    whole = chosen & ~apart
+    marked = {name: [] for name in names}
+    for bucket, keys, _ in _key_rows(key, ids, buckets) if told else ():
+        for name in names if bucket in told else ():
+            if told[bucket][name]:
+                bits = np.unpackbits(np.frombuffer(told[bucket][name], np.uint8), count=len(keys))
+                marked[name].append(keys[bits.astype(bool)])
+    return [np.isin(key, np.concatenate(parts)) if parts else np.zeros(len(key), bool) for parts in marked.values()]
+
+
+def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], shared_windows: list[dict]) -> Passages | None:
+    """The passages whose keys the replies call shared; a later pass over the same chunk finds the same."""
+    chosen, hot = _marked(chunk.key, chunk.ids[chunk.owner], buckets, replies, "shared", "hot")
+    whole = chosen & ~hot
     first, windows, ids, key = chunk.first[whole], chunk.count[whole], chunk.ids[chunk.owner[whole]], chunk.key[whole]
-    if apart.any():
-        more = second_keys(chunk, kind, apart)
+    if hot.any():
+        starts, owners, keys = window_keys(chunk, kind, hot)
+        (held,) = _marked(keys, owners, buckets, shared_windows, "shared")
+        more = (starts[held], np.ones(int(held.sum()), np.int64), owners[held], keys[held])
         first, windows, ids, key = (np.concatenate(both) for both in zip((first, windows, ids, key), more))
+    if not len(first):
+        return None
     bucket = (key % np.uint64(buckets)).astype(np.int64)
     copy_of = _first_copies(chunk, kind, first, windows)
     own = np.flatnonzero(copy_of == np.arange(len(first)))
@@ -357,9 +362,9 @@ def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for name, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for name, payload, *told in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
                 chunk = open_chunk(payload.as_py(), kind)
-                found = _candidates(chunk, kind, buckets, replies.as_py() or [])
+                found = _candidates(chunk, kind, buckets, *(t.as_py() or [] for t in told))
                 rows = []
                 for bucket, a, b in zip(found.buckets, found.cuts, found.cuts[1:]) if found else ():
                     counts = found.entry_windows[a:b]
@@ -425,10 +430,10 @@ def _answers(passages: DataFrame, kind: Kind, unit_type: str, kernel) -> DataFra
     return passages.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, earlier binary")
 
 
-def covered_units(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], answers: list[dict]) -> np.ndarray:
+def covered_units(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], shared_windows: list[dict], answers: list[dict]) -> np.ndarray:
     """Which of the chunk's units a window covers that an earlier document has."""
     steps = np.zeros(len(chunk.values) + 1, np.int64)
-    found = _candidates(chunk, kind, buckets, replies)
+    found = _candidates(chunk, kind, buckets, replies, shared_windows)
     if found is None:
         return steps[:-1] > 0
     told = {a["bucket"]: a["earlier"] for a in answers}
@@ -470,9 +475,17 @@ def without_repeats(
     replies = _shared_keys(_sent_keys(chunks, kind, buckets))
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("replies"))
     told = written(replies, "shared-keys")
+    has_hot = told.where(F.exists("replies", lambda r: F.octet_length(r.hot) > 0))
+    if has_hot.isEmpty():
+        told = told.withColumn("windows", F.array().cast(told.schema["replies"].dataType))
+    else:
+        asked = chunks.join(has_hot.hint("merge"), "chunk").select("chunk", "payload", "replies")
+        held = _shared_keys(_sent_keys(asked, kind, buckets))
+        held = held.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("windows"))
+        told = written(told.join(held, "chunk", "left"), "shared-windows")
     # always by shuffle: small tables would be broadcast and large ones not, and the chunks' one
     # exchange serves both joins
-    ready = chunks.join(told.hint("merge"), "chunk").select("chunk", "payload", "replies")
+    ready = chunks.join(told.hint("merge"), "chunk").select("chunk", "payload", "replies", "windows")
     answers = _answers(_sent_passages(ready, kind, buckets), kind, unit_type, kernel)
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "earlier")).alias("answers"))
     complete = chunks.join(told.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left")
@@ -480,12 +493,12 @@ def without_repeats(
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(name) for name in ("payload", "replies", "answers")]
-            for payload, replies, answers in zip(*columns):
+            columns = [batch.column(name) for name in ("payload", "replies", "windows", "answers")]
+            for payload, *told in zip(*columns):
                 chunk = open_chunk(payload.as_py(), kind)
-                covered = covered_units(chunk, kind, buckets, replies.as_py() or [], answers.as_py() or [])
+                covered = covered_units(chunk, kind, buckets, *(t.as_py() or [] for t in told))
                 more = finish(chunk, covered)
                 kept = chunk.rows.select(carried)
                 yield from pa.table([*kept.columns, *more.values()], [*kept.column_names, *more]).to_batches(4096)
 
-    return complete.select("payload", "replies", "answers").mapInArrow(run, ", ".join([*fields, result]))
+    return complete.select("payload", "replies", "windows", "answers").mapInArrow(run, ", ".join([*fields, result]))

@@ -83,6 +83,29 @@ def test_bytes_and_words_against_brute_force(spark, monkeypatch, chunk, hot):
     assert sorted(map(tuple, automaton_dedup.remove_repeats(df).collect()), key=repr) == brute_words(rows)
 
 
+def test_windows_around_a_common_phrase_stay(spark, monkeypatch):
+    monkeypatch.setattr(passages, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(passages, "HOT_CHUNKS", 2)
+    monkeypatch.setattr(passages, "table_bytes", lambda *_: 5 * passages.BUCKET_BYTES)
+    rng = random.Random(8)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    phrase = text(45)
+    rows = [(n, f"{text(30)} {phrase} {text(30)}") for n in range(40)]
+    rows += [(100, f"{text(30)} {phrase} {rows[7][1].split(phrase)[1]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, sent_passages = [], passages._sent_passages
+
+    def counted(*given):
+        sent = sent_passages(*given)
+        counts.append(sum(len(passages._unpack(bytes(r.passages))[1]) for r in sent.collect()))
+        return sent
+
+    monkeypatch.setattr(passages, "_sent_passages", counted)
+    assert sorted(map(tuple, automaton_dedup.remove_repeats(df).collect()), key=repr) == brute_words(rows)
+    assert counts[0] <= 2 * (45 + 30)  # the windows of documents 7 and 100; no window of the other 39
+    assert sorted(map(tuple, suffix_dedup.remove_repeats(df).collect()), key=repr) == brute_bytes(rows)
+
+
 def test_kept_text_and_carried_columns(spark):
     shared = "ä" * 40 + "shared tail of some length"
     df = spark.createDataFrame([(1, "x" + shared, "a"), (2, "é" + shared + "ü", "b")], "doc_id long, text string, lang string")
