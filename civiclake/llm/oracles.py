@@ -133,3 +133,35 @@ SELECT m.c AS conv_id, m.t AS turn, m.r AS role, coalesce(quoted_turn, previous)
   '<|' || coalesce(m.r, 'user') || '|>' || chr(10) || own_text || chr(10) AS formatted
 FROM m JOIN per USING (rid) LEFT JOIN pv ON pv.c = m.c AND pv.t = m.t LEFT JOIN rp ON rp.c = m.c AND rp.t = m.t
 """
+
+
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, d.doc_id,
+    CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+st AS (SELECT o, s, CAST(pow(2, ascii(substr(o, s, 1)) - 65) AS INTEGER) AS own,
+    CAST(list_sum(list_transform(range(1, s), lambda i: pow(2, ascii(substr(o, i, 1)) - 65))) AS INTEGER) AS prior
+  FROM (SELECT o, unnest(range(1, 6)) AS s FROM orders)),
+r AS (SELECT part, o, s, own,
+    sum(CASE WHEN mask & (own | coalesce(prior, 0)) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM st, cells GROUP BY part, o, s, own)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""

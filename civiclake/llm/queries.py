@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, licenses, neighbours, oracles, simhash, suffix_dedup, toxicity, urls
+from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, filter_audit, licenses, neighbours, oracles, simhash, suffix_dedup, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -19,6 +19,7 @@ ORACLES: dict[str, str] = {
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op9_url_filter": oracles.URL_FILTER,
     "op10_chat": oracles.CHAT,
+    "op11_filter_audit": oracles.FILTER_AUDIT,
 }
 
 
@@ -77,3 +78,8 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), k=20, query_divisor=20)
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
