@@ -192,7 +192,7 @@ def _extended(blocks, tree, b, left, right, before, count, width, min_length) ->
     inner[many] = blocks.equal_after(b[many], b[many] + step[many]) + step[many]
     owner = np.repeat(np.arange(len(b)), count)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    period = (first + 0)[owner] - b[owner] + nth * step[owner]
+    period = first[owner] - b[owner] + nth * step[owner]
     # ... rules out its multiples: a run of such a period would have the step as a period too
     multiple = many[owner] & (period % step[owner] == 0) & (period > step[owner]) & (inner[owner] >= period + width)
     period, owner = period[~multiple], owner[~multiple]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, filter_audit, licenses, neighbours, oracles, periodic, simhash, suffix_dedup, toxicity, urls
+from civiclake.llm import automaton_dedup, bpe, chat, decontaminate, edit_embedding, filter_audit, licenses, neighbours, oracles, periodic, simhash, suffix_dedup, toxicity, urls
 from civiclake.llm.common import table
 
 #: Where public vocabularies are kept; a parameter of the operator.
@@ -89,3 +89,8 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = periodic.find_runs(table(spark, folder, "documents"), min_words=12, rewrite=periodic.planted)
     return periodic.run_digests(found)
+
+
+@query
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_embedding.edited_fingerprints(table(spark, folder, "documents"))
