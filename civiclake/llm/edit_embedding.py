@@ -16,12 +16,16 @@ in a bucket is verified over all sampled bits.
 from __future__ import annotations
 
 import hashlib
+import pickle
+from bisect import bisect_right
+from collections import Counter
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.llm.common import map_rows, table_bytes
@@ -38,8 +42,14 @@ SAMPLE = 256
 PLANES = 8
 #: Characters walked at a time.
 PIECE = 1 << 16
-#: Bytes of the input that one ordered slice should hold.
-SLICE_BYTES = 32 << 20
+#: Bytes of the input that one ordered slice should hold, and the least number of slices.
+SLICE_BYTES = 128 << 20
+SLICES_PER_CORE = 4
+#: Ids sampled for a slice, to find its boundary; a tie before all hashes of texts.
+SAMPLED = 8
+BEFORE = -(1 << 63) - 1
+#: Bytes of rows that a task gathers before it sends them to their slices.
+CHUNK_BYTES = 8 << 20
 #: Banding uses the bits of least rank.
 BAND_POOL = 72
 #: Fingerprints of one bucket that are compared at a time.
@@ -218,6 +228,43 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: s
     return map_rows(rows, lambda rows: ((k, fingerprint(t)) for k, t in rows), f"`{id_column}` {id_type}, fingerprint string")
 
 
+Place = tuple[bool, object, int]
+
+
+def _place(key, tie: int) -> Place:
+    """Where a row stands in the order: by id, those without one first, then by the hash of its text."""
+    return key is not None, key, tie
+
+
+def _boundaries(documents: DataFrame, id_column: str, text_column: str, slices: int) -> list[Place]:
+    """The least place of all rows, then up to ``slices`` - 1 places that cut the order into slices of about equal size.
+
+    Each is the place of rows that exist, so no slice is empty. Ids are sampled, ``SAMPLED`` for a slice; where
+    an id has so many rows that it would fill slices of its own, places of its texts are sampled too.
+    """
+    ids = documents.select(F.col(id_column).alias("key"))
+    rows, named, least = ids.agg(F.count(F.lit(1)), F.count("key"), F.min("key")).first()
+    if not rows:
+        return []
+    first = _place(None if named < rows else least, BEFORE)
+    share = min(1.0, SAMPLED * slices / rows)
+    keys = sorted((r.key is not None, r.key) for r in ids.sample(share, seed=1).collect())
+    hot = {k for k, n in Counter(keys).items() if n >= 2 * SAMPLED}
+    places = {(*k, BEFORE) for k in keys[SAMPLED::SAMPLED] if k not in hot}
+    if hot:
+        wanted = F.col(id_column).isin([k for known, k in hot if known])
+        if (False, None) in hot:
+            wanted = wanted | F.col(id_column).isNull()
+        # the texts of rows with the same id, by the same hash as below
+        ties = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+        several = documents.where(wanted).select(F.col(id_column).alias("key"), ties.alias("tie"))
+        drawn = sorted(_place(r.key, r.tie) for r in several.sample(share, seed=2).collect())
+        places.update(drawn[SAMPLED::SAMPLED])
+        if first[:2] in hot:
+            first = _place(first[1], several.where(F.col("key").eqNullSafe(F.lit(first[1]))).agg(F.min("tie")).first()[0])
+    return [first, *sorted(p for p in places if p > first)]
+
+
 def edited_fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: the id, ``n_chars``, ``edited_sha256``, the fingerprints of its text and of its edited text,
     ``near_edited`` and ``near_next``.
@@ -228,56 +275,82 @@ def edited_fingerprints(documents: DataFrame, id_column: str = "doc_id", text_co
     texts count as empty. Other columns are not read; a table of one row has itself as next, an empty
     one gives no rows.
 
-    Texts are shuffled once, into slices ordered by id; each is read as a stream with one row of look-ahead.
-    The first and the last row of every slice, and nothing else, are brought together afterwards.
+    Texts are shuffled once, compressed, into slices of the order that one task each sorts. A slice also gets
+    the row that may be the next one's first. Rows equal in id and text travel once per task with
+    their number. The driver holds ``SAMPLED`` ids and one boundary for each slice of ``SLICE_BYTES``.
     """
     spark = documents.sparkSession
     id_type = documents.schema[id_column].dataType.simpleString()
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table_bytes(documents, text_column) // SLICE_BYTES))
-    # the last key cuts rows that are equal in all others
-    order = ["key", "tie", "row"]
-    rows = documents.select(
-        F.col(id_column).alias("key"),
-        F.col(text_column).alias("text"),
-        F.xxhash64(text_column).alias("tie"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    ordered = rows.repartitionByRange(slices, *order).sortWithinPartitions(*order).select("key", "text")
-    finished = (
-        f"key {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    few = SLICES_PER_CORE * spark.sparkContext.defaultParallelism
+    slices = max(few, -(-table_bytes(documents, text_column) // SLICE_BYTES))
+    bounds = _boundaries(documents, id_column, text_column, slices)
+    schema = (
+        f"`{id_column}` {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    blank = (None,) * 5
-
-    def run(rows):
-        here = TaskContext.get().partitionId()
-        last = None
+    count = max(len(bounds), 1)
+
+    def packed(rows):
+        """Chunks (slice, rows) of (place, number of rows, text, whether it is only the next slice's first)."""
+        pack = zstandard.ZstdCompressor(level=1).compress
+        seen: Counter[Place] = Counter()
+        held: dict[int, list] = {}
+        ahead: dict[int, tuple[Place, bytes]] = {}
+        size = 0
         for key, text in rows:
-            current = _Walked(key, text)
-            if last is None:
-                yield (key, *blank, None, here, "first", current.text)
-            else:
-                yield (*last.row(current), here, None, None)
-            last = current
-        if last is not None:
-            yield (last.key, *blank, None, here, "last", last.text)
-
-    done = written(map_rows(ordered, run, f"{finished}, slice int, edge string, text string"), "edited")
-    edges = done.where("edge IS NOT NULL").select("key", "slice", "edge", "text")
-    firsts = edges.where("edge = 'first'").select(F.col("slice").alias("next_slice"), F.col("text").alias("next_text"))
-    # one number a slice
-    numbers = edges.where("edge = 'first'").select("slice")
-    turn = numbers.withColumn("next_slice", F.lead("slice").over(Window.orderBy("slice")))
-    turn = turn.withColumn("next_slice", F.coalesce("next_slice", numbers.agg(F.min("slice")).scalar()))
-    met = edges.where("edge = 'last'").join(turn, "slice").join(firsts, "next_slice").select("key", "text", "next_text")
-
-    def closed(rows):
-        for key, text, following in rows:
-            yield _Walked(key, text).row(_Walked(None, following))
-
-    names = [part.split()[0] for part in finished.split(", ")]
-    whole = done.where("edge IS NULL").select(*names).unionByName(map_rows(met, closed, finished))
-    return whole.withColumnRenamed("key", id_column)
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            place = _place(key, _signed(xxhash.xxh64_intdigest(raw, 42)))
+            seen[place] += 1
+            if seen[place] > 1:
+                continue
+            own = bisect_right(bounds, place) - 1
+            raw = pack(raw)
+            held.setdefault(own, []).append((place, 1, raw, False))
+            if place[:2] == bounds[own][:2] and (own not in ahead or place < ahead[own][0]):
+                ahead[own] = place, raw
+            size += len(raw) + 64
+            if size >= CHUNK_BYTES:
+                yield from ((s, pickle.dumps(chunk)) for s, chunk in held.items())
+                held, size = {}, 0
+        for place, n in seen.items():
+            if n > 1:
+                held.setdefault(bisect_right(bounds, place) - 1, []).append((place, n - 1, None, False))
+        for own, (place, raw) in ahead.items():
+            held.setdefault((own - 1) % count, []).append((place, 0, raw, True))
+        yield from ((s, pickle.dumps(chunk)) for s, chunk in held.items())
+
+    def walked(rows):
+        """One slice: its rows in order, each with the one after it."""
+        numbers: Counter[Place] = Counter()
+        texts: dict[Place, bytes] = {}
+        ahead = None
+        for _, chunk in rows:
+            for place, n, raw, only_next in pickle.loads(chunk):
+                if only_next:
+                    ahead = min(ahead, (place, raw)) if ahead else (place, raw)
+                    continue
+                numbers[place] += n
+                if raw is not None:
+                    texts[place] = raw
+        if not texts:
+            return
+        unpack = zstandard.ZstdDecompressor().decompress
+        order = sorted(texts)
+        turns = chain(((p, texts[p]) for p in order[1:]), [ahead])
+        last = _Walked(order[0][1], unpack(texts[order[0]]).decode("utf-8", "surrogatepass"))
+        for place, following in zip(order, turns):
+            upcoming = _Walked(following[0][1], unpack(following[1]).decode("utf-8", "surrogatepass"))
+            if numbers[place] > 1:  # such rows follow each other
+                yield from repeat(last.row(last), numbers[place] - 1)
+            yield last.row(upcoming)
+            last = upcoming
+
+    chunks = map_rows(documents.select(id_column, text_column), packed, "slice int, chunk binary")
+    return map_rows(chunks.repartitionById(count, "slice"), walked, schema)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 @lru_cache(maxsize=256)
