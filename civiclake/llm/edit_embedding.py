@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import re
 from bisect import bisect_right
 from collections import Counter
 from functools import lru_cache
@@ -25,7 +26,7 @@ from itertools import chain, repeat
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.llm.common import map_rows, table_bytes
@@ -42,9 +43,8 @@ SAMPLE = 256
 PLANES = 8
 #: Characters walked at a time.
 PIECE = 1 << 16
-#: Bytes of the input that one ordered slice should hold, and the least number of slices.
-SLICE_BYTES = 128 << 20
-SLICES_PER_CORE = 4
+#: The least number of ordered slices; else there are as many as splits of a scan.
+SLICES_PER_CORE = 2
 #: Ids sampled for a slice, to find its boundary; a tie before all hashes of texts.
 SAMPLED = 8
 BEFORE = -(1 << 63) - 1
@@ -277,12 +277,12 @@ def edited_fingerprints(documents: DataFrame, id_column: str = "doc_id", text_co
 
     Texts are shuffled once, compressed, into slices of the order that one task each sorts. A slice also gets
     the row that may be the next one's first. Rows equal in id and text travel once per task with
-    their number. The driver holds ``SAMPLED`` ids and one boundary for each slice of ``SLICE_BYTES``.
+    their number. The driver holds ``SAMPLED`` ids and one boundary for each slice, of the size of a scan's split.
     """
     spark = documents.sparkSession
     id_type = documents.schema[id_column].dataType.simpleString()
     few = SLICES_PER_CORE * spark.sparkContext.defaultParallelism
-    slices = max(few, -(-table_bytes(documents, text_column) // SLICE_BYTES))
+    slices = max(few, -(-table_bytes(documents, text_column) // _split_bytes(spark)))
     bounds = _boundaries(documents, id_column, text_column, slices)
     schema = (
         f"`{id_column}` {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -349,6 +349,11 @@ def edited_fingerprints(documents: DataFrame, id_column: str = "doc_id", text_co
     return map_rows(chunks.repartitionById(count, "slice"), walked, schema)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    size, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    return int(size) << 10 * " kmgt".index(unit or " ")
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 

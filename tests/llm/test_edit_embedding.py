@@ -182,3 +182,13 @@ def test_large_buckets_are_compared_block_by_block(spark, monkeypatch):
     monkeypatch.setattr(ee, "BLOCK", 4)
     got = ee.similar_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
     assert {r["class_id"] for r in got} == {1}
+
+
+@pytest.mark.parametrize("text,size", [("134217728b", 1 << 27), ("16m", 1 << 24), ("64MB", 1 << 26), ("1g", 1 << 30), ("512", 512)])
+def test_size_of_a_split(spark, text, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", text)
+    try:
+        assert ee._split_bytes(spark) == size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
