@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -368,8 +368,10 @@ def _null() -> Column:
     return F.lit(None)
 
 
-def _one_pass(df: DataFrame, checks: list[tuple[int, Expectation]], other: DataFrame | None):
-    """Row-wise checks, column metrics and counts: one aggregation, one row, then one row each."""
+def _measures(
+    df: DataFrame, checks: list[tuple[int, Expectation]], other: DataFrame | None
+) -> tuple[list[Column], list[Column]]:
+    """(aggregates, report rows over them) of row-wise checks, column metrics and counts."""
     aggs: dict[str, Column] = {"__rows": F.count(F.lit(1))}
     rows: list[Callable[[], Column]] = []
     total = F.col("__rows")
@@ -431,8 +433,13 @@ def _one_pass(df: DataFrame, checks: list[tuple[int, Expectation]], other: DataF
             )
         else:
             raise ValueError(f"unknown expectation {e.kind}")
-    measured = df.agg(*[c.alias(n) for n, c in aggs.items()])
-    return measured.select(F.inline(F.array(*rows)))
+    return [c.alias(n) for n, c in aggs.items()], rows
+
+
+def _one_pass(df: DataFrame, checks: list[tuple[int, Expectation]], other: DataFrame | None) -> DataFrame:
+    """One aggregation, one row, then one row for each check."""
+    aggs, rows = _measures(df, checks, other)
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 # times compare by the microsecond; JSON text cuts them to milliseconds otherwise
@@ -584,10 +591,66 @@ def validate(
 ) -> DataFrame:
     """The report of a suite on a table. ``other`` serves the row-count comparison of two tables,
     ``row_order`` the checks for increasing and decreasing values."""
-    numbered = list(enumerate(suite))
-    repeat = [(i, e) for i, e in numbered if e.kind in REPEAT_KINDS]
+    return _report(df, list(enumerate(suite)), other, row_order)
+
+
+def _taken_in_one_pass(e: Expectation) -> bool:
     special = QUANTILE_KINDS | ORDER_KINDS | REPEAT_KINDS | {"column_kl_divergence_to_be_less_than"}
-    simple = [(i, e) for i, e in numbered if e.kind not in special]
+    return e.kind not in special
+
+
+class Watched:
+    """A suite whose metrics are taken while its table is written: ``rows`` are what to write.
+
+    The checks that one aggregation of the table answers are observed on the way; ``report`` adds those that
+    need a pass of their own. The metrics are exact if nothing is shuffled between ``rows`` and the writing,
+    as tasks then count once, however often they are tried.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        suite: list[Expectation],
+        other: DataFrame | None = None,
+        row_order: list[str] | None = None,
+    ) -> None:
+        numbered = list(enumerate(suite))
+        # deviations are measured against mean and spread, which an earlier pass must find
+        self._observed = [
+            (i, e) for i, e in numbered if _taken_in_one_pass(e) and e.kind != "column_value_z_scores_to_be_less_than"
+        ]
+        self._left = [(i, e) for i, e in numbered if (i, e) not in self._observed]
+        self._other, self._row_order = other, row_order
+        aggs, self._lines = _measures(df, self._observed, other)
+        self._schema = df.agg(*aggs).schema
+        self._metrics = Observation()
+        self.rows = df.observe(self._metrics, *aggs)
+
+    def _measured(self, written: DataFrame) -> DataFrame:
+        values = self._metrics.get
+        if not values:  # Spark leaves out what it knows to be empty
+            return written.agg(*_measures(written, self._observed, self._other)[0])
+        return written.sparkSession.createDataFrame([tuple(values[n] for n in self._schema.names)], self._schema)
+
+    def row_count(self) -> int:
+        """How many rows were written; only after that."""
+        return (self._metrics.get or {"__rows": 0})["__rows"]
+
+    def report(self, written: DataFrame) -> DataFrame:
+        """The suite's report on the written table; only after it is written."""
+        parts = []
+        if self._lines:
+            parts.append(self._measured(written).select(F.inline(F.array(*self._lines))))
+        if self._left or not parts:
+            parts.append(_report(written, self._left, self._other, self._row_order))
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _report(
+    df: DataFrame, numbered: list[tuple[int, Expectation]], other: DataFrame | None, row_order: list[str] | None
+) -> DataFrame:
+    repeat = [(i, e) for i, e in numbered if e.kind in REPEAT_KINDS]
+    simple = [(i, e) for i, e in numbered if _taken_in_one_pass(e)]
     parts = []
     if simple:
         parts.append(_one_pass(df, simple, other))

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.columns import nulls_first_desc, rank_struct
-from civiclake.plans.skew import broadcast_limit
 
 PROVENANCE = ["source_data_updated", "ingestion_check_time"]
-BYTES_PER_HASH = 32  # of a broadcast set of 8-byte hashes
+ROW_HASH, ROW_CHECK = "__row_hash", "__row_check"
 
 
 def distinct_pull(staged: DataFrame, source_cols: list[str], metadata_cols: list[str] = PROVENANCE):
@@ -47,36 +46,51 @@ def merge_distinct_versions(
     return merged.select(*source_cols, *[F.col(f"__kept.{m}").alias(m) for m in metadata_cols])
 
 
+def row_digest(source_cols: list[str]) -> dict[str, Column]:
+    """128 bits that stand for a version, in two columns. NULLs count as values, by their place."""
+    absent = F.array(*[F.col(c).isNull() for c in source_cols])
+    return {ROW_HASH: F.xxhash64(*source_cols), ROW_CHECK: F.xxhash64(absent, *source_cols)}
+
+
 def new_versions(
     existing: DataFrame,
     staged: DataFrame,
     source_cols: list[str],
     metadata_cols: list[str] = PROVENANCE,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Only the staged versions the store does not hold: what an append-only refresh writes.
 
     Where the store was built by this module its rows are distinct already, so appending these
     rows gives the same table as ``merge_distinct_versions`` without rewriting what is stored.
+
+    If ``existing`` holds its digests in as many ``buckets``, of the store only these 16 bytes a row are read,
+    and they are neither shuffled nor sorted: each bucket streams past the digests of the pull. The digests are
+    then returned too. The pull's own rows are compared by their values, and made distinct before they
+    are dealt to the buckets, so no row of it is a hot key.
     """
-    fresh = (
-        staged.withColumn("__hash", F.xxhash64(*source_cols))
-        .groupBy("__hash", *source_cols)
-        .agg(F.min(F.struct(*[F.col(m) for m in metadata_cols])).alias("__kept"))
-    )
-    stored = existing.withColumn("__known_hash", F.xxhash64(*source_cols))
-    pulled = staged.count()
-    fits = pulled * BYTES_PER_HASH <= broadcast_limit(existing.sparkSession)
-    if fits and 4 * pulled <= existing.count():
-        # a small pull: its hashes are sent to the store, which then is not shuffled; only
-        # stored rows with one of those hashes are compared exactly
-        hashes = staged.select(F.xxhash64(*source_cols).alias("__known_hash")).distinct()
-        stored = stored.join(F.broadcast(hashes), "__known_hash", "left_semi")
-    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(source_cols)])
-    known = stored.select("__known_hash", row.alias("__known"))
-    same = (F.col("__hash") == F.col("__known_hash")) & (row == F.col("__known"))
-    return fresh.join(known, same, "left_anti").select(
-        *source_cols, *[F.col(f"__kept.{m}").alias(m) for m in metadata_cols]
-    )
+    digests = list(row_digest(source_cols))
+    staged = staged.withColumns(row_digest(source_cols))
+    fresh = staged.select(*digests, *source_cols, *metadata_cols).distinct()
+    known = existing if ROW_CHECK in existing.columns else existing.withColumns(row_digest(source_cols))
+    known = known.select(*digests)
+    if not buckets:
+        unknown = fresh.join(known, digests, "left_anti")
+    else:
+        fresh = fresh.repartition(buckets, ROW_HASH)
+        pulled = staged.select(*digests).distinct().repartition(buckets, ROW_HASH)
+        known = known.join(pulled.hint("shuffle_hash"), _same_digest(known, pulled), "left_semi")
+        unknown = fresh.join(known.hint("shuffle_hash"), _same_digest(fresh, known), "left_anti")
+    # what is left may repeat a version with other metadata, if the pull has several
+    kept = F.min(F.struct(*[F.col(m) for m in metadata_cols])).alias("__kept")
+    first = unknown.groupBy(*digests, *source_cols).agg(kept)
+    metadata = [F.col(f"__kept.{m}").alias(m) for m in metadata_cols]
+    return first.select(*source_cols, *metadata, *(digests if buckets else []))
+
+
+def _same_digest(a: DataFrame, b: DataFrame) -> Column:
+    """Equal digests; the second half is no join key, as the buckets are those of the first."""
+    return (a[ROW_HASH] == b[ROW_HASH]) & (a[ROW_CHECK].bitwiseXOR(b[ROW_CHECK]) == 0)
 
 
 def keep_stored_copy(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiclake.operators.freshness import checked_sources
-from civiclake.operators.quality import Expectation, validate
+from civiclake.operators.quality import Expectation, Watched
 from civiclake.operators.versions import (
     latest_versions,
     latest_versions_incremental,
@@ -23,9 +23,11 @@ from civiclake.plans import parcels
 from civiclake.plans.names import with_standard_names
 from civiclake.plans.spec import DatasetSpec, standardize
 from civiclake.sources import tables
+from civiclake.sources.files import with_constants
 
 CHECKS = "metadata.table_metadata"
-CHECK_FIELDS = ("data_pulled_this_check",)
+RECORDED = "metadata.recorded_checks"
+PULLED = "metadata.pulled_checks"
 ISO_TEXT = re.compile(r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}")
 
 
@@ -35,10 +37,12 @@ class GateFailed(RuntimeError):
 
 @dataclass
 class RefreshResult:
-    """What a refresh did. ``delta`` are the clean rows it inserted or replaced."""
+    """What a refresh did. ``delta`` are the clean rows it inserted or replaced, ``staged_rows`` the rows
+    of the pull."""
 
     dataset: str
     action: str
+    staged_rows: int | None = None
     report: DataFrame | None = None
     raw: DataFrame | None = None
     clean: DataFrame | None = None
@@ -55,14 +59,13 @@ def build_models(spark: SparkSession, models: dict[str, Model]) -> dict[str, Dat
     return {name: tables.publish(make(spark.table), name) for name, make in models.items()}
 
 
-def stage(df: DataFrame, dataset: str, source_updated: str, checked: str | None = None):
-    """Standard column names, provenance stamped on every row, written as the staging table."""
+def staging_rows(df: DataFrame, source_updated: str, checked: str | None = None) -> DataFrame:
+    """Standard column names, provenance stamped on every row."""
     if not ISO_TEXT.match(source_updated):
         raise ValueError(f"not ISO text: {source_updated}")
     checked = checked or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-    named = with_standard_names(df)
-    return tables.replace_staging(
-        named, dataset, source_data_updated=source_updated, ingestion_check_time=checked
+    return with_constants(
+        with_standard_names(df), source_data_updated=source_updated, ingestion_check_time=checked
     )
 
 
@@ -74,9 +77,10 @@ def update_raw(spark: SparkSession, spec: DatasetSpec, staged: DataFrame | None)
     source_cols, metadata = spec.source_cols(staged), list(spec.metadata_cols)
     if not spark.catalog.tableExists(name):
         empty = staged.select(*source_cols, *metadata).limit(0)
-        return tables.publish(merge_distinct_versions(empty, staged, source_cols, metadata), name)
-    fresh = new_versions(spark.table(name), staged, source_cols, metadata)
-    return tables.append(fresh, name)
+        first = merge_distinct_versions(empty, staged, source_cols, metadata)
+        return tables.publish(first, name, hashed=source_cols)
+    fresh = new_versions(tables.stored(spark, name), staged, source_cols, metadata, tables.buckets(spark, name))
+    return tables.append(fresh, name, laid_out=True)
 
 
 def recent_versions(raw: DataFrame, spec: DatasetSpec, mark: datetime) -> DataFrame:
@@ -104,12 +108,14 @@ def update_clean(spark: SparkSession, spec: DatasetSpec, raw: DataFrame, lenient
     if spark.catalog.tableExists(name):
         mark = spark.table(name).agg(F.max(updated)).first()[0]
     if mark is None:
-        clean = tables.publish(latest_versions(standardize(raw, spec, lenient), key, updated), name)
+        parts = tables.parts_for(tables.stored_bytes(spark, f"data_raw.{spec.name}"))
+        latest = latest_versions(standardize(raw, spec, lenient), key, updated)
+        clean = tables.publish(latest, name, merge_key=key, parts=parts)
         return clean, clean
     recent = standardize(recent_versions(raw, spec, mark), spec, lenient)
     delta = latest_versions_incremental(recent, spark.table(name), key, updated)
     delta = tables.publish(delta, f"clean.{spec.name}_delta")  # read twice: merge and report
-    return tables.merge(delta, name, key), delta
+    return tables.merge(delta, name, key, distinct=True), delta
 
 
 def refresh(
@@ -129,36 +135,53 @@ def refresh(
     A failed suite is reported and only stops the refresh with ``gate=True``.
     """
     tables.create_layers(spark)
+    recorded = None
     if check is not None:
-        if check.select("table_id").distinct().count() > 1:
-            raise ValueError(f"{spec.name}: check records of more than one source table")
-        unpulled = check.withColumn("data_pulled_this_check", F.lit(False))
-        prior = spark.table(CHECKS) if spark.catalog.tableExists(CHECKS) else unpulled.limit(0)
-        state = checked_sources(check, prior)
-        recorded = tables.record_checks(state, CHECKS, ["table_id", "time_of_check"])
-        new = recorded.agg(F.bool_or("updated_data_available")).first()[0]
-        if not new:
+        recorded = record_check(spark, spec, check)
+        if not recorded.agg(F.bool_or("updated_data_available")).first()[0]:
             return RefreshResult(spec.name, "skip")
-    staged = None if pull is None else stage(pull, spec.name, source_updated)
-    report = None
-    if staged is not None and suite:
-        report = tables.publish(validate(staged, suite), f"metadata.{spec.name}_validation")
-        if gate and not report.agg(F.bool_and("success")).first()[0]:
-            raise GateFailed(f"{spec.name}: staged data failed its suite")
+    staged = report = n_rows = None
+    if pull is not None:
+        # the suite and the row count are taken while the rows are written
+        watched = Watched(staging_rows(pull, source_updated), suite or [])
+        staged = tables.publish(watched.rows, f"data_raw.temp_{spec.name}")
+        n_rows = watched.row_count()
+        if suite:
+            report = tables.publish(watched.report(staged), f"metadata.{spec.name}_validation")
+            if gate and not report.agg(F.bool_and("success")).first()[0]:
+                raise GateFailed(f"{spec.name}: staged data failed its suite")
     existed = spark.catalog.tableExists(f"data_raw.{spec.name}")
     raw = update_raw(spark, spec, staged)
     tables.publish_view(standardize(raw, spec, lenient), f"{spec.name}_standardized")
     clean, delta = update_clean(spark, spec, raw, lenient)
     built = build_models(spark, models or {})
-    if check is not None and staged is not None:
-        first, last = recorded.agg(F.min("id"), F.max("id")).first()  # ids of one check are consecutive
-        ids = F.col("id").between(first, last)
-        marked = tables.with_field_set(
-            spark.table(CHECKS), ids, {"data_pulled_this_check": True}, CHECK_FIELDS
-        )
-        tables.publish(marked, CHECKS)
+    if recorded is not None and staged is not None:
+        tables.append(recorded.select("id"), PULLED)
     action = "update_table" if existed else "create_table"
-    return RefreshResult(spec.name, action, report, raw, clean, delta, built)
+    return RefreshResult(spec.name, action, n_rows, report, raw, clean, delta, built)
+
+
+def record_check(spark: SparkSession, spec: DatasetSpec, check: DataFrame) -> DataFrame:
+    """Record the source's check with its flags of availability; returns the recorded rows.
+
+    Records are only ever appended: that a check's data was pulled is a row of its own in ``PULLED``, and ``CHECKS``
+    shows both as one table.
+    """
+    if check.select("table_id").distinct().count() > 1:
+        raise ValueError(f"{spec.name}: check records of more than one source table")
+    first = not spark.catalog.tableExists(CHECKS)
+    unpulled = check.withColumn("data_pulled_this_check", F.lit(False))
+    state = checked_sources(check, unpulled.limit(0) if first else spark.table(CHECKS))
+    recorded = tables.record_checks(state, RECORDED, ["table_id", "time_of_check"])
+    if first:
+        tables.create_like(spark, PULLED, recorded.select("id"))
+        pulled = "p.id IS NOT NULL OR c.data_pulled_this_check AS data_pulled_this_check"
+        columns = ", ".join(pulled if c == "data_pulled_this_check" else f"c.`{c}`" for c in recorded.columns)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {CHECKS} AS SELECT {columns} FROM {RECORDED} c "
+            f"LEFT JOIN (SELECT DISTINCT id FROM {PULLED}) p ON c.id = p.id"
+        )
+    return recorded
 
 
 # The parcel marts in the order they depend on each other.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.operators.explore import monthly_stats, version_counts
+from civiclake.operators.quality import expect
 from civiclake.operators.versions import (
     distinct_pull,
     keep_stored_copy,
@@ -19,7 +21,7 @@ from civiclake.operators.versions import (
 )
 from civiclake.plans.names import with_standard_names
 from civiclake.plans.parcels import sale_features
-from civiclake.plans.refresh import refresh
+from civiclake.plans.refresh import CHECKS, GateFailed, refresh
 from civiclake.plans.scratch import written
 from civiclake.plans.spec import DatasetSpec, auto_spec, column_specs, standardize
 from civiclake.queries.base import Tables, query
@@ -450,3 +452,75 @@ def _(t):
     refresh(t.spark, spec, first, OLD)
     result = refresh(t.spark, spec, t.orders, NEW)
     return result.clean.select("document_num", "status", "sale_price")
+
+
+SUITE = [
+    expect("column_values_to_not_be_null", "o_orderkey"),
+    expect("column_values_to_be_in_set", "o_orderstatus", value_set=["F", "O"]),
+    expect("column_values_to_be_unique", "o_orderkey"),
+    expect("column_max_to_be_between", "o_totalprice", min_value=0, max_value=1_000_000_000),
+    expect("table_row_count_to_be_between", min_value=1),
+]
+
+
+@query(
+    "dataset_refreshed_under_check",
+    """WITH clean AS (SELECT lpad(o_orderkey::VARCHAR, 8, '0') AS document_num, upper(o_orderstatus) AS status,
+         round(o_totalprice::DECIMAL(38,10))::BIGINT AS sale_price FROM orders)
+    SELECT 'clean' AS section, document_num || ' ' || status AS item, sale_price AS n, NULL::BOOLEAN AS ok FROM clean
+    UNION ALL SELECT 'mart', status || ' ' || count(*), sum(sale_price)::BIGINT, NULL FROM clean GROUP BY status
+    UNION ALL SELECT 'check', d, NULL, ok FROM (VALUES ('2023-02-18', true), ('2023-07-06', true), ('2023-07-07', false)) AS v(d, ok)
+    UNION ALL SELECT 'action', 'skip', NULL, NULL
+    UNION ALL SELECT 'gate', 'closed', NULL, NULL WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
+    UNION ALL SELECT 'staged', 'rows', count(*), NULL FROM orders
+    UNION ALL SELECT 'report', 'expect_column_values_to_not_be_null', count(*) - count(o_orderkey), count(*) = count(o_orderkey) FROM orders
+    UNION ALL SELECT 'report', 'expect_column_values_to_be_in_set', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')),
+      count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) = 0 FROM orders
+    UNION ALL SELECT 'report', 'expect_column_values_to_be_unique', 0, count(DISTINCT o_orderkey) = count(*) FROM orders
+    UNION ALL SELECT 'report', 'expect_column_max_to_be_between', NULL, max(o_totalprice) BETWEEN 0 AND 1000000000 FROM orders
+    UNION ALL SELECT 'report', 'expect_table_row_count_to_be_between', NULL, count(*) >= 1 FROM orders""",
+)
+def _(t):
+    """Three refreshes, each with a check of the source: one as a gate lets it, one with a failing suite and a
+    mart, one with nothing new; and one that the gate stops."""
+    dataset = f"orders_{uuid.uuid4().hex[:12]}"
+    spec = DatasetSpec(dataset, ("document_num",), "document_num", ORDERS_SPEC.columns)
+
+    def check(updated: str, at: str) -> DataFrame:
+        return t.spark.sql(
+            f"SELECT '{dataset}' AS table_id, timestamp'{updated}' AS source_data_last_updated, "
+            f"CAST(NULL AS timestamp) AS source_metadata_last_updated, timestamp'{at}' AS time_of_check"
+        )
+
+    def by_status(ref):
+        sums = ref(f"clean.{dataset}_clean").groupBy("status")
+        return sums.agg(F.count(F.lit(1)).alias("n"), F.sum("sale_price").alias("total"))
+
+    mart = f"dwh.{dataset}_by_status"
+    first = stored_orders(t).drop(*META).where("o_orderstatus = 'O'")
+    refresh(t.spark, spec, first, OLD, check("2023-02-17", "2023-02-18"), SUITE, gate=True)
+    result = refresh(t.spark, spec, t.orders, NEW, check("2023-07-05", "2023-07-06"), SUITE, models={mart: by_status})
+    last = refresh(t.spark, spec, t.orders, NEW, check("2023-07-05", "2023-07-07"), SUITE, gate=True)
+    gate = "open"
+    try:
+        refresh(t.spark, spec, t.orders, NEW, suite=SUITE, gate=True)
+    except GateFailed:
+        gate = "closed"
+    none, unknown = F.lit(None).cast("bigint"), F.lit(None).cast("boolean")
+
+    def section(df: DataFrame, name: str, item, n=none, ok=unknown) -> DataFrame:
+        return df.select(F.lit(name).alias("section"), item.alias("item"), n.alias("n"), ok.alias("ok"))
+
+    one = t.spark.range(1)
+    checks = t.spark.table(CHECKS).where(F.col("table_id") == dataset)
+    clean, report, sums = result.clean, result.report, result.marts[mart]
+    parts = [
+        section(clean, "clean", F.concat_ws(" ", "document_num", "status"), F.col("sale_price")),
+        section(sums, "mart", F.concat_ws(" ", "status", "n"), F.col("total")),
+        section(checks, "check", F.date_format("time_of_check", "yyyy-MM-dd"), ok=F.col("data_pulled_this_check")),
+        section(one, "action", F.lit(last.action)),
+        section(one, "gate", F.lit(gate)).where("item = 'closed'"),
+        section(one, "staged", F.lit("rows"), F.lit(result.staged_rows).cast("bigint")),
+        section(report, "report", F.col("expectation"), F.col("unexpected_count"), F.col("success")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

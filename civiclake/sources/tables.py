@@ -1,42 +1,50 @@
 """Layer tables in the catalog.
 
-A layer table is a view over the folders written for that table. Publishing writes a new folder
-and then points the view at it, so a table can be rebuilt from itself, readers never see a
-half-written state, and a failed job leaves the previous version in place.
-
-Appends and merges write only what is new: an append adds a folder to the view; a merge keeps the
-replaced and added rows in a folder of their own, which the view puts in place of the rows of the
-base with the same key. Once those folders get many or large, the next change rewrites the table.
+A layer table is a view over one stored table, of the catalog's own kind. Publishing stores a new table
+and then points the view at it, so a table can be rebuilt from itself, readers never see a half-written
+state, and a failed job leaves the previous version in place. The version before the current one is kept
+for readers still at work; older ones are dropped with their files.
+
+Appends are Spark's own, to the stored table. A table that is merged by a key is stored in partitions by
+the hash of that key, and a merge overwrites the partitions its rows fall into. A table of versions
+is stored in buckets by the hash of a row, which is stored too, so that a pull can be compared without a shuffle of the
+store. These columns are hidden by the view, and a read is a plain scan.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclake.operators.versions import upserted
+from civiclake.operators.versions import ROW_HASH, row_digest, upserted
 from civiclake.plans.scratch import fresh_path, written
 from civiclake.sources.files import with_constants
 
-MOST_FOLDERS = 32
-LARGEST_DELTA = 0.2
 LAYERS = ("data_raw", "standardized", "clean", "feature", "dwh", "metadata")
+STORED = re.compile(r"__[0-9a-f]{32}$")
+PART = "__part"
+PART_BYTES = 64 * 1024 * 1024  # a partition of a merged table is meant to hold
+MOST_PARTS = 10_000
 
 
 def create_layers(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> list[str]:
-    """One database per layer, under its own name; returns those that were missing."""
+    """One database per layer, under its own name, stored in the shared folder; returns those that were missing."""
     missing = [layer for layer in layers if not spark.catalog.databaseExists(layer)]
     for layer in missing:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{fresh_path(spark, layer)}'")
     return missing
 
 
 def tables_in(spark: SparkSession, layer: str, pattern: str | None = None) -> list[str]:
     if not spark.catalog.databaseExists(layer):
         return []
-    return sorted(t.name for t in spark.catalog.listTables(layer, pattern) if not t.isTemporary)
+    names = (t.name for t in spark.catalog.listTables(layer, pattern) if not t.isTemporary)
+    return sorted(n for n in names if not STORED.search(n))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -54,41 +62,89 @@ def publish(
     name: str,
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    merge_key: str | None = None,
+    parts: int = 1,
+    hashed: list[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Write a full new version of a table and switch to it.
+    """Store a full new version of a table and switch to it.
 
-    ``sort_by`` stores rows in ranges of these columns, so that filters on them skip files.
+    ``sort_by`` stores rows in ranges of these columns, so that filters on them skip files. ``merge_key``
+    stores them in ``parts`` partitions by the hash of that key, for ``merge``. ``hashed`` stores the hash of
+    these columns, in as many ``buckets`` (default: the session's shuffle partitions).
     """
-    path = fresh_path(df.sparkSession, name.replace(".", "/"))
+    spark = df.sparkSession
+    columns = df.columns
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return _point_at(df.sparkSession, name, df.columns, [path])
-
-
-def _point_at(
-    spark: SparkSession,
-    name: str,
-    columns: list[str],
-    base: list[str],
-    delta: str = "",
-    key: str = "",
-) -> DataFrame:
+    layout = {"columns": columns, "merge_key": merge_key, "parts": parts, "hashed": hashed, "buckets": None}
+    if hashed:
+        layout["buckets"] = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _laid_out(df, layout)
+    writer = rows.write.format("parquet")
+    if merge_key:
+        writer = writer.partitionBy(PART)
+    elif partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if hashed:
+        writer = writer.bucketBy(layout["buckets"], ROW_HASH)
+    stored = f"{name}__{uuid.uuid4().hex}"
+    writer.saveAsTable(stored)
+    before = _layout(spark, name) if table_exists(spark, name) else {}
+    layout |= {"stored": stored, "before": before.get("stored")}
     listed = ", ".join(f"`{c}`" for c in columns)
-    parts = [f"SELECT {listed} FROM parquet.`{p}`" for p in base]
-    if delta:
-        replaced = f"(SELECT `{key}` AS __key FROM parquet.`{delta}`)"
-        parts = [f"{p} LEFT ANTI JOIN {replaced} ON `{key}` = __key" for p in parts]
-        parts.append(f"SELECT {listed} FROM parquet.`{delta}`")
-    properties = f"'base' = '{';'.join(base)}', 'delta' = '{delta}', 'key' = '{key}'"
-    body = " UNION ALL ".join(parts)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS {body}")
+    kept = json.dumps(layout).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('layout' = '{kept}') AS SELECT {listed} FROM {stored}")
+    if before.get("before"):
+        spark.sql(f"DROP TABLE IF EXISTS {before['before']}")
     return spark.table(name)
 
 
-def _folders(spark: SparkSession, name: str) -> tuple[list[str], str, str]:
-    shown = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return shown["base"].split(";"), shown["delta"], shown["key"]
+def _layout(spark: SparkSession, name: str) -> dict:
+    """How a layer table is stored, as ``publish`` has noted it."""
+    return json.loads(spark.sql(f"SHOW TBLPROPERTIES {name} ('layout')").first()["value"])
+
+
+def _laid_out(df: DataFrame, layout: dict) -> DataFrame:
+    """Rows with the hidden columns, dealt out as they are stored, so that few files are written."""
+    if layout["merge_key"]:
+        return _by_parts(df.withColumn(PART, part_of(layout["merge_key"], layout["parts"])), layout)
+    if layout["hashed"]:
+        return df.withColumns(row_digest(layout["hashed"])).repartition(layout["buckets"], ROW_HASH)
+    return df
+
+
+def _by_parts(df: DataFrame, layout: dict) -> DataFrame:
+    """Rows by partition, sized by Spark at run time: small partitions share a task, large ones are split."""
+    return df.hint("rebalance", PART) if layout["parts"] > 1 else df
+
+
+def part_of(key: str, parts: int) -> Column:
+    """The partition of a merged table that a key is stored in."""
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def stored(spark: SparkSession, name: str) -> DataFrame:
+    """A layer table with its hidden columns."""
+    return spark.table(_layout(spark, name)["stored"])
+
+
+def buckets(spark: SparkSession, name: str) -> int | None:
+    """Into how many buckets the rows of a layer table are dealt by their hash."""
+    return _layout(spark, name)["buckets"]
+
+
+def stored_bytes(spark: SparkSession, name: str) -> int:
+    """The size of a layer table's files."""
+    table = _layout(spark, name)["stored"]
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+    shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(shown["Statistics"].split()[0])
+
+
+def parts_for(size: int) -> int:
+    """Partitions for a merged table of that many bytes."""
+    return min(MOST_PARTS, 1 + size // PART_BYTES)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -96,43 +152,24 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name.split(".")[-1])
 
 
-def append(df: DataFrame, name: str) -> DataFrame:
-    """Add rows to a table; what is stored already is not rewritten.
+def append(df: DataFrame, name: str, laid_out: bool = False) -> DataFrame:
+    """Add rows to a table; what is stored already is not read or rewritten.
 
-    The rows must have the table's columns, in any order, with the same types.
+    The rows must have the table's columns, in any order, with the same types; if they are ``laid_out`` as the
+    table is stored, with its hidden columns too.
     """
     spark = df.sparkSession
     if not table_exists(spark, name):
         return publish(df, name)
-    table = spark.table(name)
+    table = stored(spark, name) if laid_out else spark.table(name)
     own, new = ({f.name: f.dataType for f in d.schema.fields} for d in (table, df))
     if own != new:
         differing = sorted(c for c in own.keys() | new.keys() if own.get(c) != new.get(c))
         raise ValueError(f"rows for {name} differ from the table in {differing}")
-    base, delta, _ = _folders(spark, name)
-    if delta:
-        return publish(table.unionByName(df), name)
-    rows, kept = df.select(*table.columns), base
-    if len(base) >= MOST_FOLDERS:
-        kept, small = _large_folders(spark, base)
-        rows = rows.unionByName(spark.read.schema(df.schema).parquet(*small).select(*table.columns))
-    path = fresh_path(spark, name.replace(".", "/"))
-    rows.write.parquet(path)
-    return _point_at(spark, name, table.columns, [*kept, path])
-
-
-def _large_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], list[str]]:
-    """(the largest folders, the others); only the others are rewritten.
-
-    Large is a folder with an eighth of the table's bytes, up to a quarter of the folders, so each
-    row is rewritten a number of times that grows with the logarithm of the table's size over that
-    of a pull.
-    """
-    plans = {f: spark.read.parquet(f)._jdf.queryExecution().optimizedPlan() for f in folders}
-    sizes = {f: int(str(plan.stats().sizeInBytes())) for f, plan in plans.items()}
-    by_size = sorted(folders, key=sizes.__getitem__, reverse=True)[: MOST_FOLDERS // 4]
-    large = [f for f in by_size if 8 * sizes[f] >= sum(sizes.values())]
-    return large, [f for f in folders if f not in large]
+    layout = _layout(spark, name)
+    rows = df if laid_out else _laid_out(df, layout)
+    rows.select(*spark.table(layout["stored"]).columns).write.insertInto(layout["stored"])
+    return spark.table(name)
 
 
 def replace_staging(df: DataFrame, dataset: str, **constants: object) -> DataFrame:
@@ -145,30 +182,45 @@ def create_like(spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
     return publish(like.limit(0), name)
 
 
-def merge(delta: DataFrame, name: str, key: str) -> DataFrame:
-    """Upsert by key; the table takes on the columns of ``delta``, which must not repeat a key.
+def merge(delta: DataFrame, name: str, key: str, distinct: bool = False) -> DataFrame:
+    """Upsert by key; the table takes on the columns of ``delta``, which must not repeat a key
+    (checked, unless it is known to be ``distinct``).
 
-    Only replaced and added rows are written, until they reach a fifth of the table.
+    Only the partitions that keys of ``delta`` fall into are read and written. The table is stored anew, in
+    partitions that fit its size, if its columns change, if it was not stored for this key, or if it has
+    outgrown its partitions fourfold.
     """
     spark = delta.sparkSession
     if not table_exists(spark, name):
-        return publish(delta, name)
-    table = spark.table(name)
-    base, former, former_key = _folders(spark, name)
-    repeated = delta.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
-    if not repeated.isEmpty():
+        return publish(delta, name, merge_key=key)
+    table, layout = spark.table(name), _layout(spark, name)
+    most, touched = 1, [0]
+    if not distinct or layout["parts"] > 1:
+        per_key = delta.groupBy(F.col(key).alias("__key")).agg(F.count(key).alias("n"))
+        # at most MOST_PARTS numbers
+        most, touched = per_key.agg(F.max("n"), F.collect_set(part_of("__key", layout["parts"]))).first()
+    if (most or 0) > 1:
         raise ValueError(f"rows to merge into {name} repeat values of {key}")
-    if set(table.columns) != set(delta.columns) or former_key not in ("", key):
-        return publish(upserted(table, delta, key), name)
-    changes = delta
-    if former:
-        changes = upserted(spark.read.parquet(former), delta, key)
-    path = fresh_path(spark, name.replace(".", "/"))
-    changes.write.parquet(path)
-    changed = spark.read.parquet(path).count()
-    if changed >= LARGEST_DELTA * spark.read.parquet(*base).count():
-        return publish(upserted(table, delta, key), name)
-    return _point_at(spark, name, delta.columns, base, path, key)
+    parts = parts_for(stored_bytes(spark, name))
+    fits = layout["merge_key"] == key and parts < 4 * layout["parts"]
+    if not fits or set(table.columns) != set(delta.columns):
+        return publish(upserted(table, delta, key), name, merge_key=key, parts=parts)
+    changes = delta.withColumn(PART, part_of(key, layout["parts"]))
+    whole = spark.table(layout["stored"])
+    merged = upserted(whole.where(F.col(PART).isin(sorted(touched))), changes, key).select(*whole.columns)
+    _overwrite_parts(_by_parts(merged, layout), layout["stored"])
+    return spark.table(name)
+
+
+def _overwrite_parts(rows: DataFrame, table: str) -> None:
+    """Replace the partitions that ``rows`` hold; the job's commit moves them into place."""
+    conf, mode = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(mode, before)
 
 
 def absent_rows(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -245,8 +297,11 @@ def with_field_set(
 
 
 def drop_staging(spark: SparkSession, layer: str = "data_raw", prefix: str = "temp_") -> list[str]:
-    """Forget all staging tables; returns their names."""
+    """Drop all staging tables with their files; returns their names."""
     names = [t for t in tables_in(spark, layer) if t.startswith(prefix)]
     for t in names:
+        layout = _layout(spark, f"`{layer}`.`{t}`")
         spark.sql(f"DROP VIEW IF EXISTS `{layer}`.`{t}`")
+        for table in filter(None, (layout["stored"], layout["before"])):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     return names

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from civiclake.operators.quality import expect
+from civiclake.operators.versions import new_versions
 from civiclake.plans.refresh import (
     PARCEL_MODELS,
     GateFailed,
@@ -118,13 +119,15 @@ def test_models_resolve_tables_by_name(spark):
     assert len(PARCEL_MODELS) == 7
 
 
-def test_appends_are_folded_after_many(spark, monkeypatch):
-    monkeypatch.setattr(tables, "MOST_FOLDERS", 3)
+def test_appends_leave_what_is_stored(spark):
     tables.create_layers(spark, ("appends",))
     for i in range(5):
         tables.append(spark.range(i, i + 1).toDF("n"), "appends.t")
+        files = set(spark.table("appends.t").inputFiles())
+        assert i == 0 or before < files
+        before = files
     assert rows(spark.table("appends.t")) == [(i,) for i in range(5)]
-    assert len(tables._folders(spark, "appends.t")[0]) == 2
+    assert "UnionExec" not in plan_of(spark.table("appends.t")) and "Union" not in plan_of(spark.table("appends.t"))
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
@@ -169,23 +172,77 @@ def test_excluded_rows_and_surrogate_key(spark):
     assert rows(out, "dist_num", "dist_label") == [("01", "Y")]
 
 
-def test_small_merges_write_only_the_delta(spark):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merges_write_the_partitions_they_touch(spark):
     tables.create_layers(spark, ("merges",))
-    base = spark.range(100).selectExpr("id", "'old' AS v")
-    tables.publish(base, "merges.t")
-    first = spark.sql("SELECT id, 'new' AS v FROM VALUES (1L), (200L) AS t(id)")
-    tables.merge(first, "merges.t", "id")
-    folders = tables._folders(spark, "merges.t")
-    assert len(folders[0]) == 1 and folders[1] and folders[2] == "id"
-    second = spark.sql("SELECT id, 'newer' AS v FROM VALUES (1L), (2L) AS t(id)")
+    base = spark.range(1000).selectExpr("id", "'old' AS v")
+    tables.publish(base, "merges.t", merge_key="id", parts=16)
+    before = set(spark.table("merges.t").inputFiles())
+    first = spark.sql("SELECT id, 'new' AS v FROM VALUES (1L), (2000L) AS t(id)")
+    got = tables.merge(first, "merges.t", "id")
+    touched = {r[0] for r in first.select(tables.part_of("id", 16)).collect()}
+    gone = before - set(got.inputFiles())
+    assert gone and {int(f.split("__part=")[1].split("/")[0]) for f in gone} <= touched
+    second = spark.sql("SELECT 'newer' AS v, id FROM VALUES (1L), (2L) AS t(id)")
     got = tables.merge(second, "merges.t", "id")
-    assert tables._folders(spark, "merges.t")[0] == folders[0]
-    assert got.count() == 101 and got.select("id").distinct().count() == 101
-    assert rows(got.where("v <> 'old'")) == [(1, "newer"), (2, "newer"), (200, "new")]
-    large = spark.range(50).selectExpr("id", "'large' AS v")
-    got = tables.merge(large, "merges.t", "id")
-    assert tables._folders(spark, "merges.t")[1] == "" and got.where("v = 'large'").count() == 50
+    assert got.columns == ["id", "v"] and got.count() == 1001 and got.select("id").distinct().count() == 1001
+    assert rows(got.where("v <> 'old'")) == [(1, "newer"), (2, "newer"), (2000, "new")]
+    assert rows(tables.merge(second.limit(0), "merges.t", "id")) == rows(got)
+    plan = plan_of(got)
+    assert "Join" not in plan and "Union" not in plan and "Exchange" not in plan
     more = spark.range(1).selectExpr("id", "'x' AS v", "true AS w")
     got = tables.merge(more, "merges.t", "id")
-    assert got.columns == ["id", "v", "w"] and got.count() == 101
-    assert tables.append(more.selectExpr("id + 999 AS id", "v", "w"), "merges.t").count() == 102
+    assert got.columns == ["id", "v", "w"] and got.count() == 1001
+    assert tables.append(more.selectExpr("id + 9999 AS id", "v", "w"), "merges.t").count() == 1002
+
+
+def test_tables_grow_out_of_their_partitions(spark, monkeypatch):
+    tables.create_layers(spark, ("merges",))
+    tables.publish(spark.range(100).selectExpr("id", "'old' AS v"), "merges.grown")
+    tables.merge(spark.range(5, 6).selectExpr("id", "'new' AS v"), "merges.grown", "id")
+    assert tables._layout(spark, "merges.grown")["merge_key"] == "id"
+    monkeypatch.setattr(tables, "PART_BYTES", 50)
+    got = tables.merge(spark.range(7, 8).selectExpr("id", "'new' AS v"), "merges.grown", "id")
+    assert tables._layout(spark, "merges.grown")["parts"] > 4
+    assert rows(got.where("v = 'new'"), "id") == [(5,), (7,)] and got.count() == 100
+
+
+def test_replaced_versions_are_dropped(spark):
+    tables.create_layers(spark, ("versions",))
+    for n in range(4):
+        tables.publish(spark.range(n).toDF("n"), "versions.t")
+    assert tables.tables_in(spark, "versions") == ["t"]
+    assert len([t for t in spark.catalog.listTables("versions") if not t.isTemporary]) == 3  # the view, its table and the one before
+    tables.publish(spark.range(3).toDF("n"), "versions.temp_t")
+    assert tables.drop_staging(spark, "versions") == ["temp_t"]
+    assert len([t for t in spark.catalog.listTables("versions") if not t.isTemporary]) == 3
+
+
+def test_a_full_pull_does_not_shuffle_the_store(spark):
+    tables.create_layers(spark)
+    store = spark.range(5000).selectExpr("id", "CAST(id % 7 AS STRING) AS t", "'m' AS source_data_updated")
+    tables.publish(store, "data_raw.bucketed", hashed=["id", "t"], buckets=6)
+    pull = spark.range(10, 5010).selectExpr("id", "CAST(id % 7 AS STRING) AS t", "'n' AS source_data_updated")
+    pull = pull.unionByName(pull)
+    fresh = new_versions(tables.stored(spark, "data_raw.bucketed"), pull, ["id", "t"], ["source_data_updated"], 6)
+    lines = plan_of(fresh).splitlines()
+    at = next(i for i, line in enumerate(lines) if "bucketed__" in line)
+    depth = lines[at].index("FileScan")
+    above = []
+    for line in reversed(lines[:at]):
+        here = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if here < depth:
+            above.append(line)
+            depth = here
+    assert "Bucketed: true" in lines[at] and any("LeftSemi" in line for line in above)
+    semi = next(i for i, line in enumerate(above) if "LeftSemi" in line)
+    assert not any("Exchange" in line or "Sort " in line for line in above[: semi + 1])
+    assert rows(fresh, "id") == [(i,) for i in range(5000, 5010)]
+    assert "ReadSchema: struct<__row_hash:bigint,__row_check:bigint>" in lines[at]
+    tables.append(fresh, "data_raw.bucketed", laid_out=True)
+    assert spark.table("data_raw.bucketed").columns == ["id", "t", "source_data_updated"]
+    again = new_versions(tables.stored(spark, "data_raw.bucketed"), pull, ["id", "t"], ["source_data_updated"], 6)
+    assert again.count() == 0 and spark.table("data_raw.bucketed").count() == 5010

@@ -154,15 +154,3 @@ def test_incremental_filter_reaches_the_scan(spark, tmp_path):
     delta = latest_versions_incremental(versions, ferries(spark, ONE_OLD), "ferry_id")
     plan = delta._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThan(source_data_updated,ScalarSubquery" in plan
-
-
-def test_small_pull_does_not_shuffle_the_store(spark, tmp_path):
-    path = str(tmp_path / "store")
-    store = spark.range(1000).selectExpr("string(id) AS id", "'m' AS source_data_updated")
-    store.write.parquet(path)
-    store = spark.read.parquet(path)
-    pull = spark.createDataFrame([("5", "n"), ("5000", "n"), (None, "n")], store.schema)
-    fresh = new_versions(store, pull, ["id"], ["source_data_updated"])
-    assert rows(fresh, "id") == [("5000",), (None,)]
-    plan = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
