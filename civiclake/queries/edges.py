@@ -69,20 +69,22 @@ def _(t):
 
 @query("geojson_spaced_collection", BARE_SQL)
 def _(t):
-    """A collection per customer, written with blanks, read whole."""
+    """All customers in one file, written with blanks and further members, read by several tasks."""
     key = F.col("c_custkey").cast("string")
     properties = F.when(F.col("c_custkey") % 5 == 0, "null").otherwise(F.concat(F.lit('{ "id": '), key, F.lit(" }")))
     feature = F.concat(
         F.lit('{ "geometry": {"coordinates": ['), key, F.lit(', 1], "type": "Point"}, "properties": '), properties,
-        F.lit(', "type": "Feature" }'),
+        F.lit(', "note": "} ], \\\\\\" [{", "type": "Feature" }'),
     )
+    ends = t.customer.agg(F.min("c_custkey"))
+    comma = F.when(F.col("c_custkey") == ends.scalar(), "").otherwise(" , ")
+    lines = t.customer.select(F.col("c_custkey").alias("n"), F.concat(comma, feature).alias("value"))
+    head = '{ "crs": {"features": [{"a": []}]}, "type": "FeatureCollection", "features" : \\n ['
+    around = t.spark.sql(f"""SELECT * FROM VALUES (-1L, '{head}'), (9223372036854775807L, '], "links": [{{"b": 1}}] }}') AS t(n, value)""")
     path = fresh_path(t.spark, "geojson")
-    # a few files, each one well-formed collection
-    some = t.customer.select((F.col("c_custkey") % 4).alias("file"), F.col("c_custkey").alias("n"), feature.alias("f"))
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "f"))), lambda s: s.f), " , ")
-    whole = F.concat(F.lit('{ "type": "FeatureCollection", "features": [ '), listed, F.lit(" ] }"))
-    some.groupBy("file").agg(whole.alias("value")).repartition(4, "file").write.partitionBy("file").text(path)
-    got = files.read_geojson(t.spark, path, "id bigint", "document")
+    # one file is one task's to write; it streams sorted rows
+    lines.unionByName(around).repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+    got = files.read_geojson(t.spark, path, "id bigint", "document", split_bytes=100_000)
     plain = F.regexp_replace("geometry.coordinates", r"\s", "")
     return got.select("id", F.col("geometry.type").alias("kind"), plain.alias("coordinates"))
 

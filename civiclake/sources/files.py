@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiclake.functions.geometry import LANDED_TYPE
+from civiclake.sources.geojson import feature_texts
 
+COMPRESSED = re.compile(r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$")
 SEPARATED_FEATURE = '{"type":"Feature",'
 
 
@@ -49,14 +54,20 @@ def _feature_schema(properties: T.StructType | str) -> T.StructType:
 
 
 def read_geojson(
-    spark: SparkSession, path: str, properties: T.StructType | str, layout: str = "lines"
+    spark: SparkSession,
+    path: str,
+    properties: T.StructType | str,
+    layout: str = "lines",
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Features as rows: one column per property, ``geometry`` as (kind, coordinates text).
 
     * ``lines``: one feature per line; files split freely.
     * ``separated``: one collection written by a machine, each feature opening with the same
       text; that text is used as the record separator, so even one huge file splits.
-    * ``document``: any well-formed collection; a file is parsed by one task.
+    * ``document``: any well-formed collection. A file of up to ``split_bytes`` (default: those of a scan's
+      split) is parsed by one task; a larger one is looked through for the boundaries of its
+      features and read by as many tasks as it has splits, unless it is compressed.
     """
     feature = _feature_schema(properties)
     if layout == "lines":
@@ -73,13 +84,32 @@ def read_geojson(
         rows = text.where(~opening | other).where(F.trim("value") != "").select(parsed.alias("f")).select("f.*")
     elif layout == "document":
         collection = T.StructType().add("features", T.ArrayType(feature))
-        documents = spark.read.schema(collection).option("multiLine", True).json(path)
-        rows = documents.select(F.inline("features"))
+        found = spark.read.format("binaryFile").load(path).select("path", "length")
+        size = split_bytes or scan_split_bytes(spark)
+        # one row a file, as Spark's own listing has
+        listed = [(r["path"], r["length"]) for r in found.collect()]
+        large = sorted(f for f in listed if f[1] > size and not COMPRESSED.search(f[0]))
+        small = [f[0] for f in listed if f not in large]
+        parts = []
+        if small or not large:
+            reader = spark.read.schema(collection).option("multiLine", True).option("mode", "FAILFAST")
+            parts.append(reader.json(small or path).select(F.inline("features")))
+        if large:
+            texts = feature_texts(spark, large, size)
+            parts.append(texts.select(F.from_json("value", feature, {"mode": "FAILFAST"}).alias("f")).select("f.*"))
+        rows = reduce(DataFrame.unionByName, parts)
     else:
         raise ValueError(f"unknown layout {layout}")
     return rows.select("properties.*", F.col("geometry").cast(LANDED_TYPE).alias("geometry"))
 
 
+def scan_split_bytes(spark: SparkSession) -> int:
+    """How many bytes of a file one task of a scan reads."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    size, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", text).groups()
+    return int(size) << 10 * " kmgt".index(unit or " ")
+
+
 def read_many(
     spark: SparkSession, paths: list[str], fmt: str = "parquet", **constants: object
 ) -> DataFrame:
