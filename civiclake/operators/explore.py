@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiclake.functions.columns import ColumnLike, as_column, same_row
 from civiclake.functions.dates import month_label, month_start_of_label
-from civiclake.operators.quantiles import exact_quantiles
-from civiclake.plans.skew import hot_keys, quantile_row_limit
+from civiclake.operators.quantiles import COUNT, VALUE, exact_quantiles
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -71,20 +71,17 @@ def monthly_stats(
 ) -> DataFrame:
     """Count, max, rounded mean, min and exact median of a value per 'yyyy-MM' month."""
     rows = df.select(month_label(day).alias("month"), F.col(value).alias("value"))
+    n, v = F.col(COUNT), F.col(VALUE)
+    amount = v if isinstance(rows.schema["value"].dataType, T.DecimalType) else v.cast("double")
+    known = F.sum(F.when(v.isNotNull(), n))
     simple = [
-        F.count("value").alias("num_values"),
-        F.max("value").alias("max_value"),
-        F.round(F.avg("value")).cast("bigint").alias("mean_value"),
-        F.min("value").alias("min_value"),
+        F.coalesce(known, F.lit(0)).alias("num_values"),
+        F.max(v).alias("max_value"),
+        F.round(F.sum(amount * n) / known).cast("bigint").alias("mean_value"),
+        F.min(v).alias("min_value"),
     ]
-    limit = quantile_row_limit(df.sparkSession) if hot_limit is None else hot_limit
-    if hot_keys(rows, ["month"], limit) is None:
-        median = F.percentile(F.col("value").cast("double"), 0.5).alias("median_value")
-        return rows.groupBy("month").agg(*simple, median)
-    base = rows.groupBy("month").agg(*simple)
-    medians = exact_quantiles(rows, ["month"], "value", [0.5], "__q", limit)
-    medians = medians.select(F.col("month").alias("__month"), F.get("__q", 0).alias("median_value"))
-    return base.join(medians, F.col("month").eqNullSafe(F.col("__month")), "left").drop("__month")
+    stats = exact_quantiles(rows, ["month"], "value", [0.5], "__q", hot_limit, also=simple)
+    return stats.withColumn("median_value", F.get("__q", 0)).drop("__q")
 
 
 def months_between_busy_ends(df: DataFrame, day: str, at_least: int = 5) -> DataFrame:
