@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.functions.columns import nulls_first_desc, nulls_last, rank_struct
-from civiclake.plans.scratch import written
-from civiclake.plans.skew import hot_keys, hot_row_limit, split_by_keys
+from civiclake.functions.columns import nulls_first_desc, nulls_last, rank_struct, same_row
+from civiclake.plans.skew import hot_row_limit
 
 
 def with_previous(
@@ -23,17 +22,18 @@ def with_previous(
     equal dates deterministic. All lags share one window, so one shuffle and one sort.
 
     A window puts all rows of a key into one task. Keys with more than ``hot_limit`` rows are
-    therefore cut into ordered slices first (see ``_sliced_previous``).
+    therefore cut into ordered slices (see ``_sliced_previous``). Which they are is found as the plan runs;
+    where there are none, Spark drops that branch.
     """
-    hot = hot_keys(df, keys, hot_limit)
-    if hot is None:
-        return _windowed_previous(df, keys, order, previous)
-    cold_rows, hot_rows = split_by_keys(df, keys, hot)
     limit = hot_row_limit(df.sparkSession) if hot_limit is None else hot_limit
-    total = hot.agg(F.sum("key_rows")).first()[0]
-    slices = max(2, min(100_000, -(-2 * total // max(limit, 1))))
+    of = [f"__of_{k}" for k in keys]
+    counted = df.groupBy(*[F.col(k).alias(o) for k, o in zip(keys, of)]).agg(F.count(F.lit(1)).alias("__key_rows"))
+    # at most one row for each ``limit`` rows of the table
+    hot = F.broadcast(counted.where(F.col("__key_rows") > limit).select(*of))
+    same = same_row(df, hot, keys, of)
+    cold_rows, hot_rows = (df.join(hot, same, how) for how in ("left_anti", "left_semi"))
     return _windowed_previous(cold_rows, keys, order, previous).unionByName(
-        _sliced_previous(hot_rows, keys, order, previous, slices)
+        _sliced_previous(hot_rows, keys, order, previous)
     )
 
 
@@ -42,46 +42,33 @@ def _windowed_previous(df, keys, order, previous):
     return df.withColumns({new: F.lag(c, 1).over(w) for new, c in previous.items()})
 
 
-def _sliced_previous(df, keys, order, previous, slices):
+def _sliced_previous(df, keys, order, previous):
     """Lag over keys too big for one task.
 
     The rows are range-partitioned by (keys, order), so each partition is a consecutive slice of
-    some key. Within a slice the lag is a plain window; only the first row of a slice needs the
-    last row of the key's slice before it, which is carried over from one row per slice.
-    The slices are written out, so their numbers stay the same whatever is recomputed.
+    some key. Within a slice the lag is a plain window. A second window holds the first and the last row of all
+    slices of a key, where the row before a first one is the last of the slice before; the
+    other rows pass it in the groups of their slices. Rows learn their slice once and keep it, so
+    nothing depends on how an evaluation of the ranges would turn out a second time.
     """
-    by = [*[F.col(k).asc_nulls_last() for k in keys], *[nulls_last(o) for o in order]]
-    cut = df.repartitionByRange(slices, *by).withColumn("__slice", F.spark_partition_id())
-    cut = written(cut, "slices")
-
-    in_slice = Window.partitionBy(*keys, "__slice").orderBy(*[nulls_last(o) for o in order])
+    ordered = [nulls_last(o) for o in order]
+    by = [*[F.col(k).asc_nulls_last() for k in keys], *ordered]
+    cut = df.repartitionByRange(*by).withColumn("__slice", F.spark_partition_id())
+    in_slice = Window.partitionBy(*keys, "__slice").orderBy(*ordered)
     local = cut.withColumns(
         {
             "__rn": F.row_number().over(in_slice),
-            **{new: F.lag(c, 1).over(in_slice) for new, c in previous.items()},
+            "__more": F.lead(F.lit(True), 1, False).over(in_slice),
+            **{f"__in_{new}": F.lag(c, 1).over(in_slice) for new, c in previous.items()},
         }
     )
-    last = F.struct(*[F.col(c).alias(new) for new, c in previous.items()])
-    carried = cut.groupBy(*keys, "__slice").agg(F.max_by(last, rank_struct(*order)).alias("__last"))
-    across = Window.partitionBy(*keys).orderBy("__slice")
-    carried = carried.select(
-        *[F.col(k).alias(f"__of_{k}") for k in keys],
-        F.col("__slice").alias("__of_slice"),
-        F.lag("__last", 1).over(across).alias("__carry"),
-    )
-    same = F.col("__slice") == F.col("__of_slice")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
-    # at most one row per slice and key: bounded by the slice count, never by the data
-    joined = local.join(F.broadcast(carried), same, "left")
-    first_row = F.col("__rn") == 1
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(first_row, F.col(f"__carry.{new}")).otherwise(F.col(new)).alias(new)
-            for new in previous
-        ],
-    )
+    first = F.col("__rn") == 1
+    place = F.when(first | ~F.col("__more"), F.lit(-1)).otherwise(F.col("__slice"))
+    across = Window.partitionBy(*keys, "__place").orderBy("__slice", "__rn")
+    carried = {
+        new: F.when(first, F.lag(c, 1).over(across)).otherwise(F.col(f"__in_{new}")) for new, c in previous.items()
+    }
+    return local.withColumn("__place", place).withColumns(carried).select(*df.columns, *previous)
 
 
 def with_changes(

@@ -1,10 +1,8 @@
-"""Finding keys that hold too many rows for one task, and checking sizes before a broadcast."""
+"""How many rows of a key one task may hold, and how large a broadcast may be."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS_CONF = "civiclake.hotKeyRows"
@@ -13,8 +11,6 @@ QUANTILE_ROWS_CONF = "civiclake.quantileBufferRows"
 QUANTILE_ROWS_DEFAULT = 1_000_000
 BROADCAST_BYTES_CONF = "civiclake.maxBroadcastBytes"
 BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
-BYTES_PER_MARK = 200  # of a broadcast row of keys or brackets
-SPREAD = 32
 
 
 def hot_row_limit(spark: SparkSession) -> int:
@@ -31,44 +27,6 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_BYTES_DEFAULT)))
 
 
-def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
-    """Keys with more than ``limit`` rows with their ``key_rows``, or None when there is none.
-
-    One column-pruned, partially aggregated count. At most total_rows / limit keys can pass, so
-    the collected list stays small (10^12 rows and the default limit: 50 000 keys).
-    """
-    spark = df.sparkSession
-    limit = hot_row_limit(spark) if limit is None else limit
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    rows = counted.where(F.col("key_rows") > limit).collect()
-    if not rows:
-        return None
-    return spark.createDataFrame(rows, counted.schema)
-
-
-def split_by_keys(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of the hot keys), NULL counting as a key value."""
-    marks = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
-    same: Column = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
-    )
-    count = hot.count()
-    cold_rows, hot_rows = (joined_with_few(df, marks, same, how, count) for how in ("left_anti", "left_semi"))
-    return cold_rows, hot_rows
-
-
-def joined_with_few(df: DataFrame, few: DataFrame, same: Column, how: str, count: int) -> DataFrame:
-    """Join with a side of ``count`` rows: broadcast while that is small, else copied to salts.
-
-    The rows of ``df`` are then spread over the salts, so a key with very many rows is not one task's.
-    """
-    if count * BYTES_PER_MARK <= broadcast_limit(df.sparkSession):
-        return df.join(F.broadcast(few), same, how)
-    spread = df.withColumn("__spread", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
-    here = F.col("__spread") == F.col("__copy")
-    return spread.join(replicated(few, SPREAD, "__copy"), same & here, how).drop("__spread", "__copy")
-
-
 def replicated(df: DataFrame, salts: int, name: str = "__salt") -> DataFrame:
     """One copy per salt, for the small side of a salted join."""
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
