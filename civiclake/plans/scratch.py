@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SCRATCH = "civiclake_scratch"
 _LOCAL_FALLBACK: dict[str, str] = {}
 
 
@@ -38,3 +40,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_buckets(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """Write once into a table of ``buckets`` by the hash of a column, to be joined by it without a shuffle.
+
+    The rows stay where they are: each task writes one file for each bucket it has rows of.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.databaseExists(SCRATCH):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{fresh_path(spark, SCRATCH)}'")
+    name = f"{SCRATCH}.{re.sub(r'[^a-z0-9]', '_', label)}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).saveAsTable(name)
+    return spark.table(name)
