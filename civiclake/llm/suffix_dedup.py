@@ -90,7 +90,7 @@ def cover_ranks(words: np.ndarray, size: int, deepest: int) -> np.ndarray:
     """Ranks of suffixes at cover positions of the first ``size`` bytes, by doubling; 0 elsewhere.
 
     ``words`` has for each position the rank of the 8 bytes there. Suffixes that agree in
-    ``deepest`` bytes, beyond the end of any passage, share a rank.
+    ``deepest`` bytes share a rank.
     """
     positions = np.concatenate([np.arange(c, size, PERIOD) for c in COVER])
     positions.sort()
@@ -100,7 +100,8 @@ def cover_ranks(words: np.ndarray, size: int, deepest: int) -> np.ndarray:
     while len(ranks) and depth < deepest and ranks.max() < len(ranks) - 1:
         at[positions] = ranks + 1
         beyond = positions + depth
-        following = np.where(beyond < size, at[np.minimum(beyond, size)], 0)
+        # behind the end there is END without end, the greatest suffix
+        following = np.where(beyond < size, at[np.minimum(beyond, size)], len(ranks) + 1)
         _, ranks = _ranked([ranks, following])
         depth *= 2
     at[positions] = ranks + 1
@@ -170,7 +171,9 @@ def earlier_windows(passages: list[np.ndarray], ids: np.ndarray, window: int) ->
     window_of = np.repeat(np.arange(len(passages)), counts)
     starts = runs(begins, counts)
     words = _dense(first_bytes(text, np.arange(len(text) - 7), 8)[0])[1]
-    ranks = cover_ranks(words, size, int(lengths.max()) + 1)
+    # passages differ, so suffixes that agree to the end of theirs part within the passages that follow; ranks
+    # that deep order all suffixes alike, from whatever place of the cover they are compared
+    ranks = cover_ranks(words, size, 2 * int(lengths.max()) + 2 + PERIOD)
     number = np.zeros(size, np.int64)
     number[starts] = np.arange(total)
     earlier = np.zeros(total, bool)
