@@ -4,19 +4,20 @@ A window is a fixed number of consecutive units (bytes or words) of one document
 smallest hash of the short grams inside it, so equal windows have equal keys, and neighbouring
 windows mostly share one: a run of windows of one key is a passage.
 
-1. Documents are packed in chunks of a few megabytes and written once to the shared folder.
-2. Each chunk sends its distinct keys, 6 bytes each, to the bucket of the key; the bucket answers
+1. Documents are packed in chunks of a few megabytes and written once, to a bucketed table in the shared folder.
+   The chunks stay there: what is joined to them is sent to their buckets.
+2. Each chunk sends its distinct keys, 7 bytes each, to the bucket of the key; the bucket answers
    which keys other documents have too.
 3. Only passages of such keys travel, equal ones of a chunk as one with the smallest document id.
    A kernel (a suffix array, a suffix automaton) says for each window of each distinct passage
    whether a document with a smaller id has it.
 4. The answers go back to the chunks, where covered units are removed.
 
-A passage that a third of all documents hold reaches its bucket once per chunk. Where a key itself
-is in very many chunks, like that of a common phrase, the hashes of its whole windows go through
-step 2 as well: only windows that other documents may have travel, each to the bucket of its own hash,
-where only equal ones meet. Chunks, buckets and answers are rows of shuffles; nothing passes through
-the driver.
+A passage that a third of all documents hold reaches its bucket once per chunk, where it is one. Where a key
+has very many different passages, like that of a common phrase in changing surroundings, the hashes of its whole
+windows go through step 2 as well: only windows that other documents may have travel, each to the bucket of its
+own hash, where only equal ones meet. A byte that stands for the passages of a key tells the two apart.
+Chunks, buckets and answers are rows of shuffles; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -30,18 +31,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import table_bytes
-from civiclake.plans.scratch import written
+from civiclake.plans.scratch import written, written_buckets
 
-#: Text bytes of a chunk, and input bytes for each bucket of keys.
+#: Text bytes of a chunk, and for each bucket of keys.
 CHUNK_BYTES = 3 << 20
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 7 << 19
 
-#: Chunks that may hold a key before its windows go by the hash of all their units.
-HOT_CHUNKS = 64
+#: Files that a task writes its chunks to, so that several tasks can go on with them.
+FILES_PER_TASK = 4
+
+#: Marks, of 256, that passages of a key may have before its windows go by the hash of all their units.
+HOT_MARKS = 64
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -155,8 +158,30 @@ def _unpack(payload: bytes):
     return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
 
 
-def chunked(documents: DataFrame, id_column: str, text_column: str, carried: list[str]) -> DataFrame:
-    """(chunk, payload): whole rows of documents as compressed Arrow streams, written once."""
+def _place(chunk: Column | str) -> Column:
+    """The file number that a chunk is stored under, by its number."""
+    at = F.col(chunk) if isinstance(chunk, str) else chunk
+    return F.shiftright(at, 32) * FILES_PER_TASK + at % FILES_PER_TASK
+
+
+def _sent_to_chunks(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows by ``chunk``, sent to where the chunks are stored."""
+    named = df.withColumnRenamed("chunk", "__chunk")
+    return named.withColumn("__place", _place("__chunk")).repartition(buckets, "__place").hint("shuffle_hash")
+
+
+def _with(chunks: DataFrame, df: DataFrame, buckets: int, how: str) -> DataFrame:
+    """Chunks joined with rows by ``chunk``; the payloads are neither shuffled nor sorted.
+
+    The table's buckets are those of the place, so the chunk itself is no join key.
+    """
+    sent = _sent_to_chunks(df, buckets)
+    same = (F.col("place") == F.col("__place")) & (F.col("chunk").bitwiseXOR(F.col("__chunk")) == 0)
+    return chunks.join(sent, same, how).drop("__chunk", "__place")
+
+
+def chunked(documents: DataFrame, id_column: str, text_column: str, carried: list[str], buckets: int) -> DataFrame:
+    """(chunk, size, payload, place): whole rows of documents as compressed Arrow streams, written once."""
     narrow = documents.select(
         F.col(id_column).cast("bigint").alias("__id"), F.col(text_column).alias("__text"), *carried
     )
@@ -176,7 +201,11 @@ def chunked(documents: DataFrame, id_column: str, text_column: str, carried: lis
                 for part in held:
                     stream.write_batch(part)
             return pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([base + number], pa.int64()), "payload": pa.array([sink.getvalue().to_pybytes()])}
+                {
+                    "chunk": pa.array([base + number], pa.int64()),
+                    "size": pa.array([size], pa.int64()),
+                    "payload": pa.array([sink.getvalue().to_pybytes()]),
+                }
             )
 
         for batch in batches:
@@ -196,11 +225,13 @@ def chunked(documents: DataFrame, id_column: str, text_column: str, carried: lis
         if held:
             yield packed()
 
-    return written(narrow.mapInArrow(run, "chunk bigint, payload binary"), "chunks")
+    packed_rows = narrow.mapInArrow(run, "chunk bigint, size bigint, payload binary")
+    return written_buckets(packed_rows.withColumn("place", _place("chunk")), "chunks", "place", buckets)
 
 
-def _key_rows(key: np.ndarray, ids: np.ndarray, buckets: int):
-    """For each bucket, its distinct keys in order and whether several documents of the chunk have them."""
+def _key_rows(key: np.ndarray, ids: np.ndarray, buckets: int, marks: np.ndarray | None = None):
+    """For each bucket, its distinct keys in order, whether several documents of the chunk have them, and the
+    least mark of their passages."""
     if not len(key):
         return
     order = np.lexsort((ids, key))
@@ -208,12 +239,13 @@ def _key_rows(key: np.ndarray, ids: np.ndarray, buckets: int):
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     end = np.r_[start[1:], len(key)] - 1
     distinct, several = key[start], ids[start] != ids[end]
+    least = np.zeros(len(start), np.uint8) if marks is None else (np.minimum.reduceat(marks[order], start) >> np.uint64(7)).astype(np.uint8)
     bucket = (distinct % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.r_[True, np.diff(bucket[by_bucket]) != 0, True])
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         own = by_bucket[a:b]
-        yield int(bucket[own[0]]), distinct[own], several[own]
+        yield int(bucket[own[0]]), distinct[own], several[own], least[own]
 
 
 def _sent_keys(chunks: DataFrame, kind: Kind, buckets: int) -> DataFrame:
@@ -225,14 +257,17 @@ def _sent_keys(chunks: DataFrame, kind: Kind, buckets: int) -> DataFrame:
             replies = batch.column(2).to_pylist() if batch.num_columns > 2 else repeat(None)
             for name, payload, told in zip(batch.column(0).to_pylist(), batch.column(1), replies):
                 chunk = open_chunk(payload.as_py(), kind)
-                key, ids = chunk.key, chunk.ids[chunk.owner]
-                if told is not None:
+                key, ids, marks = chunk.key, chunk.ids[chunk.owner], None
+                if told is None:
+                    marks = passage_marks(chunk, kind, chunk.first, chunk.count)
+                else:
                     (hot,) = _marked(key, ids, buckets, told, "hot")
                     _, ids, key = window_keys(chunk, kind, hot)
-                rows = [
-                    (bucket, name, keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(several).tobytes())
-                    for bucket, keys, several in _key_rows(key, ids, buckets)
-                ]
+                rows = []
+                for bucket, keys, several, least in _key_rows(key, ids, buckets, marks):
+                    wide = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].copy()
+                    wide[:, 6] = least
+                    rows.append((bucket, name, wide.tobytes(), np.packbits(several).tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -241,26 +276,29 @@ def _sent_keys(chunks: DataFrame, kind: Kind, buckets: int) -> DataFrame:
 
 def _shared_keys(sent: DataFrame) -> DataFrame:
     """(chunk, bucket, shared, hot): bit per sent key, for the rows with a shared one."""
-    hot_chunks = HOT_CHUNKS
+    hot_marks = HOT_MARKS
 
     def run(group: pa.Table) -> pa.Table:
-        parts, flags, sizes = [], [], []
+        parts, flags, sizes, seen = [], [], [], []
         for keys, several in zip(group.column("keys"), group.column("several")):
-            raw = np.frombuffer(keys.as_buffer(), np.uint8).reshape(-1, 6)
+            raw = np.frombuffer(keys.as_buffer(), np.uint8).reshape(-1, 7)
             wide = np.zeros((len(raw), 8), np.uint8)
-            wide[:, :6] = raw
+            wide[:, :6] = raw[:, :6]
+            seen.append(raw[:, 6])
             parts.append(wide.reshape(-1).view("<u8"))
             flags.append(np.unpackbits(np.frombuffer(several.as_buffer(), np.uint8), count=len(raw)))
             sizes.append(len(raw))
-        keys, several = np.concatenate(parts), np.concatenate(flags)
-        order = np.argsort(keys, kind="stable")
+        keys, several, marks = np.concatenate(parts), np.concatenate(flags), np.concatenate(seen)
+        order = np.argsort(keys << np.uint64(8) | marks)
         start = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
         holders = np.diff(np.r_[start, len(keys)])
         shared = (holders > 1) | (np.maximum.reduceat(several[order], start) > 0)
         run_of = np.repeat(np.arange(len(start)), holders)
         bits, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         bits[order] = shared[run_of]
-        hot[order] = (holders > hot_chunks)[run_of]
+        ordered = keys[order] << np.uint64(8) | marks[order]
+        different = np.add.reduceat(np.r_[True, ordered[1:] != ordered[:-1]].astype(np.int64), start)
+        hot[order] = (different > hot_marks)[run_of]
         out, at = {"chunk": [], "bucket": [], "shared": [], "hot": []}, 0
         for chunk, bucket, size in zip(group.column("chunk").to_pylist(), group.column("bucket").to_pylist(), sizes):
             own = slice(at, at + size)
@@ -295,7 +333,7 @@ def _marked(key: np.ndarray, ids: np.ndarray, buckets: int, replies: list[dict],
     """For each of the names, which keys the replies mark so."""
     told = {r["bucket"]: r for r in replies}
     marked = {name: [] for name in names}
-    for bucket, keys, _ in _key_rows(key, ids, buckets) if told else ():
+    for bucket, keys, *_ in _key_rows(key, ids, buckets) if told else ():
         for name in names if bucket in told else ():
             if told[bucket][name]:
                 bits = np.unpackbits(np.frombuffer(told[bucket][name], np.uint8), count=len(keys))
@@ -330,12 +368,7 @@ def _candidates(chunk: Chunk, kind: Kind, buckets: int, replies: list[dict], sha
 
 def _first_copies(chunk: Chunk, kind: Kind, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """For each passage the first one of the chunk with the same units; found by hash, then compared."""
-    grams = windows + kind.window - kind.gram
-    sums = np.r_[np.uint64(0), np.cumsum(chunk.hashes)]
-    placed = np.r_[np.uint64(0), np.cumsum(chunk.hashes * np.arange(len(chunk.hashes), dtype=np.uint64))]
-    plain = sums[first + grams] - sums[first]
-    ordered = placed[first + grams] - placed[first] - first.astype(np.uint64) * plain
-    mark = mixed(mixed(plain) + ordered) + grams.astype(np.uint64)
+    mark = passage_marks(chunk, kind, first, windows)
     order = np.argsort(mark, kind="stable")
     start = np.flatnonzero(np.r_[True, mark[order][1:] != mark[order][:-1]])
     copy_of = np.empty(len(first), np.int64)
@@ -357,6 +390,16 @@ def _first_copies(chunk: Chunk, kind: Kind, first: np.ndarray, windows: np.ndarr
     return copy_of
 
 
+def passage_marks(chunk: Chunk, kind: Kind, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the units of each passage."""
+    grams = windows + kind.window - kind.gram
+    sums = np.r_[np.uint64(0), np.cumsum(chunk.hashes)]
+    placed = np.r_[np.uint64(0), np.cumsum(chunk.hashes * np.arange(len(chunk.hashes), dtype=np.uint64))]
+    plain = sums[first + grams] - sums[first]
+    ordered = placed[first + grams] - placed[first] - first.astype(np.uint64) * plain
+    return mixed(mixed(plain) + ordered) + grams.astype(np.uint64)
+
+
 def _sent_passages(told: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("passages", pa.binary())])
 
@@ -470,25 +513,24 @@ def without_repeats(
     ``kernel(passages, ids, window)`` gets distinct passages and the smallest id that has each, and
     says for all their windows, one after another, whether a passage of a smaller id has them.
     """
-    buckets = max(1, table_bytes(documents, text_column) // BUCKET_BYTES)
-    chunks = chunked(documents, id_column, text_column, carried).where("chunk IS NOT NULL")
-    replies = _shared_keys(_sent_keys(chunks, kind, buckets))
+    stored = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chunks = chunked(documents, id_column, text_column, carried, stored)
+    buckets = max(1, (chunks.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES)
+    replies = _shared_keys(_sent_keys(chunks.select("chunk", "payload"), kind, buckets))
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("replies"))
     told = written(replies, "shared-keys")
     has_hot = told.where(F.exists("replies", lambda r: F.octet_length(r.hot) > 0))
     if has_hot.isEmpty():
         told = told.withColumn("windows", F.array().cast(told.schema["replies"].dataType))
     else:
-        asked = chunks.join(has_hot.hint("merge"), "chunk").select("chunk", "payload", "replies")
+        asked = _with(chunks, has_hot, stored, "inner").select("chunk", "payload", "replies")
         held = _shared_keys(_sent_keys(asked, kind, buckets))
         held = held.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("windows"))
         told = written(told.join(held, "chunk", "left"), "shared-windows")
-    # always by shuffle: small tables would be broadcast and large ones not, and the chunks' one
-    # exchange serves both joins
-    ready = chunks.join(told.hint("merge"), "chunk").select("chunk", "payload", "replies", "windows")
+    ready = _with(chunks, told, stored, "inner").select("chunk", "payload", "replies", "windows")
     answers = _answers(_sent_passages(ready, kind, buckets), kind, unit_type, kernel)
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "earlier")).alias("answers"))
-    complete = chunks.join(told.hint("merge"), "chunk", "left").join(answers.hint("merge"), "chunk", "left")
+    complete = _with(_with(chunks, told, stored, "left"), answers, stored, "left")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carried).schema.fields]
 
     def run(batches):

@@ -110,4 +110,4 @@ def test_odd_rows_and_extra_columns(spark, tmp_path, rows):
 
 def test_every_operator_is_registered():
     names = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert names == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert names == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)

@@ -72,11 +72,11 @@ def fixture(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("chunk, hot", [(4 << 20, 256), (3000, 256), (3000, 2)])
+@pytest.mark.parametrize("chunk, hot", [(4 << 20, 256), (3000, 256), (3000, 2), (3000, 0)])
 def test_bytes_and_words_against_brute_force(spark, monkeypatch, chunk, hot):
     monkeypatch.setattr(passages, "CHUNK_BYTES", chunk)
-    monkeypatch.setattr(passages, "HOT_CHUNKS", hot)
-    monkeypatch.setattr(passages, "table_bytes", lambda *_: 5 * passages.BUCKET_BYTES)
+    monkeypatch.setattr(passages, "HOT_MARKS", hot)
+    monkeypatch.setattr(passages, "BUCKET_BYTES", 5000)
     rows = fixture()
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS chunk", "'x' AS payload", "2 AS n_bytes")
     assert sorted(map(tuple, suffix_dedup.remove_repeats(df).collect()), key=repr) == brute_bytes(rows)
@@ -85,8 +85,8 @@ def test_bytes_and_words_against_brute_force(spark, monkeypatch, chunk, hot):
 
 def test_windows_around_a_common_phrase_stay(spark, monkeypatch):
     monkeypatch.setattr(passages, "CHUNK_BYTES", 2000)
-    monkeypatch.setattr(passages, "HOT_CHUNKS", 2)
-    monkeypatch.setattr(passages, "table_bytes", lambda *_: 5 * passages.BUCKET_BYTES)
+    monkeypatch.setattr(passages, "HOT_MARKS", 2)
+    monkeypatch.setattr(passages, "BUCKET_BYTES", 5000)
     rng = random.Random(8)
     text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
     phrase = text(45)
@@ -106,6 +106,31 @@ def test_windows_around_a_common_phrase_stay(spark, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.remove_repeats(df).collect()), key=repr) == brute_bytes(rows)
 
 
+def test_copies_in_many_chunks_are_no_crowded_key(spark, monkeypatch):
+    monkeypatch.setattr(passages, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(passages, "HOT_MARKS", 2)
+    rng = random.Random(9)
+    copy = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(80))
+    df = spark.createDataFrame([(n, copy) for n in range(60)], "doc_id long, text string")
+    asked, sent_keys = [], passages._sent_keys
+
+    def counted(chunks, *given):
+        asked.append("replies" in chunks.columns)
+        return sent_keys(chunks, *given)
+
+    monkeypatch.setattr(passages, "_sent_keys", counted)
+    assert [r.n_removed for r in automaton_dedup.remove_repeats(df).orderBy("doc_id").collect()] == [0] + [80] * 59
+    assert asked == [False]  # no windows were asked for
+
+
+def test_payloads_are_not_shuffled(spark):
+    df = spark.createDataFrame([(n, "some text " * 30) for n in range(5)], "doc_id long, text string")
+    plan = suffix_dedup.remove_repeats(df)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "payload" in line and "FileScan" in line)
+    assert "Bucketed: true" in scan
+    assert not any("payload" in line and ("Exchange" in line or "Sort " in line) for line in plan.splitlines())
+
+
 def test_kept_text_and_carried_columns(spark):
     shared = "ä" * 40 + "shared tail of some length"
     df = spark.createDataFrame([(1, "x" + shared, "a"), (2, "é" + shared + "ü", "b")], "doc_id long, text string, lang string")
@@ -154,3 +179,19 @@ def test_difference_cover():
     cover = suffix_dedup.COVER.tolist()
     period = suffix_dedup.PERIOD
     assert {(a - b) % period for a in cover for b in cover} == set(range(period)) and len(cover) <= 9
+
+
+def test_ends_of_the_last_passage_rank_behind_all_others():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        tail = rng.integers(97, 100, rng.integers(20, 70)).astype(np.uint8)
+        made = [np.r_[rng.integers(97, 100, rng.integers(30, 60)).astype(np.uint8), tail] for _ in range(6)]
+        ids = rng.integers(0, 4, 6)
+        got = suffix_dedup.earlier_windows(made, ids, 50)
+        least = {}
+        for own, key in zip(made, ids.tolist()):
+            for i in range(len(own) - 49):
+                window = own[i : i + 50].tobytes()
+                least[window] = min(least.get(window, key), key)
+        expected = [least[own[i : i + 50].tobytes()] < key for own, key in zip(made, ids.tolist()) for i in range(len(own) - 49)]
+        assert got.tolist() == expected
