@@ -43,8 +43,9 @@ BUCKET_BYTES = 7 << 19
 #: Files that a task writes its chunks to, so that several tasks can go on with them.
 FILES_PER_TASK = 4
 
-#: Marks, of 256, that passages of a key may have before its windows go by the hash of all their units.
-HOT_MARKS = 64
+#: Marks, of 256, that passages of a key may have before its windows go by the hash of all their units. Some
+#: hundred different passages, which have that many marks, are no burden for a task.
+HOT_MARKS = 224
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
