@@ -442,36 +442,38 @@ def _one_pass(df: DataFrame, checks: list[tuple[int, Expectation]], other: DataF
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-# times compare by the microsecond; JSON text cuts them to milliseconds otherwise
-EXACT_TIMES = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+MOST_REPEAT_CHECKS = 100  # that share a pass; seven bits of a digest say which one it is of
+
+
+def _digest(i: int, cols: list[Column]) -> tuple[Column, Column]:
+    """A value of check ``i`` as two numbers: the check and 120 bits of hash. The second is NULL where no column
+    has a value. NULLs count by their place."""
+    some = ~_all([c.isNull() for c in cols])
+    absent = [F.array(*[c.isNull() for c in cols])] if len(cols) > 1 else []
+    one, two = F.xxhash64(F.lit(1), *absent, *cols), F.xxhash64(F.lit(2), *absent, *cols)
+    first = F.when(some, one.bitwiseAND(F.lit((1 << 56) - 1))).otherwise(F.lit(0).cast("bigint"))
+    return first.bitwiseOR(F.lit(i << 56)), F.when(some, two)
 
 
 def _repeats(df: DataFrame, checks: list[tuple[int, Expectation]]) -> DataFrame:
     """All checks about repeated values share one scan and one shuffle.
 
-    Each row is turned into (check, value) pairs, counted per pair with map-side aggregation, so
-    a value held by very many rows is no heavier than another.
+    Each row is turned into one digest per check, counted with map-side aggregation, so a value
+    held by very many rows is no heavier than another. Two numbers and a count travel, however long
+    the values are; 120 bits take 10^18 values for a chance of one in two that any two collide.
     """
-    pairs = []
-    for i, e in checks:
+    digests = []
+    for j, (_, e) in enumerate(checks):
         cols = [F.col(c) for c in e.columns]
-        if len(cols) == 1:
-            value = cols[0].cast("string")
-        else:
-            value = F.when(
-                ~_all([c.isNull() for c in cols]),
-                F.to_json(F.struct(*cols), {"ignoreNullFields": "false", **EXACT_TIMES}),
-            )
-        pairs.append(F.struct(F.lit(i).alias("i"), value.alias("v")))
+        one, two = _digest(j, [cols[0].cast("string")] if len(cols) == 1 else cols)
+        digests.append(F.struct(one.alias("d1"), two.alias("d2")))
     counted = (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("i", "v")
+        df.select(F.inline(F.array(*digests)))
+        .groupBy("d1", "d2")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("i", F.shiftright("d1", 56))
     )
-    known = F.col("v").isNotNull()
+    known = F.col("d2").isNotNull()
     per = counted.groupBy("i").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
@@ -479,25 +481,20 @@ def _repeats(df: DataFrame, checks: list[tuple[int, Expectation]]) -> DataFrame:
         F.coalesce(F.sum(F.when(known & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("repeated"),
         F.max(F.when(known, F.col("n"))).alias("top"),
     )
-    modal = [(i, e) for i, e in checks if e.kind == "column_most_common_value_to_be_in_set"]
+    modal = [(j, e) for j, (_, e) in enumerate(checks) if e.kind == "column_most_common_value_to_be_in_set"]
     if modal:
         # one row per check on the right: bounded by the suite, not by the data
         tops = F.broadcast(per.select(F.col("i").alias("j"), "top"))
         hits = counted.join(tops, (F.col("i") == F.col("j")) & (F.col("n") == F.col("top")))
-        wanted = reduce(
-            lambda acc, ie: acc.when(
-                F.col("i") == ie[0], F.col("v").isin([str(x) for x in ie[1].args["value_set"]])
-            ),
-            modal,
-            F.when(F.lit(False), F.lit(False)),
-        )
+        listed = [_digest(j, [F.lit(str(x))]) for j, e in modal for x in e.args["value_set"]]
+        wanted = _any([(F.col("d1") == one) & (F.col("d2") == two) for one, two in listed] or [F.lit(False)])
         strays = hits.where(known).groupBy("i").agg(
             F.count_if(~wanted).alias("strays"), F.count_if(wanted).alias("wanted")
         )
         strays = strays.withColumnRenamed("i", "j")
         per = per.join(F.broadcast(strays), F.col("i") == F.col("j"), "left").drop("j")
     rows = []
-    for i, e in checks:
+    for j, (i, e) in enumerate(checks):
         a, present = e.args, F.col("rows") - F.col("missing")
         unexpected, observed = _null(), _null()
         if e.kind in ("column_values_to_be_unique", "compound_columns_to_be_unique"):
@@ -512,7 +509,7 @@ def _repeats(df: DataFrame, checks: list[tuple[int, Expectation]]) -> DataFrame:
             unexpected = F.coalesce(F.col("strays"), F.lit(0))
             ok = F.col("wanted") > 0 if a.get("ties_okay", False) else unexpected == 0
         row = _report_row(i, e, F.col("rows"), F.col("missing"), unexpected, observed, ok)
-        rows.append(F.when(F.col("i") == i, F.array(row)))
+        rows.append(F.when(F.col("i") == j, F.array(row)))
     return per.select(F.inline(F.coalesce(*rows)))
 
 
@@ -654,8 +651,8 @@ def _report(
     parts = []
     if simple:
         parts.append(_one_pass(df, simple, other))
-    if repeat:
-        parts.append(_repeats(df, repeat))
+    for at in range(0, len(repeat), MOST_REPEAT_CHECKS):
+        parts.append(_repeats(df, repeat[at : at + MOST_REPEAT_CHECKS]))
     for i, e in numbered:
         if e.kind in QUANTILE_KINDS:
             parts.append(_quantiles(df, i, e))

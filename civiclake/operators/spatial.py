@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from civiclake.functions.geometry import boundary_edges, edges_contain, odd_crossings, srid_of
 from civiclake.plans.scratch import written
-from civiclake.plans.skew import broadcast_limit, replicated
+from civiclake.plans.skew import broadcast_limit, hot_row_limit
 
 # The hull functions travel to the workers by value, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS_PER_BOUNDARY = 256
-SALTS = 32
 HELD_CORNERS = 100_000
 
 
@@ -134,6 +133,7 @@ def join_layers(
     how: str = "left",
     broadcast_bytes: int | None = None,
     points_srid: int | None = None,
+    cell_points: int | None = None,
 ) -> DataFrame:
     """Add the boundary columns of every boundary strictly around a point, layer after layer.
 
@@ -144,8 +144,9 @@ def join_layers(
     pair shows up once. With ``how='left'`` points outside everything keep NULLs.
 
     The index is measured: up to the broadcast limit it is shipped to the points, which then are
-    not shuffled at all. Beyond it both sides are shuffled by cell and salt, so a cell with very
-    many points is spread over ``SALTS`` tasks.
+    not shuffled at all. Beyond it both sides are shuffled by cell. The points of each cell are counted, and
+    a cell of more than ``cell_points`` (default: the rows of a key that one task may hold) is cut into as many
+    parts as it has times that many points; only its boundaries are copied.
     """
     own = srid_of(points, x) if points_srid is None else points_srid
     for layer in layers:
@@ -157,14 +158,14 @@ def join_layers(
     for i, layer in enumerate(layers):
         made = [f"__b_{n}" for n in layer.names.values()]
         own = index.where(F.col("__layer") == i).select(*made, "__cx", "__cy", "__inside", "__edges")
-        joined = _join_index(out, own, x, y, sizes[i], how, weights[i] <= limit)
+        joined = _join_index(out, own, x, y, sizes[i], how, weights[i] <= limit, cell_points)
         out = joined.select(
             *out.columns, *[F.col(f"__b_{n}").alias(n) for n in layer.names.values()]
         )
     return out
 
 
-def _join_index(points, index, x, y, size, how, small):
+def _join_index(points, index, x, y, size, how, small, cell_points=None):
     # NaN orders above all numbers and would count as inside; it is no coordinate
     px, py = (F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in (x, y))
     located = points.withColumns(
@@ -180,13 +181,22 @@ def _join_index(points, index, x, y, size, how, small):
     # points without coordinates get salts of their own: no partner, but spread out too
     spread = F.xxhash64(*points.columns)
     nowhere = F.col("__pcx").isNull() | F.col("__pcy").isNull()
-    salt = F.when(nowhere, F.lit(SALTS) + F.abs(spread % 1024)).otherwise(
-        F.pmod(spread, F.lit(SALTS))
-    )
-    located = located.withColumn("__psalt", salt.cast("int")).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)) for c in ("__pcx", "__pcy")}
+    limit = hot_row_limit(points.sparkSession) if cell_points is None else cell_points
+    counted = located.where(~nowhere).groupBy("__pcx", "__pcy").agg(F.count(F.lit(1)).alias("__n"))
+    # at most one row for each ``limit`` points
+    crowded = F.broadcast(
+        counted.where(F.col("__n") > limit).select(
+            F.col("__pcx").alias("__hx"), F.col("__pcy").alias("__hy"), F.ceil(F.col("__n") / limit).cast("int").alias("__salts")
+        )
     )
-    salted_index = replicated(index, SALTS).hint("merge")
+    salts = F.coalesce("__salts", F.lit(1))
+    salt = F.when(nowhere, -1 - F.abs(spread % 1024)).otherwise(F.pmod(spread, salts))
+    here = (F.col("__pcx") == F.col("__hx")) & (F.col("__pcy") == F.col("__hy"))
+    located = located.join(crowded, here, "left").withColumn("__psalt", salt.cast("int")).drop("__hx", "__hy", "__salts")
+    located = located.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("__pcx", "__pcy")})
+    there = (F.col("__cx") == F.col("__hx")) & (F.col("__cy") == F.col("__hy"))
+    copied = index.join(crowded, there, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    salted_index = copied.drop("__hx", "__hy", "__salts").hint("merge")
     return located.join(salted_index, same & (F.col("__psalt") == F.col("__salt")) & within, how)
 
 
@@ -199,10 +209,11 @@ def join_containing(
     names: dict[str, str],
     how: str = "left",
     broadcast_bytes: int | None = None,
+    cell_points: int | None = None,
 ) -> DataFrame:
     """``join_layers`` with a single layer."""
     layer = Layer(boundaries, names, boundary)
-    return join_layers(points, [layer], x, y, how, broadcast_bytes)
+    return join_layers(points, [layer], x, y, how, broadcast_bytes, cell_points=cell_points)
 
 
 def polygon_parts(df: DataFrame, boundary: str, part: str = "part", dissolve: bool = False):

@@ -50,7 +50,7 @@ def _(t):
     SELECT id AS o_orderkey, x, y, name AS area FROM order_points LEFT JOIN area_in USING (id)""",
 )
 def _(t):
-    """The same join with both sides shuffled by salted cell, as for a very large boundary layer."""
+    """The same join with both sides shuffled by cell, crowded cells in parts, as for a very large boundary layer."""
     return S.join_containing(
         order_points(t),
         shapes.areas(t.nation),
@@ -59,6 +59,7 @@ def _(t):
         "geometry_parts",
         {"community": "area"},
         broadcast_bytes=0,
+        cell_points=20,
     )
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiclake.functions.geometry import LANDED_TYPE
-from civiclake.sources.geojson import feature_texts
+from civiclake.sources.geojson import feature_texts, open_file
 
 COMPRESSED = re.compile(r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$")
 SEPARATED_FEATURE = '{"type":"Feature",'
@@ -129,28 +131,69 @@ def concatenated(*frames: DataFrame) -> DataFrame:
     return out
 
 
+LEAF_BYTES = 1 << 20
 TABLE_ID = r"^(\S{4}-\S{4})"  # fixed value: landed files start with their table's id
 
 
 def landed_files(
     spark: SparkSession, folder: str, table_id: str = TABLE_ID, digests: bool = False
 ) -> DataFrame:
-    """path, name, table_id, modified, bytes of every landed file.
+    """path, name, table_id, modified, bytes of every landed file that is not empty.
 
     Files whose name does not match ``table_id`` are not landed data and left out. Contents are
-    read only for ``digests``, which adds a digest of each file.
+    read only for ``digests``, which adds a digest of each file (see ``with_digests``).
     """
     found = spark.read.format("binaryFile").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    extra = [F.sha2("content", 256).alias("digest")] if digests else []
-    return found.select(
+    listed = found.select(
         "path",
         name.alias("name"),
         F.regexp_extract(name, table_id, 1).alias("table_id"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("bytes"),
-        *extra,
     ).where(F.col("table_id") != "")
+    return with_digests(listed) if digests else listed
+
+
+def with_digests(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
+    """Add ``digest`` to files (path, table_id, bytes): equal for equal contents, NULL where no other
+    file of the table has the size, as such a file is not read.
+
+    A digest is that of the digests of the file's leaves of 1 MiB, so ranges of a file of any size are read by
+    several tasks (``range_bytes``, default: a scan's split), a few leaves at a time, and it does not depend on them.
+    """
+    spark = files.sparkSession
+    leaves = max(1, (range_bytes or scan_split_bytes(spark)) // LEAF_BYTES)
+    alike = repeated_sizes(files).select(F.col("table_id").alias("__table"), F.col("bytes").alias("__bytes"))
+    wanted = files.join(alike, (F.col("table_id") == F.col("__table")) & (F.col("bytes") == F.col("__bytes")), "left_semi")
+    size = F.lit(leaves * LEAF_BYTES)
+    ranges = wanted.select("path", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, size)).alias("at"))
+    # a few ranges for each task, whatever files they are of
+    dealt = ranges.repartition(F.xxhash64("path", "at"))
+
+    def read(batches):
+        for batch in batches:
+            for path, at in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_pydict({"path": [path], "at": [at], "leaves": [leaf_digests(path, at, leaves)]})
+
+    parts = dealt.mapInArrow(read, "path string, at bigint, leaves binary")
+    ordered = F.array_sort(F.collect_list(F.struct("at", "leaves")))
+    joined = F.aggregate(ordered, F.lit(b""), lambda whole, part: F.concat(whole, part["leaves"]))
+    roots = parts.groupBy(F.col("path").alias("__path")).agg(F.sha2(joined, 256).alias("digest"))
+    return files.join(roots, F.col("path") == F.col("__path"), "left").drop("__path")
+
+
+def leaf_digests(path: str, at: int, leaves: int) -> bytes:
+    """The digests of up to ``leaves`` leaves of a file from a place on, one after another."""
+    found = []
+    with open_file(path) as file:
+        for n in range(leaves):
+            leaf = file.read_at(LEAF_BYTES, at + n * LEAF_BYTES)
+            if leaf:
+                found.append(hashlib.sha256(leaf).digest())
+            if len(leaf) < LEAF_BYTES:
+                break
+    return b"".join(found)
 
 
 def repeated_sizes(files: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ class Place:
     odd: bool = False
 
 
-def _open(path: str):
+def open_file(path: str):
     """A file by the path that Spark lists; reads of ranges need no more than that."""
     local = re.fullmatch(r"file:(?://)?(/.*)", path)
     if local:
@@ -82,7 +82,7 @@ def _odd_before(file, start: int) -> bool:
 def summed_up(path: str, start: int, end: int) -> tuple[bool, list[int], list[int]]:
     """(whether a string opens or closes over the range, changes of depth, least changes on the way);
     the latter two if the range begins outside a string, and if inside."""
-    with _open(path) as file:
+    with open_file(path) as file:
         place = Place(odd=_odd_before(file, start))
         depth, least = [0, 0], [0, 0]
         for _, raw in _blocks(file, start, end):
@@ -98,7 +98,7 @@ def summed_up(path: str, start: int, end: int) -> tuple[bool, list[int], list[in
 def members(path: str, start: int, end: int, depth: int, inside: bool) -> tuple[list[int], list[int], int]:
     """(where ``features`` lists open, the least depth after each, how many documents open) in a range."""
     lists, least, documents = [], [], 0
-    with _open(path) as file:
+    with open_file(path) as file:
         place = Place(depth, inside, _odd_before(file, start))
         for at, raw in _blocks(file, start, end):
             where, step, within = _brackets(raw, place)
@@ -132,7 +132,7 @@ def _is_features(file, at: int) -> bool:
 
 def read_range(path: str, start: int, end: int, length: int, place: Place, opens: int) -> Iterator[bytes]:
     """The features that open in a range, where ``opens`` is the place of the list they stand in."""
-    with _open(path) as file:
+    with open_file(path) as file:
         place.odd = _odd_before(file, start)
         held: list[bytes] = []  # of a feature that goes on
         for at, raw in _blocks(file, start, length):

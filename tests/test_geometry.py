@@ -81,9 +81,9 @@ def test_grid_join_against_brute_force(spark):
         for n, p in polys.items()
         if brute_inside(p, x, y)
     )
-    for limit in ("100000000", "0"):
+    for limit, cell_points in (("100000000", None), ("0", None), ("0", 3), ("0", 1)):
         spark.conf.set(BROADCAST_BYTES_CONF, limit)
-        got = S.join_containing(df, b, "x", "y", "parts", {"name": "area"})
+        got = S.join_containing(df, b, "x", "y", "parts", {"name": "area"}, cell_points=cell_points)
         found = got.where("area IS NOT NULL")
         assert sorted((r.id, r.area) for r in found.collect()) == expected
         outside = {i for i, _, _ in pts} - {i for i, _ in expected}

@@ -197,3 +197,21 @@ def test_landed_files(spark, tmp_path):
     again = files.repeated_content(got, ["name"])
     assert [r.name[10:17] for r in again.collect()] == ["2024-02"]
     assert rows(files.repeated_sizes(got)) == [("abcd-1234", 4, 3)]
+
+
+def test_digests_of_ranges_are_those_of_the_whole(spark, tmp_path, monkeypatch):
+    body = bytes(range(256)) * 20_000  # five leaves
+    for name, content in {
+        "abcd-0001_a": body, "abcd-0001_b": body, "abcd-0001_c": body[:-1] + b"x", "abcd-0001_d": b"alone",
+        "abcd-0001_g": body[: 1 << 20], "abcd-0001_h": body[: 1 << 20],
+    }.items():
+        (tmp_path / name).write_bytes(content)
+    listed = files.landed_files(spark, str(tmp_path))
+    by_range = [
+        {r.name[-1]: r.digest for r in files.with_digests(listed, size).collect()} for size in (None, 1, 2 << 20, 3 << 20)
+    ]
+    assert all(d == by_range[0] for d in by_range) and len(by_range[0]) == 6
+    got = by_range[0]
+    assert got["a"] == got["b"] != got["c"] and got["d"] is None and got["g"] == got["h"] != got["a"]
+    copies = files.repeated_content(files.with_digests(listed), ["name"])
+    assert sorted(r.name[-1] for r in copies.collect()) == ["b", "h"]

@@ -123,3 +123,34 @@ def test_profile_round_trip(spark):
         for r in Q.profile(df).collect()
     ]
     assert len(suite) >= 10 and all(verdicts(df, *suite))
+
+
+def test_repeated_values_travel_as_digests(spark):
+    long = "x" * 5000
+    data = [(i % 40, f"{long}{i % 30}" if i % 7 else None, None if i % 11 else 1.5, i) for i in range(2000)]
+    df = spark.createDataFrame(data, "a int, b string, c double, d int")
+    suite = [
+        expect("column_values_to_be_unique", "b"),
+        expect("column_values_to_be_unique", "d"),
+        expect("compound_columns_to_be_unique", column_list=["a", "b", "c"]),
+        expect("column_unique_value_count_to_be_between", "a", min_value=40, max_value=40),
+        expect("column_most_common_value_to_be_in_set", "c", value_set=[1.5]),
+        expect("column_most_common_value_to_be_in_set", "b", value_set=[long + str(n) for n in range(30)], ties_okay=True),
+        expect("column_proportion_of_unique_values_to_be_between", "d", min_value=1),
+    ]
+    report = Q.validate(df, suite)
+    got = {r.ordinal: r for r in report.collect()}
+    counts = df.where("b IS NOT NULL").groupBy("b").count().where("count > 1").agg({"count": "sum"}).first()[0]
+    three = df.groupBy("a", "b", "c").count().where("count > 1").agg({"count": "sum"}).first()[0]
+    assert (got[0].unexpected_count, got[0].missing_count) == (counts, df.where("b IS NULL").count())
+    assert got[1].unexpected_count == 0 and got[2].unexpected_count == three
+    assert got[3].observed == 40 and all(got[i].success for i in (1, 3, 4, 5, 6)) and not got[0].success
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning(d1" in line]
+    assert exchange and all("hashpartitioning(d1" in line and ", d2" in line for line in exchange)
+
+
+def test_null_places_make_different_compounds(spark):
+    df = spark.createDataFrame([(None, "x"), ("x", None), (None, None), (None, None)], "a string, b string")
+    row = Q.validate(df, [expect("compound_columns_to_be_unique", column_list=["a", "b"])]).first()
+    assert (row.element_count, row.missing_count, row.unexpected_count, row.success) == (4, 2, 0, True)
