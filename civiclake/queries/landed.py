@@ -297,11 +297,16 @@ def _(t):
     return files.read_many(t.spark, [one, two], vintage_year=2022)
 
 
-@query("landed_inventory")
+@query(
+    "landed_inventory",
+    "SELECT 'part' AS table_id, sum(strlen(c_name) + 1)::BIGINT AS bytes FROM customer GROUP BY c_nationkey",
+)
 def _(t):
-    """Name, table and size of every file in the benchmark folder."""
-    found = files.landed_files(t.spark, t.folder, r"^([a-z]+)\.parquet$")
-    return found.select("name", "table_id", "bytes")
+    """Table and size of every file that the customers of each nation were landed in."""
+    path = fresh_path(t.spark, "landed")
+    by_nation = t.customer.select("c_nationkey", "c_name").repartition("c_nationkey")
+    by_nation.write.partitionBy("c_nationkey").text(path)
+    return files.landed_files(t.spark, path, r"^(part)-").select("table_id", "bytes")
 
 
 def text_files(t):

@@ -66,6 +66,7 @@ CATALOG_NESTED = {
 }
 CATALOG_LISTS = ("c_dataset", "bureauCode", "programCode", "keyword", "references")
 CATALOG_FLAGS = ("is_microdata", "is_aggregate", "is_cube", "is_available", "is_timeseries")
+# fixed values: fields of published variable documents and the columns they become
 VARIABLE_FIELDS = {
     "label": "label",
     "concept": "concept",
@@ -82,6 +83,7 @@ VARIABLE_FIELDS = {
     "suggested-weight": "suggested_weight",
 }
 VARIABLE_FLAGS = ("predicate_only", "has_geo_collection_support", "is_weight")
+# fixed values: fields of published geography documents and the columns they become
 GEOGRAPHY_FIELDS = {
     "name": "name",
     "geoLevelDisplay": "geo_level",
@@ -90,12 +92,14 @@ GEOGRAPHY_FIELDS = {
     "wildcard": "wildcard",
     "optionalWithWCFor": "optional_with_wildcard_for",
 }
+# fixed values: fields of published group documents and the columns they become
 GROUP_FIELDS = {
     "name": "group_name",
     "description": "group_description",
     "variables": "group_variables",
     "universe": "universe",
 }
+# fixed values: what stands for a document without groups or tags
 NO_GROUPS, NO_TAGS = "no_groups", "no_tags"
 
 

@@ -12,20 +12,12 @@ from civiclake.sources import files
 
 
 def test_column_names():
-    names = ["address", "EASE-MENT", "BUILDING CLASS CATEGORY", "BUILDING_CLASS_CATEGORY"]
-    assert standard_names(names, ("-",)) == [
-        "address",
-        "ease_ment",
-        "building class category",
-        "building_class_category",
-    ]
-    assert standard_names(names, (" ",)) == [
-        "address",
-        "ease-ment",
-        "building_class_category_1",
-        "building_class_category",
-    ]
+    names = ["street", "LOT-SIZE", "OWNER MAIL CODE", "OWNER_MAIL_CODE"]
+    assert standard_names(names, ("-",)) == ["street", "lot_size", "owner mail code", "owner_mail_code"]
+    assert standard_names(names, (" ",)) == ["street", "lot-size", "owner_mail_code_1", "owner_mail_code"]
     assert standard_names(["a b", "a-b"]) == ["a_b", "a_b_1"]
+    assert standard_names(["a b", "a_b", "a b_1"]) == ["a_b_2", "a_b", "a_b_1"]
+    assert standard_names(["x y", "x y", "x_y_1"]) == ["x_y", "x_y_2", "x_y_1"]
 
 
 @pytest.mark.parametrize("layout", ["lines", "separated", "document"])
