@@ -1,11 +1,16 @@
 """Chat formatting by quotation linking, in DataFrame operations only.
 
-Lines are parsed into quote level and content. A quoted line is normalised and hashed, and linked
-with the latest earlier message of its conversation that has the line as its own. The message
-that most lines of the outermost quote come from is what a message replies to; without a linked
-quote it replies to the message before it. Quotes are then cut out of the text. As a reply is
-always later than its original, a conversation in order of turns is in reply order; the rows carry
-the text formatted with its role, so that a reader concatenates them.
+Lines are parsed into quote level and content; consecutive lines of one level are a passage. Its lines, and
+where it has several also its sentences, whatever their line breaks, are normalised and hashed, and linked with
+the latest earlier message of the conversation that has them in its own words. Every level is linked. A message
+replies to the one that most of its outermost linked quotes come from; without a linked quote to
+the message before it. Quotes are then cut out of the text.
+
+The replies of a conversation form trees. The first reply to a message continues its branch, any other one opens
+a new branch, so messages in order of (branch, turn) are in reply order and no branch is mixed with
+another. Only messages that reply to another one than that before them can open a branch: what is
+between two of them is one segment, and only segments are followed up to their beginnings, by
+doubling, in rounds that are written.
 """
 
 from __future__ import annotations
@@ -14,10 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from civiclake.plans.scratch import written
+
 #: Turns of one conversation that a window orders together; longer conversations are cut into slices.
 SLICE_TURNS = 4096
 
 QUOTE_MARK = r"^((?:[ \t]*>)+)"
+SENTENCE_ENDS = "[.!?]+"
+
+#: Marks of a passage's beginning, of the end of its level and of its line breaks, while a message is one text.
+PASSAGE, CONTENT, BREAK = "\x01", "\x02", "\x03"
 
 
 def quote_level(line: Column) -> Column:
@@ -31,6 +42,31 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", " "))
 
 
+def units(text: Column | str) -> Column:
+    """array<struct<level, unit>>: normalised lines, and sentences of passages of several lines; no empty ones."""
+    lines = F.split(F.translate(text, PASSAGE + CONTENT + BREAK, "   "), "\n")
+    levels = F.transform(lines, quote_level)
+
+    def marked(line: Column, i: Column) -> Column:
+        level = F.get(levels, i)
+        same = (i > 0) & (level == F.get(levels, i - 1))
+        begin = F.when(same, F.lit(BREAK)).otherwise(F.concat(F.lit(PASSAGE), level.cast("string"), F.lit(CONTENT)))
+        return F.concat(begin, F.regexp_replace(line, QUOTE_MARK, ""))
+
+    passages = F.split(F.array_join(F.transform(lines, marked), ""), PASSAGE)
+
+    def parts(passage: Column) -> Column:
+        level = F.substring_index(passage, CONTENT, 1).cast("bigint")
+        body = F.substring_index(passage, CONTENT, -1)
+        sentences = F.split(F.translate(body, BREAK, " "), SENTENCE_ENDS)
+        whole = F.when(F.contains(body, F.lit(BREAK)), sentences).otherwise(F.array().cast("array<string>"))
+        each = F.concat(F.split(body, BREAK), whole)
+        return F.transform(each, lambda u: F.struct(level.alias("level"), normalised(u).alias("unit")))
+
+    found = F.flatten(F.transform(F.filter(passages, lambda p: p != ""), parts))
+    return F.filter(found, lambda u: u["unit"] != "")
+
+
 def latest_before(rows: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
     """``rows`` with the last non-null ``value`` of rows of the same keys and a smaller ``order``.
 
@@ -50,6 +86,66 @@ def latest_before(rows: DataFrame, keys: list[str], order: str, value: str, name
     return joined.select("l.*", F.coalesce("l.__own", "r.__carried").alias(name)).drop("__slice", "__own")
 
 
+def turns_before(turns: DataFrame) -> DataFrame:
+    """Distinct (c, t) with ``previous``, the turn before, and ``first``, the first of the conversation.
+
+    Cut into slices like ``latest_before``.
+    """
+    sliced = turns.withColumn("__slice", F.floor(F.col("t") / SLICE_TURNS))
+    inside = W.partitionBy("c", "__slice").orderBy("t")
+    ends = sliced.groupBy("c", "__slice").agg(F.max("t").alias("__last"), F.min("t").alias("__least"))
+    upto = W.partitionBy("c").orderBy("__slice")
+    carried = ends.select(
+        "c", "__slice", F.lag("__last").over(upto).alias("__carried"), F.min("__least").over(upto).alias("first")
+    )
+    found = sliced.withColumn("__own", F.lag("t").over(inside))
+    joined = found.join(carried, ["c", "__slice"])
+    return joined.select("c", "t", F.coalesce("__own", "__carried").alias("previous"), "first")
+
+
+def branches(turns: DataFrame, replies: DataFrame) -> DataFrame | None:
+    """(c, t, thread, branch) of the conversations in which a message replies to another one than that before it.
+
+    ``thread`` is the turn that a tree of replies begins with, ``branch`` the one that a branch begins with.
+    None if there is no such conversation. ``turns`` has previous and first, ``replies`` quoted_turn.
+    """
+    known = turns.join(replies.select("c", "t", "quoted_turn"), ["c", "t"], "left")
+    jump = F.col("quoted_turn") != F.col("previous")
+    jumps = written(known.where(jump).select("c", "t", F.col("quoted_turn").alias("parent")), "jumps")
+    if jumps.isEmpty():
+        return None
+    concerned = turns.join(jumps.select("c").distinct(), "c", "left_semi")
+    marked = concerned.join(jumps.select("c", "t", F.lit(True).alias("jumps")), ["c", "t"], "left")
+    opens = marked.withColumn("opens", F.when(F.col("jumps") | F.col("previous").isNull(), F.col("t")))
+    placed = latest_before(opens, ["c"], "t", "opens", "before")
+    placed = written(placed.select("c", "t", "previous", "jumps", F.coalesce("opens", "before").alias("segment")), "segments")
+    # a message that the next one answers has its first reply already; else the earliest jump to it is that
+    answered = placed.where("jumps IS NULL AND previous IS NOT NULL").select("c", F.col("previous").alias("parent"), F.lit(True).alias("answered"))
+    earliest = jumps.groupBy("c", "parent").agg(F.min("t").alias("earliest"))
+    stands = placed.select("c", F.col("t").alias("parent"), F.col("segment").alias("above"))
+    links = jumps.join(earliest, ["c", "parent"]).join(stands, ["c", "parent"]).join(answered, ["c", "parent"], "left")
+    goes_on = F.col("answered").isNull() & (F.col("t") == F.col("earliest"))
+    # per segment: a segment above it in its tree, and in its branch
+    nodes = links.select("c", F.col("t").alias("segment"), F.col("above").alias("thread"), F.when(goes_on, F.col("above")).otherwise(F.col("t")).alias("branch"))
+    nodes = written(nodes, "branches")
+    while True:
+        up_thread = nodes.select("c", F.col("segment").alias("thread"), F.col("thread").alias("__thread"))
+        up_branch = nodes.select("c", F.col("segment").alias("branch"), F.col("branch").alias("__branch"))
+        moved = nodes.join(up_thread, ["c", "thread"], "left").join(up_branch, ["c", "branch"], "left")
+        changed = (F.col("__thread") != F.col("thread")) | (F.col("__branch") != F.col("branch"))
+        moved = moved.select(
+            "c", "segment", F.coalesce("__thread", "thread").alias("thread"), F.coalesce("__branch", "branch").alias("branch"),
+            F.coalesce(changed, F.lit(False)).alias("changed"),
+        )
+        moved = written(moved, "branches")
+        nodes = moved.drop("changed")
+        if moved.where("changed").isEmpty():
+            break
+    return placed.join(nodes, ["c", "segment"], "left").select(
+        "c", "t", F.coalesce("thread", "segment").alias("thread"), F.coalesce("branch", "segment").alias("branch")
+    )
+
+
 def format_chats(
     messages: DataFrame,
     conversation: str = "conv_id",
@@ -57,13 +153,16 @@ def format_chats(
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """Per message: conversation, turn, role, ``reply_to`` (a turn), quote counts, texts.
+    """Per message: conversation, turn, role, ``reply_to`` (a turn), ``thread``, ``branch``, quote counts, texts.
 
-    ``n_quoted`` lines are quoted at any level, ``quote_depth`` is the deepest level, ``n_linked``
-    outermost quoted lines were found in an earlier message. ``own_text`` is the text without
+    In order of (conversation, branch, turn) the rows are conversations in reply order: each
+    message stands behind the one it replies to, with no other branch between. ``thread`` is the turn that a
+    tree of replies begins with, ``branch`` the turn that its branch begins with.
+    ``n_quoted`` lines are quoted at any level, ``quote_depth`` is the deepest level, ``n_linked`` quoted
+    lines and sentences, of all levels, were found in an earlier message. ``own_text`` is the text without
     quoted lines, ``formatted`` puts the role before it. Null texts count as empty, a null role as
     user. Messages of one turn do not reply to each other; a null turn or conversation replies to
-    nothing and is replied to by nothing. Repeated rows pass through, each linked alike. Blank
+    nothing, is replied to by nothing and has no thread. Repeated rows pass through, each linked alike. Blank
     lines are not linked. An empty table gives an empty table; other columns are not read.
     """
     m = messages.select(
@@ -80,33 +179,38 @@ def format_chats(
         F.array_max(levels).cast("bigint").alias("quote_depth"),
     )
 
-    def exploded(keep) -> DataFrame:
-        kept = F.filter(lines, lambda line: (quote_level(line) == keep) & (normalised(line) != ""))
-        return (
-            m.where("c IS NOT NULL AND t IS NOT NULL")
-            .select("c", "t", F.explode(kept).alias("line"))
-            .select("c", "t", F.xxhash64(normalised(F.col("line"))).alias("h"))
-        )
-
-    # messages of one turn share their quotes: counts per (conversation, turn, line) come first
-    quotes = exploded(1).groupBy("c", "t", "h").agg(F.count(F.lit(1)).alias("n"))
-    originals = exploded(0).join(quotes.select("c", "h").distinct(), ["c", "h"], "left_semi").distinct()
-    sides = originals.select("c", "t", "h", F.col("t").alias("origin"), F.lit(None).cast("bigint").alias("n"))
-    sides = sides.unionByName(quotes.withColumn("origin", F.lit(None).cast("bigint")))
+    each = m.where("c IS NOT NULL AND t IS NOT NULL").select("c", "t", F.explode(units("x")).alias("u"))
+    each = each.select("c", "t", "u.level", F.xxhash64("u.unit").alias("h"))
+    # messages of one turn share their quotes: counts per (conversation, turn, level, unit) come first
+    quotes = each.where("level > 0").groupBy("c", "t", "level", "h").agg(F.count(F.lit(1)).alias("n"))
+    said = each.where("level = 0").select("c", "t", "h")
+    originals = said.join(quotes.select("c", "h").distinct(), ["c", "h"], "left_semi").distinct()
+    nothing = F.lit(None).cast("bigint")
+    sides = originals.select("c", "t", "h", F.col("t").alias("origin"), nothing.alias("level"), nothing.alias("n"))
+    sides = sides.unionByName(quotes.withColumn("origin", nothing))
     linked = latest_before(sides, ["c", "h"], "t", "origin", "source").where("n IS NOT NULL AND source IS NOT NULL")
-    per_source = linked.groupBy("c", "t", "source").agg(F.sum("n").alias("n"))
-    replies = per_source.groupBy("c", "t").agg(
-        F.max_by("source", F.struct("n", "source")).alias("quoted_turn"), F.sum("n").alias("n_linked")
-    )
-    turns = m.where("c IS NOT NULL AND t IS NOT NULL").select("c", "t").distinct().withColumn("own", F.col("t"))
-    previous = latest_before(turns, ["c"], "t", "own", "previous").select("c", "t", "previous")
-    known = previous.join(replies, ["c", "t"], "left")
+    per_source = linked.groupBy("c", "t", "level", "source").agg(F.sum("n").alias("n"))
+    # the outermost linked level decides
+    order = F.struct((-F.col("level")).alias("level"), "n", "source")
+    replies = per_source.groupBy("c", "t").agg(F.max_by("source", order).alias("quoted_turn"), F.sum("n").alias("n_linked"))
+    replies = written(replies, "replies")
+    turns = turns_before(m.where("c IS NOT NULL AND t IS NOT NULL").select("c", "t").distinct())
+    known = turns.join(replies, ["c", "t"], "left")
+    branched = branches(turns, replies)
+    if branched is None:
+        known = known.withColumns({"thread": F.col("first"), "branch": F.col("first")})
+    else:
+        known = known.join(branched, ["c", "t"], "left").withColumns(
+            {n: F.coalesce(n, F.col("first")) for n in ("thread", "branch")}
+        )
     speaker = F.coalesce("r", F.lit("user"))
     return parsed.join(known, ["c", "t"], "left").select(
         F.col("c").alias(conversation),
         F.col("t").alias(turn),
         F.col("r").alias(role),
         F.coalesce("quoted_turn", "previous").alias("reply_to"),
+        "thread",
+        "branch",
         "n_quoted",
         "quote_depth",
         F.coalesce("n_linked", F.lit(0).cast("bigint")).alias("n_linked"),

@@ -114,24 +114,32 @@ FROM j LEFT JOIN r{ROUNDS} r ON j.host = r.host
 URL_FILTER = _url_filter()
 
 CHAT = r"""
-WITH m AS (SELECT row_number() OVER () AS rid, conv_id AS c, CAST(turn AS BIGINT) AS t, role AS r, coalesce(text, '') AS x FROM conversations),
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id AS c, CAST(turn AS BIGINT) AS t, role AS r, coalesce(text, '') AS x FROM conversations),
 s AS (SELECT rid, c, t, string_split(x, chr(10)) AS ls FROM m),
 ln AS (SELECT rid, c, t, generate_subscripts(ls, 1) AS p, unnest(ls) AS line FROM s),
 lv AS (SELECT *, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)+)', 1), '[ \t]', '', 'g')) AS lev,
-  trim(regexp_replace(lower(regexp_replace(line, '^((?:[ \t]*>)+)', '')), '[^\p{L}\p{N}]+', ' ', 'g')) AS nl FROM ln),
+  regexp_replace(line, '^((?:[ \t]*>)+)', '') AS bare FROM ln),
 per AS (SELECT rid, count(*) FILTER (lev > 0) AS n_quoted, max(lev) AS quote_depth,
   trim(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (lev = 0), '')) AS own_text FROM lv GROUP BY rid),
-o AS (SELECT DISTINCT c, t, nl FROM lv WHERE lev = 0 AND nl <> '' AND t IS NOT NULL),
-q AS (SELECT c, t, nl, count(*) AS n FROM lv WHERE lev = 1 AND nl <> '' AND t IS NOT NULL GROUP BY ALL),
-lk AS (SELECT q.c, q.t, q.nl, q.n, max(o.t) AS source FROM q JOIN o ON o.c = q.c AND o.nl = q.nl AND o.t < q.t GROUP BY ALL),
-ps AS (SELECT c, t, source, sum(n) AS n FROM lk GROUP BY ALL),
+runs AS (SELECT *, p - row_number() OVER (PARTITION BY rid, lev ORDER BY p) AS run FROM lv),
+wide AS (SELECT rid, c, t, lev, string_agg(bare, ' ' ORDER BY p) AS body FROM runs GROUP BY rid, c, t, lev, run HAVING count(*) > 1),
+raw AS (SELECT c, t, lev, bare AS u FROM lv UNION ALL SELECT c, t, lev, unnest(string_split_regex(body, '[.!?]+')) FROM wide),
+un AS (SELECT c, t, lev, trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g')) AS nl FROM raw WHERE c IS NOT NULL AND t IS NOT NULL),
+o AS (SELECT DISTINCT c, t, nl FROM un WHERE lev = 0 AND nl <> ''),
+q AS (SELECT c, t, lev, nl, count(*) AS n FROM un WHERE lev > 0 AND nl <> '' GROUP BY ALL),
+lk AS (SELECT q.c, q.t, q.lev, q.nl, q.n, max(o.t) AS source FROM q JOIN o ON o.c = q.c AND o.nl = q.nl AND o.t < q.t GROUP BY ALL),
+ps AS (SELECT c, t, lev, source, sum(n) AS n FROM lk GROUP BY ALL),
 rp AS (SELECT c, t, source AS quoted_turn, sum(n) OVER (PARTITION BY c, t) AS n_linked FROM ps
-  QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY n DESC, source DESC) = 1),
-pv AS (SELECT c, t, lag(t) OVER (PARTITION BY c ORDER BY t) AS previous FROM (SELECT DISTINCT c, t FROM m WHERE c IS NOT NULL AND t IS NOT NULL))
-SELECT m.c AS conv_id, m.t AS turn, m.r AS role, coalesce(quoted_turn, previous) AS reply_to, CAST(n_quoted AS BIGINT) AS n_quoted,
-  CAST(quote_depth AS BIGINT) AS quote_depth, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, own_text,
+  QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY lev, n DESC, source DESC) = 1),
+pv AS (SELECT c, t, lag(t) OVER (PARTITION BY c ORDER BY t) AS previous FROM (SELECT DISTINCT c, t FROM m WHERE c IS NOT NULL AND t IS NOT NULL)),
+rt AS (SELECT pv.c, pv.t, coalesce(quoted_turn, previous) AS reply_to, coalesce(n_linked, 0) AS n_linked FROM pv LEFT JOIN rp ON rp.c = pv.c AND rp.t = pv.t),
+fc AS (SELECT *, row_number() OVER (PARTITION BY c, reply_to ORDER BY t) = 1 AS goes_on FROM rt),
+tree AS (SELECT c, t, t AS thread, t AS branch FROM fc WHERE reply_to IS NULL
+  UNION ALL SELECT fc.c, fc.t, tree.thread, CASE WHEN goes_on THEN tree.branch ELSE fc.t END FROM fc JOIN tree ON fc.c = tree.c AND fc.reply_to = tree.t)
+SELECT m.c AS conv_id, m.t AS turn, m.r AS role, rt.reply_to, tree.thread, tree.branch, CAST(n_quoted AS BIGINT) AS n_quoted,
+  CAST(quote_depth AS BIGINT) AS quote_depth, CAST(coalesce(rt.n_linked, 0) AS BIGINT) AS n_linked, own_text,
   '<|' || coalesce(m.r, 'user') || '|>' || chr(10) || own_text || chr(10) AS formatted
-FROM m JOIN per USING (rid) LEFT JOIN pv ON pv.c = m.c AND pv.t = m.t LEFT JOIN rp ON rp.c = m.c AND rp.t = m.t
+FROM m JOIN per USING (rid) LEFT JOIN rt ON rt.c = m.c AND rt.t = m.t LEFT JOIN tree ON tree.c = m.c AND tree.t = m.t
 """
 
 
