@@ -46,14 +46,16 @@ def units(text: Column | str) -> Column:
     """array<struct<level, unit>>: normalised lines, and sentences of passages of several lines; no empty ones."""
     lines = F.split(F.translate(text, PASSAGE + CONTENT + BREAK, "   "), "\n")
     levels = F.transform(lines, quote_level)
-
-    def marked(line: Column, i: Column) -> Column:
-        level = F.get(levels, i)
-        same = (i > 0) & (level == F.get(levels, i - 1))
-        begin = F.when(same, F.lit(BREAK)).otherwise(F.concat(F.lit(PASSAGE), level.cast("string"), F.lit(CONTENT)))
-        return F.concat(begin, F.regexp_replace(line, QUOTE_MARK, ""))
-
-    passages = F.split(F.array_join(F.transform(lines, marked), ""), PASSAGE)
+    before = F.concat(F.array(F.lit(-1)), F.slice(levels, 1, F.greatest(F.size(levels) - 1, F.lit(0))))
+    begins = F.zip_with(
+        levels,
+        before,
+        lambda level, last: F.when(level == last, F.lit(BREAK)).otherwise(
+            F.concat(F.lit(PASSAGE), level.cast("string"), F.lit(CONTENT))
+        ),
+    )
+    marked = F.zip_with(begins, lines, lambda begin, line: F.concat(begin, F.regexp_replace(line, QUOTE_MARK, "")))
+    passages = F.split(F.array_join(marked, ""), PASSAGE)
 
     def parts(passage: Column) -> Column:
         level = F.substring_index(passage, CONTENT, 1).cast("bigint")
@@ -179,11 +181,18 @@ def format_chats(
         F.array_max(levels).cast("bigint").alias("quote_depth"),
     )
 
-    each = m.where("c IS NOT NULL AND t IS NOT NULL").select("c", "t", F.explode(units("x")).alias("u"))
-    each = each.select("c", "t", "u.level", F.xxhash64("u.unit").alias("h"))
+    placed = m.where("c IS NOT NULL AND t IS NOT NULL")
+
+    def exploded(rows: DataFrame) -> DataFrame:
+        each = rows.select("c", "t", F.explode(units("x")).alias("u"))
+        return each.select("c", "t", "u.level", F.xxhash64("u.unit").alias("h"))
+
     # messages of one turn share their quotes: counts per (conversation, turn, level, unit) come first
-    quotes = each.where("level > 0").groupBy("c", "t", "level", "h").agg(F.count(F.lit(1)).alias("n"))
-    said = each.where("level = 0").select("c", "t", "h")
+    quotes = exploded(placed.where(F.contains("x", F.lit(">")))).where("level > 0")
+    quotes = written(quotes.groupBy("c", "t", "level", "h").agg(F.count(F.lit(1)).alias("n")), "quotes")
+    # only conversations that quote anything are searched for originals
+    heard = placed.join(quotes.select("c").distinct(), "c", "left_semi")
+    said = exploded(heard).where("level = 0").select("c", "t", "h")
     originals = said.join(quotes.select("c", "h").distinct(), ["c", "h"], "left_semi").distinct()
     nothing = F.lit(None).cast("bigint")
     sides = originals.select("c", "t", "h", F.col("t").alias("origin"), nothing.alias("level"), nothing.alias("n"))
@@ -194,7 +203,7 @@ def format_chats(
     order = F.struct((-F.col("level")).alias("level"), "n", "source")
     replies = per_source.groupBy("c", "t").agg(F.max_by("source", order).alias("quoted_turn"), F.sum("n").alias("n_linked"))
     replies = written(replies, "replies")
-    turns = turns_before(m.where("c IS NOT NULL AND t IS NOT NULL").select("c", "t").distinct())
+    turns = turns_before(placed.select("c", "t").distinct())
     known = turns.join(replies, ["c", "t"], "left")
     branched = branches(turns, replies)
     if branched is None:
