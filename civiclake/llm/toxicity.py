@@ -31,9 +31,6 @@ from civiclake.llm.common import alnum_words, map_batches, map_rows
 #: Labelled training documents that are used at most, by the order of a hash of their id.
 TRAINING_ROWS = 50_000
 
-#: Tokens a model keeps at most, by z-score; with the training rows, the bound of what is collected.
-MODEL_TOKENS = 20_000
-
 #: Prefixes of a word that count as tokens, in bytes.
 PREFIXES = (4, 5, 6, 8)
 
@@ -249,8 +246,8 @@ def word_counts(documents: DataFrame, known: dict[int, int]) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """A model from all documents' word counts and at most ``TRAINING_ROWS`` labelled training rows.
 
-    What reaches the driver is bounded: the training labels, ``MODEL_TOKENS`` tokens, and a few
-    numbers per training document.
+    What reaches the driver is bounded by the training rows: their labels, the tokens that ``LEAST_COUNT`` of them
+    have, and one number for each.
     """
     train = {r.doc_id: r.toxic for r in training_labels(labels).collect()}
     if len(set(train.values())) < 2:
@@ -270,45 +267,61 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     scored = counted.select("token", "n_toxic", "n_clean", odds.alias("score"), (odds / F.sqrt(1 / toxic + 1 / clean)).alias("z"))
     chosen = (
         scored.where((F.abs("z") >= LEAST_Z) & (F.abs("score") >= LEAST_ODDS) & (F.greatest("n_toxic", "n_clean") >= LEAST_COUNT))
-        .orderBy(F.desc(F.abs("z")), "token")
-        .limit(MODEL_TOKENS)
         .collect()
     )
     model = Model(scores={bytes(r.token): r.score for r in chosen})
     if not chosen:
         return model
-    _calibrate(model, documents, train)
+    _calibrate(model, documents, train, labels.schema["doc_id"].dataType.simpleString())
     return model
 
 
-def _calibrate(model: Model, documents: DataFrame, train: dict[int, int]) -> None:
+def _calibrate(model: Model, documents: DataFrame, train: dict[int, int], id_type: str) -> None:
+    """Rate, scale and logistic curve of the model, from all segments and hits of the whole training texts.
+
+    Of rows that repeat an id the one with the fewest words counts, then the one of the least segments. Each text is
+    searched once and what is found is written; Spark sums it up.
+    """
+    from civiclake.plans.scratch import written
+
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast((model, train))
+    shared = spark.sparkContext.broadcast(model)
+    labels = spark.createDataFrame(list(train.items()), f"doc_id {id_type}, toxic int")
+    # at most TRAINING_ROWS rows on the right
+    labelled = documents.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("doc_id", "text", "toxic")
+    id_type = labelled.schema["doc_id"].dataType.simpleString()
 
     def run(rows):
-        own, label_of = shared.value
-        for key, text in rows:
-            if key in label_of:
-                words = alnum_words(text)
-                found = sorted((s for _, _, s in own.segments(words)), reverse=True)[:64]
-                yield label_of[key], len(words), found, [s for _, s in own.counted_hits(words)][:256]
-
-    schema = "toxic int, words bigint, found array<double>, scores array<double>"
-    rows = map_rows(documents.select("doc_id", "text"), run, schema).limit(4 * len(train)).collect()
-    clean = [r for r in rows if not r.toxic and r.words]
-    if not clean or len(clean) == len(rows):
+        own = shared.value
+        for key, text, toxic in rows:
+            words = alnum_words(text)
+            found = sorted((s for _, _, s in own.segments(words)), reverse=True)
+            yield key, toxic, len(words), found, [round(s, 3) for _, s in own.counted_hits(words)]
+
+    schema = f"doc_id {id_type}, toxic int, words bigint, found array<double>, hits array<double>"
+    each = map_rows(labelled, run, schema).groupBy("doc_id").agg(F.min(F.struct("words", "found", "hits", "toxic")).alias("row"))
+    rows = written(each.select("row.*"), "training-texts")
+    clean = rows.where("toxic = 0 AND words > 0")
+    longest = F.coalesce(F.array_max("found"), F.lit(0.0))
+    texts, words = clean.agg(F.count(F.lit(1)), F.sum("words")).first()
+    if not texts or rows.where("toxic = 1 OR words = 0").isEmpty():
         return
-    histogram = Counter(round(s, 3) for r in clean for s in r.scores)
-    words = sum(r.words for r in clean)
+    # scores of tokens, to three digits
+    histogram = dict(clean.select(F.explode("hits").alias("hit")).groupBy("hit").count().collect())
     values = np.array([OTHER_TOKEN, *histogram])
     shares = np.array([words - sum(histogram.values()), *histogram.values()], float)
     # half an occurrence of the best token, so that a positive score is always possible in clean text
     values, shares = np.append(values, max(model.scores.values())), np.append(shares, 0.5)
     model.rate = _rate(values, shares / shares.sum())
-    exposure = sum(r.words * math.exp(-model.rate * max(r.found, default=0.0)) for r in clean)
-    model.k = len(clean) / exposure
-    statistics = [model.statistic([(0, 0, s) for s in r.found], r.words) for r in rows]
-    model.slope, model.offset = _logistic(np.array(statistics), np.array([r.toxic for r in rows], float))
+    model.k = texts / clean.agg(F.sum(F.col("words") * F.exp(-model.rate * longest))).first()[0]
+    scaled = spark.sparkContext.broadcast(model)
+
+    def judged(rows):
+        for toxic, words, found in rows:
+            yield toxic, scaled.value.statistic([(0, 0, s) for s in found], words)
+
+    points = map_rows(rows.select("toxic", "words", "found"), judged, "toxic int, statistic double").collect()
+    model.slope, model.offset = _logistic(np.array([p.statistic for p in points]), np.array([p.toxic for p in points], float))
 
 
 def _rate(values: np.ndarray, shares: np.ndarray) -> float:

@@ -103,3 +103,33 @@ def test_dense_passage_after_isolated_mentions(spark):
     spans = {n: [(s["first"], s["past"]) for s in r.spans] for n, r in got.items()}
     assert spans == {0: [], 1: [(at, at + 6)], 2: [(at, at + 6)], 3: [(0, 6)], 4: [], 5: [(0, 10)]}
     assert sorted(r.doc_id for r in T.keep_clean(df, model).collect()) == [0, 4]
+
+
+def test_calibration_sees_whole_texts_and_each_id_once(spark):
+    import numpy as np
+
+    rng = random.Random(6)
+    plain = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(5000)]
+    text = lambda n, bad: " ".join(rng.choice(["vileword", "slurword"]) if rng.random() < bad else rng.choice(plain) for _ in range(n))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = [(i, int(n % 5 == 0)) for n, i in enumerate(ids)]
+    docs = [(i, text(80, 0.5 if toxic else 0.0)) for i, toxic in labels]
+    late = next(i for i, toxic in labels if not toxic)
+    # a long clean text that names the words again and again, far from its beginning and each other
+    long = " ".join(["alpha bravo charlie " * 3000] + ["vileword " + "delta echo " * 60] * 400)
+    docs = [(i, long if i == late else t) for i, t in docs] + [docs[3]] * 50 + [(docs[4][0], docs[4][1] + " more words")]
+    model = T.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    once = {}
+    for key, body in docs:
+        words = T.alnum_words(body)
+        once[key] = min(once.get(key, (1 << 60, None)), (len(words), words), key=lambda w: w[0])
+    clean = [once[i][1] for i, toxic in labels if not toxic]
+    hits = [round(s, 3) for words in clean for _, s in model.counted_hits(words)]
+    assert len(hits) >= 400
+    total = sum(map(len, clean))
+    values = np.array([T.OTHER_TOKEN, *hits, max(model.scores.values())])
+    shares = np.array([total - len(hits), *[1.0] * len(hits), 0.5])
+    assert math.isclose(model.rate, T._rate(values, shares / shares.sum()), rel_tol=1e-6)
+    best = lambda words: max((s for _, _, s in model.segments(words)), default=0.0)
+    exposure = sum(len(words) * math.exp(-model.rate * best(words)) for words in clean)
+    assert math.isclose(model.k, len(clean) / exposure, rel_tol=1e-9)
