@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civiclake.plans.scratch import fresh_path
+from civiclake.plans.scratch import fresh_path, written
 from civiclake.queries.base import dealt, query
 from civiclake.sources import documents as D
 from civiclake.sources import files
@@ -279,9 +279,10 @@ def _(t):
 )
 def _(t):
     """Pick files by the state codes in their names; the naming decides on the pattern."""
-    files_only = D.listing_rows(listing_pages(t), "html", "url").where("is_file")
+    files_only = D.listing_rows(listing_pages(t), "html", "url").where("is_file").select("o_orderkey", "name")
+    files_only = written(files_only, "listing")  # pages are read for their rows once, not again for the pattern
     pattern = D.geography_pattern(files_only, ["17", "18", "19"])
-    return D.chosen_files(files_only, pattern).select("o_orderkey", "name")
+    return D.chosen_files(files_only, pattern)
 
 
 @query(

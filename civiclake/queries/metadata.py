@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civiclake.operators import freshness as R
 from civiclake.operators import metadata as M
+from civiclake.plans.scratch import written
 from civiclake.queries.base import query
 from civiclake.queries.landed import LISTING_SQL, listing_pages
 from civiclake.sources.documents import listing_rows
@@ -85,6 +86,7 @@ def _(t):
     rows = listing_rows(listing_pages(t), "html", "url").select(
         "metadata_url", F.col("last_modified").cast("timestamp_ntz").alias("last_modified"), "size"
     )
+    rows = written(rows, "listing")  # pages are read for their rows once, not again for the cache
     lag = F.make_dt_interval(days=F.when(F.col("size") == "-", 0).otherwise(3))
     known = rows.where("last_modified < timestamp_ntz'2000-01-01'")
     cache = known.withColumn("last_modified", F.col("last_modified") - lag)

@@ -243,22 +243,30 @@ def listing_rows(pages: DataFrame, html: str, url: str) -> DataFrame:
     # from the first table on, up to its end
     table = F.regexp_extract(F.col(html), rf"(?i)<table\b{_up_to('/table')}", 0)
     trs = F.split(table, r"(?i)<tr\b[^>]*>")
-    rows = pages.where(listed_on).select(
-        *kept, F.col(url).alias("__url"), F.explode(trs).alias("__tr")
+    # no filter of its own, which would have the page worked out once for the filter and once for its rows
+    rows = pages.select(
+        *kept, F.col(url).alias("__url"), F.explode(F.when(listed_on, trs)).alias("__tr")
     )
     cells = F.regexp_extract_all("__tr", F.lit(rf"(?i)<td\b[^>]*>({_up_to('/td')})"), 1)
-    row = F.transform(F.slice(cells, 2, 4), _plain_text)
     # no or one array per table row, so header rows vanish without a second look at the text
-    some = F.when(F.lower("__tr").contains("<td"), F.array(row))
-    rows = rows.select(*kept, "__url", F.explode(some).alias("__c"))
-    name = F.get("__c", 0)
+    some = F.when(F.lower("__tr").contains("<td"), F.array(cells))
+    rows = rows.select(*kept, "__url", F.explode(some).alias("__cells"))
+    # the texts as one struct, worked out once; a lambda over the cells would not be compiled
+    texts = F.struct(
+        *[
+            _plain_text(F.get("__cells", i)).alias(n)
+            for i, n in enumerate(("name", "last_modified", "size", "description"), 1)
+        ]
+    )
+    rows = rows.select(*kept, "__url", F.explode(F.array(texts)).alias("__c"))
+    name = F.col("__c.name")
     base = F.rtrim(F.trim("__url"), F.lit("/"))
     listed = rows.select(
         *kept,
         name.alias("name"),
-        F.try_to_timestamp(F.get("__c", 1), F.lit("yyyy-MM-dd HH:mm")).alias("last_modified"),
-        F.get("__c", 2).alias("size"),
-        F.get("__c", 3).alias("description"),
+        F.try_to_timestamp("__c.last_modified", F.lit("yyyy-MM-dd HH:mm")).alias("last_modified"),
+        F.col("__c.size").alias("size"),
+        F.col("__c.description").alias("description"),
         name.endswith("/").alias("is_dir"),
         F.when(name.endswith("/"), F.substring(name, F.lit(1), F.length(name) - 1))
         .otherwise(name)

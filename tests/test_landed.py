@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from civiclake.operators import freshness as R
 from civiclake.operators import metadata as M
 from civiclake.plans.names import standard_names
+from civiclake.queries import QUERIES
 from civiclake.sources import documents as D
 from civiclake.sources import files
 
@@ -119,6 +120,45 @@ def test_listing_page(spark):
     ]
 
 
+def test_a_page_is_worked_out_once(spark):
+    """The check for a table is no filter, which would repeat what makes the page; texts need no lambda."""
+    page = "'<table><tr><td></td><td>' || name || '</td><td>2021-05-01 10:00</td><td>1M</td></table>'"
+    df = spark.createDataFrame([("a",), (None,)], "name string").selectExpr(f"upper({page}) AS html", "'u' AS url")
+    got = D.listing_rows(df.unionByName(df.selectExpr("'no list' AS html", "url")), "html", "url")
+    assert rows(got, "name", "size", "description", "metadata_url") == [("A", "1M", None, "u/A")]
+    plan = D.listing_rows(df, "html", "url")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") <= 1 and "lambda" not in plan
+
+
+@pytest.fixture
+def few_orders(spark, tmp_path):
+    data = [(1, 17, "1999-03-04"), (1, 17, "1999-01-01"), (2, 7, "2000-02-01"), (3, 7, None)]
+    df = spark.createDataFrame(data, "o_orderkey long, o_custkey long, day string")
+    dated = df.selectExpr("o_orderkey", "o_custkey", "cast(day AS timestamp_ntz) AS o_orderdate")
+    dated.write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["changed_listing_entries", "files_of_a_geography"])
+def test_pages_are_read_for_their_rows_once(spark, few_orders, name):
+    got = QUERIES[name](spark, few_orders)
+    # what is left to do starts from the stored rows
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    if name == "files_of_a_geography":
+        assert rows(got) == [(1, "tl_2022_17_tract.zip")] * 2
+        return
+    one, two = "https://files.example/1/", "https://files.example/2/"
+    flags = got.selectExpr("metadata_url", "date_format(last_modified, 'yyyy-MM-dd')", "updated_metadata_available")
+    assert rows(flags) == [
+        (f"{one}TIGER1999", "1999-01-01", False),
+        (f"{one}TIGER1999", "1999-03-04", False),
+        (f"{one}tl_2022_17_tract.zip", "1999-01-01", False),
+        (f"{one}tl_2022_17_tract.zip", "1999-03-04", True),
+        (f"{two}TIGER2000", "2000-02-01", True),
+        (f"{two}tl_2022_07_tract.zip", "2000-02-01", True),
+    ]
+
+
 CHECK = "table_id string, data_pulled_this_check boolean, time_of_check timestamp"
 SOURCE = "table_id string, source_data_last_updated timestamp, source_metadata_last_updated timestamp"
 
